@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardstat.operators.cohort import build_cohort
@@ -14,61 +14,50 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _pick(index: Column, values: list[str]) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
+# Column rules over orders, customers and the line summary, as Spark SQL.
+_COLUMNS = {
+    "encounter_id": "o_orderkey",
+    "patient_nbr": "o_custkey",
+    "race": "if(o_custkey % 37 = 0, '?', c_mktsegment)",
+    "gender": "if(o_custkey % 50 = 0, 'Unknown/Invalid', if(o_custkey % 2 = 0, 'Female', 'Male'))",
+    "age": "if(o_custkey % 41 = 0, '?', if(o_custkey % 43 = 0, 'unknown', concat('[', decade, '-', decade + 10, ')')))",
+    "discharge_disposition_id": "if(o_orderkey % 29 = 0, null, cast(o_orderkey % 28 + 1 as int))",
+    "time_in_hospital": "cast(o_orderkey % 14 + 1 as int)",
+    "num_lab_procedures": "cast(coalesce(qty, 0) % 97 as int)",
+    "num_procedures": "cast(coalesce(n_li, 0) % 7 as int)",
+    "num_medications": "cast(coalesce(qty, 0) div 8 as int)",
+    "number_outpatient": "cast(coalesce(n_n, 0) as int)",
+    "number_emergency": "cast(coalesce(n_a, 0) as int)",
+    "number_inpatient": "cast(coalesce(n_r, 0) as int)",
+    "number_diagnoses": "cast(o_orderkey % 9 + 1 as int)",
+    "diag_1": "element_at(array('250.83', '250', '410', '785', '486', '786.5', 'V27', 'E885', '?', '251', ' 428 ', '715'),"
+    " cast(o_orderkey % 12 + 1 as int))",
+    "medical_specialty": "element_at(array('InternalMedicine', 'Cardiology', '?', 'INTERNAL-Other', 'Surgery-General'),"
+    " cast(o_orderkey % 5 + 1 as int))",
+    "A1Cresult": "element_at(array('>8', '>7', 'Norm', 'None', 'None', 'None'), cast(o_orderkey % 6 + 1 as int))",
+    "insulin": "element_at(array('No', 'Up', 'Steady', 'Down'), cast(o_orderkey % 4 + 1 as int))",
+    "change": "if(o_orderkey % 3 = 0, 'Ch', 'No')",
+    "diabetesMed": "if(o_orderkey % 7 < 5, 'Yes', 'No')",
+    "readmitted": "if(o_orderpriority = '1-URGENT', '<30', if(o_orderpriority = '2-HIGH', '>30', 'NO'))",
+}
 
 
 def encounters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One raw encounter per order, with its customer as the patient."""
-    lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(
-        F.count(F.lit(1)).cast("int").alias("n_li"),
-        F.sum("l_quantity").cast("bigint").alias("qty"),
-        *[F.count_if(F.col("l_returnflag") == f).cast("int").alias(f"n_{f.lower()}") for f in ("N", "A", "R")],
+    lines = (
+        table(spark, sf_dir, "lineitem")
+        .groupBy(F.col("l_orderkey").alias("o_orderkey"))
+        .agg(
+            F.expr("count(1) as n_li"),
+            F.expr("cast(sum(l_quantity) as bigint) as qty"),
+            *[F.expr(f"count_if(l_returnflag = '{flag}') as n_{flag.lower()}") for flag in ("N", "A", "R")],
+        )
     )
-    orders, customers = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
-    joined = orders.join(customers, F.col("o_custkey") == F.col("c_custkey")).join(
-        lines, F.col("l_orderkey") == F.col("o_orderkey"), "left"
+    customers = table(spark, sf_dir, "customer").withColumnRenamed("c_custkey", "o_custkey")
+    joined = table(spark, sf_dir, "orders").join(customers, "o_custkey").join(lines, "o_orderkey", "left")
+    return joined.withColumn("decade", F.expr("10 * (o_custkey % 10)")).selectExpr(
+        *[f"{rule} as {name}" for name, rule in _COLUMNS.items()]
     )
-    key, patient = F.col("o_orderkey"), F.col("o_custkey")
-    qty = F.coalesce("qty", F.lit(0))
-    decade = (patient % 10) * 10
-
-    def known(name: str) -> Column:
-        return F.coalesce(F.col(name), F.lit(0))
-
-    columns = {
-        "encounter_id": key,
-        "patient_nbr": patient,
-        "race": F.when(patient % 37 == 0, "?").otherwise(F.col("c_mktsegment")),
-        "gender": F.when(patient % 50 == 0, "Unknown/Invalid").when(patient % 2 == 0, "Female").otherwise("Male"),
-        "age": F.when(patient % 41 == 0, "?")
-        .when(patient % 43 == 0, "unknown")
-        .otherwise(F.concat(F.lit("["), decade.cast("string"), F.lit("-"), (decade + 10).cast("string"), F.lit(")"))),
-        "discharge_disposition_id": F.when(key % 29 != 0, (key % 28 + 1).cast("int")),
-        "time_in_hospital": (key % 14 + 1).cast("int"),
-        "num_lab_procedures": (qty % 97).cast("int"),
-        "num_procedures": (known("n_li") % 7).cast("int"),
-        "num_medications": F.floor(qty / 8).cast("int"),
-        "number_outpatient": known("n_n"),
-        "number_emergency": known("n_a"),
-        "number_inpatient": known("n_r"),
-        "number_diagnoses": (key % 9 + 1).cast("int"),
-        "diag_1": _pick(
-            key % 12,
-            ["250.83", "250", "410", "785", "486", "786.5", "V27", "E885", "?", "251", " 428 ", "715"],
-        ),
-        "medical_specialty": _pick(
-            key % 5, ["InternalMedicine", "Cardiology", "?", "INTERNAL-Other", "Surgery-General"]
-        ),
-        "A1Cresult": _pick(key % 6, [">8", ">7", "Norm", "None", "None", "None"]),
-        "insulin": _pick(key % 4, ["No", "Up", "Steady", "Down"]),
-        "change": F.when(key % 3 == 0, "Ch").otherwise("No"),
-        "diabetesMed": F.when(key % 7 < 5, "Yes").otherwise("No"),
-        "readmitted": F.when(F.col("o_orderpriority") == "1-URGENT", "<30")
-        .when(F.col("o_orderpriority") == "2-HIGH", ">30")
-        .otherwise("NO"),
-    }
-    return joined.select(*[col.alias(name) for name, col in columns.items()])
 
 
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:

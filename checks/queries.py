@@ -12,6 +12,7 @@ from wardstat.functions.clinical import (
     ICD9_CIRCULATORY,
     ICD9_DIABETES,
     ICD9_RESPIRATORY,
+    age_bounds,
     age_midpoint,
     icd9_number,
     in_ranges,
@@ -259,7 +260,9 @@ QUERIES: dict[str, Query] = {
     "engineer_features": features,
     "cohort_features": cohort_features,
     "cast_counts": _on(encounters, _strict_counts),
-    "age_midpoint": _on(encounters, lambda df: df.select("encounter_id", age_midpoint(F.col("age")).alias("age_mid"))),
+    "age_midpoint": _on(
+        encounters, lambda df: df.select("encounter_id", age_midpoint(age_bounds(F.col("age"))).alias("age_mid"))
+    ),
     "diag_diabetes": _diagnosis("diag_diabetes", ICD9_DIABETES),
     "diag_circulatory": _diagnosis("diag_circulatory", ICD9_CIRCULATORY),
     "diag_respiratory": _diagnosis("diag_respiratory", ICD9_RESPIRATORY),

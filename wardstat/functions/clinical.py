@@ -13,8 +13,8 @@ ICD9_DIABETES = [(250, 251)]
 ICD9_CIRCULATORY = [(390, 460), (785, 786)]
 ICD9_RESPIRATORY = [(460, 520), (786, 787)]
 
-_AGE_RANGE = r"^\s*(\d+)\s*-\s*(\d+)\s*$"
-_PLAIN_NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+_BLANKS = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u2028\u2029\u202f\u205f\u3000"
+_NUMBER_CHARACTERS = "0123456789+-.eE"
 
 
 def flag(condition: Column) -> Column:
@@ -27,18 +27,27 @@ def differs(col: Column, value: str) -> Column:
     return (~col.eqNullSafe(F.lit(value))).cast("int")
 
 
-def age_midpoint(col: Column) -> Column:
-    """Whole-number middle of an age bracket such as ``[50-60)``; 55 where the text is no bracket."""
-    text = F.regexp_replace(col, r"[\[\]()]", "")
-    low = F.regexp_extract(text, _AGE_RANGE, 1).try_cast("long")
-    high = F.regexp_extract(text, _AGE_RANGE, 2).try_cast("long")
-    return F.coalesce(F.shiftright(low + high, 1), F.lit(FALLBACK_AGE)).cast("int")
+def age_bounds(col: Column) -> Column:
+    """The texts between the dashes of an age bracket such as ``[50-60)``, brackets dropped."""
+    return F.split(F.translate(col, "[]()", ""), "-")
+
+
+def age_midpoint(bounds: Column) -> Column:
+    """Whole-number middle of two age bounds; 55 unless there are exactly two whole numbers."""
+    low, high = F.get(bounds, F.lit(0)).try_cast("long"), F.get(bounds, F.lit(1)).try_cast("long")
+    middle = F.when(F.size(bounds) == 2, F.shiftright(low + high, 1))
+    return F.coalesce(middle, F.lit(FALLBACK_AGE)).cast("int")
 
 
 def icd9_number(col: Column) -> Column:
-    """The code as a number; null for E and V codes and for anything that is not a plain decimal."""
-    text = F.regexp_replace(col, r"(?U)^\s+|\s+$", "")
-    return F.when(text.rlike(_PLAIN_NUMBER), text.try_cast("double"))
+    """The code as a number; null for E and V codes and for anything that is not a plain decimal.
+
+    The character check keeps out what only Spark's cast takes for a number (``250d``, ``inf``), without
+    a regular expression per row.
+    """
+    text = F.btrim(col, F.lit(_BLANKS))
+    plain = (F.translate(text, _NUMBER_CHARACTERS, "") == "") & ~text.startswith("E")
+    return F.when(plain, text.try_cast("double"))
 
 
 def in_ranges(number: Column, ranges: list[tuple[float, float]]) -> Column:

@@ -30,7 +30,6 @@ def required(value: Column, name: str) -> Column:
     return F.coalesce(value, F.raise_error(F.lit(f"column {name} holds a null or a value that is not a number")))
 
 
-def whole_number(col: Column, kind: str = "int") -> Column:
-    """``col`` as a whole number: fractions are cut off, junk becomes null."""
-    text = col.cast("string")
-    return F.coalesce(text.try_cast(kind), text.try_cast("double").try_cast(kind))
+def whole_number(text: Column, kind: str = "int") -> Column:
+    """A text as a whole number: fractions are cut off, anything that is not a decimal becomes null."""
+    return F.coalesce(text.try_cast(kind), text.try_cast("decimal(38,18)").try_cast(kind))

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegralType
+from pyspark.sql.types import StringType
 
 from wardstat.functions.clinical import (
     A1C_HIGH,
@@ -14,6 +14,7 @@ from wardstat.functions.clinical import (
     ICD9_DIABETES,
     ICD9_RESPIRATORY,
     INSULIN_IN_USE,
+    age_bounds,
     age_midpoint,
     differs,
     flag,
@@ -26,7 +27,7 @@ from wardstat.sources.schemas import COUNTS, FEATURES
 
 def _count(df: DataFrame, name: str, kind: str, strict: bool) -> Column:
     col = F.col(name)
-    number = col.cast(kind) if isinstance(df.schema[name].dataType, IntegralType) else whole_number(col, kind)
+    number = whole_number(col, kind) if isinstance(df.schema[name].dataType, StringType) else col.try_cast(kind)
     return required(number, name) if strict else number
 
 
@@ -36,15 +37,20 @@ def cast_counts(df: DataFrame, cols: Sequence[str] = tuple(COUNTS), strict: bool
 
 
 def engineer_features(encounters: DataFrame, strict: bool = True) -> DataFrame:
-    """The 24 feature columns of each encounter, in one projection."""
+    """The 24 feature columns of each encounter, without a shuffle.
+
+    The parsed diagnosis code and age bounds feed several rules, so they are columns of a projection
+    below: as plain sub-expressions they would be parsed again for every rule.
+    """
+    parsed = encounters.withColumns({"_code": icd9_number(F.col("diag_1")), "_ages": age_bounds(F.col("age"))})
     ids = {name: _count(encounters, name, "bigint", strict) for name in ("encounter_id", "patient_nbr")}
     counts = {name: _count(encounters, name, "int", strict) for name in COUNTS}
     visits = counts["number_outpatient"] + counts["number_emergency"] + counts["number_inpatient"]
-    code = icd9_number(F.col("diag_1"))
+    code = F.col("_code")
     rules = {
         **ids,
         **counts,
-        "age_mid": age_midpoint(F.col("age")),
+        "age_mid": age_midpoint(F.col("_ages")),
         "gender_enc": flag(F.col("gender") == "Male"),
         "total_visits": visits,
         "on_insulin": flag(F.col("insulin").isin(INSULIN_IN_USE)),
@@ -59,4 +65,4 @@ def engineer_features(encounters: DataFrame, strict: bool = True) -> DataFrame:
         "readmitted_30": flag(F.col("readmitted") == "<30"),
         "readmitted_any": differs(F.col("readmitted"), "NO"),
     }
-    return encounters.select([rules[field.name].alias(field.name) for field in FEATURES])
+    return parsed.select([rules[field.name].alias(field.name) for field in FEATURES])

@@ -4,19 +4,40 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.ml.feature import Bucketizer
+from pyspark.ml.feature import Bucketizer, QuantileDiscretizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKETS = 4096
+# Buckets per shuffle partition, and the bounds on their number.
+BUCKETS_PER_PARTITION, FEWEST_BUCKETS, MOST_BUCKETS = 4, 64, 16_384
 
 
-def _range_edges(df: DataFrame, order: str, buckets: int) -> list[float]:
-    """About evenly filled bucket edges; they steer balance only, never the result."""
-    shares = [i / buckets for i in range(1, buckets)]
-    edges = df.select(F.col(order).cast("double").alias("x")).approxQuantile("x", shares, 1 / (2 * buckets))
-    inner = sorted(set(edges)) or [0.0]
-    return [float("-inf"), *inner, float("inf")]
+def _bucket_count(df: DataFrame) -> int:
+    """Range buckets to use: a few per shuffle partition, so that they grow with the cluster's settings."""
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return min(max(BUCKETS_PER_PARTITION * partitions, FEWEST_BUCKETS), MOST_BUCKETS)
+
+
+def _with_bucket(points: DataFrame, source: DataFrame, order: str, buckets: int) -> DataFrame:
+    """Points with the index of their range bucket, buckets holding about equally many source rows.
+
+    The edges are approximate quantiles from one scan of the order column. They become constants of the
+    plan: every use and every retry sees the same buckets, and they steer balance only, never the result.
+    """
+    value = F.col(order).cast("double").alias("_x")
+    column = source.select(value)
+    if column.isEmpty():
+        bucketizer = Bucketizer(splits=[float("-inf"), 0.0, float("inf")], inputCol="_x", outputCol="_bucket")
+    else:
+        bucketizer = QuantileDiscretizer(
+            numBuckets=buckets, relativeError=1 / (2 * buckets), inputCol="_x", outputCol="_bucket"
+        ).fit(column)
+    return (
+        bucketizer.setHandleInvalid("error")
+        .transform(points.withColumn("_x", F.col(order).cast("double")))
+        .withColumn("_bucket", F.col("_bucket").cast("int"))
+        .drop("_x")
+    )
 
 
 def running_totals(
@@ -26,7 +47,7 @@ def running_totals(
     sums: Mapping[str, Column],
     descending: bool = False,
     carried: Mapping[str, Column] | None = None,
-    buckets: int = BUCKETS,
+    buckets: int | None = None,
 ) -> DataFrame:
     """One row per (group, order value) with sums, running sums and look-ahead.
 
@@ -45,12 +66,7 @@ def running_totals(
     points = df.groupBy(*keys, order).agg(
         *[F.sum(col).alias(name) for name, col in {**dict(sums), **carried}.items()]
     )
-    bucketed = (
-        Bucketizer(splits=_range_edges(df, order, buckets), inputCol="_x", outputCol="_bucket", handleInvalid="error")
-        .transform(points.withColumn("_x", F.col(order).cast("double")))
-        .withColumn("_bucket", F.col("_bucket").cast("int"))
-        .drop("_x")
-    )
+    bucketed = _with_bucket(points, df, order, buckets or _bucket_count(df))
     direction = F.desc if descending else F.asc
     first = F.max_by if descending else F.min_by
     names = list(sums)

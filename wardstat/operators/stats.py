@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import combinations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from wardstat.functions.labels import AGE_EDGES_SUMMARY, AGE_LABELS, cut
 from wardstat.functions.numbers import round_ratio, safe_ratio
@@ -97,6 +98,41 @@ def histogram_density(
     )
 
 
+def _whole_number_correlations(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
+    """Correlations from exact sums of whole numbers; a sum beyond 64 bits stops the job.
+
+    Rows are summed per pattern of missing values (one pattern where nothing is missing), so each
+    column and product is summed once and not again for every partner column. A pair then adds up the
+    patterns in which both of its columns are known.
+    """
+    cols = list(dict.fromkeys(name for pair in pairs for name in pair))
+    products = [(name, name) for name in cols] + pairs
+    patterns = df.groupBy(*[F.col(name).isNotNull().alias(f"has_{name}") for name in cols]).agg(
+        F.count(F.lit(1)).alias("n"),
+        *[F.sum(F.col(name).cast("long")).alias(f"s_{name}") for name in cols],
+        *[F.sum(F.col(a).cast("long") * F.col(b)).alias(f"p_{a}_{b}") for a, b in products],
+    )
+    parts = ["n", "x", "y", "xx", "yy", "xy"]
+    rows = [
+        f"if(has_{a} and has_{b}, named_struct('column_a', '{b}', 'column_b', '{a}', 'n', n, 'x', s_{a}, 'y', s_{b}, "
+        f"'xx', p_{a}_{a}, 'yy', p_{b}_{b}, 'xy', p_{a}_{b}), named_struct('column_a', '{b}', 'column_b', '{a}', "
+        + ", ".join(f"'{part}', cast(null as bigint)" for part in parts)
+        + "))"
+        for a, b in pairs
+    ]
+    sums = (
+        patterns.selectExpr(f"inline(array({', '.join(rows)}))")
+        .groupBy("column_a", "column_b")
+        .agg(*[F.sum(F.col(part).cast("decimal(19,0)")).alias(part) for part in parts])
+    )
+    return sums.selectExpr(
+        "column_a",
+        "column_b",
+        "try_divide(cast(n * xy - x * y as double),"
+        " sqrt(cast(n * xx - x * x as double)) * sqrt(cast(n * yy - y * y as double))) as correlation",
+    )
+
+
 def correlation_pairs(df: DataFrame, cols: Sequence[str] = tuple(CORRELATED)) -> DataFrame:
     """Pearson correlation of every pair of columns, over the rows where both are known.
 
@@ -104,19 +140,16 @@ def correlation_pairs(df: DataFrame, cols: Sequence[str] = tuple(CORRELATED)) ->
     ``corr`` stops with a division error there.
     """
     pairs = list(combinations(cols, 2))
+    if all(isinstance(df.schema[name].dataType, IntegralType) for name in cols):
+        return _whole_number_correlations(df, pairs)
     measures = []
     for i, (a, b) in enumerate(pairs):
         x = F.when(F.col(b).isNotNull(), F.col(a).cast("double"))
         y = F.when(F.col(a).isNotNull(), F.col(b).cast("double"))
         spread = F.stddev_pop(x) * F.stddev_pop(y)
         measures.append(F.try_divide(F.covar_pop(x, y), spread).alias(f"_{i}"))
-    rows = F.array(
-        *[
-            F.struct(F.lit(b).alias("column_a"), F.lit(a).alias("column_b"), F.col(f"_{i}").alias("correlation"))
-            for i, (a, b) in enumerate(pairs)
-        ]
-    )
-    return df.agg(*measures).select(F.inline(rows))
+    rows = [f"named_struct('column_a', '{b}', 'column_b', '{a}', 'correlation', _{i})" for i, (a, b) in enumerate(pairs)]
+    return df.agg(*measures).selectExpr(f"inline(array({', '.join(rows)}))")
 
 
 def exact_quantiles(values: DataFrame, by: str, col: str, shares: dict[str, float]) -> DataFrame:
@@ -133,7 +166,7 @@ def exact_quantiles(values: DataFrame, by: str, col: str, shares: dict[str, floa
             picks.append(F.max(F.when((first <= rank) & (rank <= last), F.col(col))).alias(f"{name}_{side}"))
     found = ranks.groupBy(by).agg(*picks)
 
-    def between(name: str, share: float):
+    def between(name: str, share: float) -> Column:
         place = (F.col("n") - 1) * F.lit(share)
         low, high = F.col(f"{name}_low").cast("double"), F.col(f"{name}_high").cast("double")
         return (low + (high - low) * (place - F.floor(place))).alias(name)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,21 +22,15 @@ PANDAS_NA_TOKENS = [
 ]
 
 
-def _is_text(df: DataFrame, name: str) -> bool:
-    return isinstance(df.schema[name].dataType, StringType)
+def _without(col: Column, tokens: list[str]) -> Column:
+    return F.when(~col.isin(tokens), col) if tokens else col
 
 
 def normalise_nulls(df: DataFrame, tokens: Iterable[str] = NA_TOKENS) -> DataFrame:
     """Null in every text cell that holds exactly one of the tokens."""
     tokens = list(tokens)
-
-    def clean(name: str) -> Column:
-        col = F.col(f"`{name}`")
-        if not _is_text(df, name):
-            return col
-        return F.when(~col.isin(tokens), col).alias(name)
-
-    return df.select([clean(name) for name in df.columns])
+    texts = [field.name for field in df.schema if isinstance(field.dataType, StringType)]
+    return df.withColumns({name: _without(F.col(f"`{name}`"), tokens) for name in texts})
 
 
 def _header(spark: SparkSession, path: str) -> list[str]:
@@ -48,16 +43,26 @@ def _read_text(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(text).options(**CSV_FORMAT, enforceSchema=False).csv(path)
 
 
-def _typed(df: DataFrame, schema: StructType) -> list[Column]:
-    types = {field.name: field.dataType for field in schema}
+def _is_number(token: str) -> bool:
+    try:
+        return math.isfinite(float(token))
+    except ValueError:
+        return False
+
+
+def _typed(df: DataFrame, schema: StructType, tokens: Iterable[str]) -> DataFrame:
+    """Known columns in their type, tokens as null; a text that is no number is null in a number column."""
+    tokens = list(tokens)
+    numeric_tokens = [token for token in tokens if _is_number(token)]
+    kinds = {field.name: field.dataType for field in schema if isinstance(field.dataType, IntegralType)}
     columns = []
     for name in df.columns:
-        kind = types.get(name)
-        col = F.col(f"`{name}`")
-        if isinstance(kind, IntegralType):
-            col = whole_number(col, kind.simpleString()).alias(name)
-        columns.append(col)
-    return columns
+        text = F.col(f"`{name}`")
+        if name in kinds:
+            columns.append(whole_number(_without(text, numeric_tokens), kinds[name].simpleString()).alias(name))
+        else:
+            columns.append(_without(text, tokens).alias(name))
+    return df.select(columns)
 
 
 def read_encounters(spark: SparkSession, path: str, na_tokens: Iterable[str] = NA_TOKENS) -> DataFrame:
@@ -65,11 +70,9 @@ def read_encounters(spark: SparkSession, path: str, na_tokens: Iterable[str] = N
 
     The only eager step reads the header line. Columns nobody asks for are never parsed.
     """
-    raw = normalise_nulls(_read_text(spark, path), na_tokens)
-    return raw.select(_typed(raw, RAW))
+    return _typed(_read_text(spark, path), RAW, na_tokens)
 
 
 def read_feature_rows(spark: SparkSession, path: str) -> DataFrame:
     """Scan delimited files of engineered rows, the input of batch scoring."""
-    raw = normalise_nulls(_read_text(spark, path))
-    return raw.select(_typed(raw, FEATURES))
+    return _typed(_read_text(spark, path), FEATURES, NA_TOKENS)

@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 
 from wardstat.operators.cohort import build_cohort
 from wardstat.operators.features import engineer_features
+from wardstat.session import scratch_path
 from wardstat.sources.encounters import normalise_nulls
+from wardstat.sources.schemas import FEATURES
+from wardstat.sources.tables import read_table, write_table
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -65,6 +68,13 @@ def features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return engineer_features(normalise_nulls(encounters(spark, sf_dir)))
 
 
+def stored_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rows written to the shared folder, for operators that pass over their input several times."""
+    path = scratch_path(spark, "features")
+    write_table(features(spark, sf_dir), path)
+    return read_table(spark, path, FEATURES)
+
+
 def cohort_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return engineer_features(build_cohort(encounters(spark, sf_dir)))
 

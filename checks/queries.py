@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.inputs import cohort_features, encounters, features, scores, table
+from checks.inputs import cohort_features, encounters, features, scores, stored_features, table
 from wardstat.functions.clinical import (
     ICD9_CIRCULATORY,
     ICD9_DIABETES,
@@ -62,7 +62,7 @@ def _two_models(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _split_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return split.stratified_split(features(spark, sf_dir))
+    return split.stratified_split(stored_features(spark, sf_dir))
 
 
 def _train_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -199,7 +199,7 @@ def _rounded(df: DataFrame, *names: str) -> DataFrame:
 
 
 def _weighted_sums(df: DataFrame) -> DataFrame:
-    both = split.with_class_weight(split.with_class_weight(df), mode="positive", name="positive_weight")
+    both = split.with_class_weight(df, modes={"weight": "balanced", "positive_weight": "positive"})
     return both.groupBy("readmitted_30").agg(
         F.count(F.lit(1)).alias("n"),
         F.round(F.avg("weight"), 8).alias("weight"),
@@ -290,7 +290,7 @@ QUERIES: dict[str, Query] = {
     "age_rate_points": _on(features, stats.age_rate_points),
     "los_histogram": _on(features, lambda df: _rounded(stats.histogram_density(df), "density", "mean")),
     "correlation_pairs": _on(features, _correlations),
-    "medication_boxplot": _on(features, lambda df: _rounded(stats.boxplot_stats(df), "notch_low", "notch_high")),
+    "medication_boxplot": _on(stored_features, lambda df: _rounded(stats.boxplot_stats(df), "notch_low", "notch_high")),
     # split and scaling
     "class_balance": _on(features, split.class_balance),
     "class_weights": _on(features, lambda df: _rounded(split.class_weights(df), "weight")),

@@ -90,7 +90,7 @@ def test_many_orphans_take_the_shuffle_join(spark, monkeypatch):
     child = spark.range(100).withColumnRenamed("id", "k")
     parent = child.filter("k < 10")
     few = orphan_rows(child, parent, ["k"])
-    monkeypatch.setattr(small.join_small, "__defaults__", ("inner", 5))
+    monkeypatch.setattr(small, "BROADCAST_ROWS", 5)
     many = orphan_rows(child, parent, ["k"])
     assert sorted(few.collect()) == sorted(many.collect()) and few.count() == 90
     assert "ResolvedHint" not in many._jdf.queryExecution().analyzed().toString()

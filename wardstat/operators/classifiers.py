@@ -58,8 +58,8 @@ class TrainedModel:
 
 
 def _weighted(train: DataFrame, target: str) -> DataFrame:
-    both = with_class_weight(with_class_weight(train, target, "balanced"), target, "positive", "positive_weight")
-    return both.select(*MODEL_INPUTS, F.col(target).cast("double").alias("label"), "weight", "positive_weight")
+    both = {"weight": "balanced", "positive_weight": "positive"}
+    return with_class_weight(train, target, both).select(*MODEL_INPUTS, F.col(target).cast("double").alias("label"), "weight", "positive_weight")
 
 
 def _fit(frame: DataFrame, short: str, classifier, inputs: Sequence[str]) -> PipelineModel:

@@ -14,36 +14,27 @@ from pyspark.sql import functions as F
 
 from wardstat.functions.numbers import required, safe_ratio
 from wardstat.operators.running import running_totals
-from wardstat.operators.small import join_small
+from wardstat.operators.small import settle
 
 MODEL, SCORE, LABEL, GUESS = "model_name", "predicted_proba", "actual_label", "predicted_label"
 # Training order, which settles ties between models.
 TRAINING_ORDER = ["Logistic Regression", "Random Forest", "Gradient-Boosted Trees"]
 
 
+def _by_class() -> dict[str, Column]:
+    positive = F.col(LABEL) == 1
+    return {"pos": F.when(positive, 1).otherwise(0), "neg": F.when(positive, 0).otherwise(1)}
+
+
 def score_table(preds: DataFrame) -> DataFrame:
     """One row per model and distinct score, best first, with positives, negatives and running counts.
 
     Every curve and rank metric reads this table, in which tied scores are already one row.
     """
     checked = preds.select(
-        MODEL,
-        required(F.col(SCORE), SCORE).alias(SCORE),
-        required(F.col(LABEL), LABEL).alias(LABEL),
-        GUESS if GUESS in preds.columns else F.lit(None).cast("int").alias(GUESS),
-    )
-    positive, guessed = F.col(LABEL) == 1, F.col(GUESS) == 1
-    return running_totals(
-        checked,
-        [MODEL],
-        SCORE,
-        {"pos": F.when(positive, 1).otherwise(0), "neg": F.when(positive, 0).otherwise(1)},
-        descending=True,
-        carried={
-            "hit": F.when(positive & guessed, 1).otherwise(0),
-            "false_alarm": F.when(~positive & guessed, 1).otherwise(0),
-        },
+        MODEL, required(F.col(SCORE), SCORE).alias(SCORE), required(F.col(LABEL), LABEL).alias(LABEL)
     )
+    return running_totals(checked, [MODEL], SCORE, _by_class(), descending=True)
 
 
 def _area_terms() -> Column:
@@ -175,16 +166,14 @@ def classification_report(preds: DataFrame) -> DataFrame:
 
 
 def model_metrics(preds: DataFrame) -> DataFrame:
-    """Unrounded metrics per model, all from one score table."""
-    hit, alarm = F.sum("hit"), F.sum("false_alarm")
-    positives = F.max("all_pos")
-    return score_table(preds).groupBy(MODEL).agg(
-        _roc_auc().alias("roc_auc"),
-        _average_precision().alias("average_precision"),
-        _or_zero(2 * hit, hit + alarm + positives).alias("f1"),
-        _or_zero(hit, hit + alarm).alias("precision"),
-        _or_zero(hit, positives).alias("recall"),
+    """Unrounded metrics per model: rank metrics from the score table, the others from the four cells."""
+    ranked = score_table(preds).groupBy(MODEL).agg(
+        _roc_auc().alias("roc_auc"), _average_precision().alias("average_precision")
     )
+    fp, fn, tp = (F.col(name) for name in ("fp", "fn", "tp"))
+    scores = _class_scores(tp, tp + fp, tp + fn)
+    at_label = _cells(preds).select(MODEL, *[scores[name].alias(name) for name in ("f1", "precision", "recall")])
+    return ranked.join(at_label, MODEL)
 
 
 def metrics_table(preds: DataFrame) -> DataFrame:
@@ -228,14 +217,12 @@ def capture_at(preds: DataFrame, share: float = 0.3, key: str = "id") -> DataFra
         F.col("all_pos").alias("positives"),
         F.col("_top").alias("top_rows"),
     )
-    tied = join_small(preds.select(MODEL, SCORE, key, LABEL), cut, [MODEL, SCORE])
-    ranked = running_totals(
-        tied,
-        [MODEL],
-        key,
-        {"rows": F.lit(1), "pos": F.when(F.col(LABEL) == 1, 1).otherwise(0)},
+    cut = settle(cut)
+    tied = preds.select(MODEL, SCORE, key, LABEL).join(cut, [MODEL, SCORE])
+    ranked = running_totals(tied, [MODEL], key, _by_class())
+    taken = ranked.join(cut.drop(SCORE), MODEL).filter(
+        F.col("cum_pos") + F.col("cum_neg") <= F.col("_needed")
     )
-    taken = join_small(ranked, cut.drop(SCORE), [MODEL]).filter(F.col("cum_rows") <= F.col("_needed"))
     captured = F.max("_above") + F.sum("pos")
     return (
         taken.groupBy(MODEL)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardstat.operators.small import join_small
+from wardstat.operators.small import settle
 
 
 def duplicate_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -23,7 +23,7 @@ def orphan_rows(child: DataFrame, parent: DataFrame, key: Sequence[str]) -> Data
     """
     key = list(key)
     missing = child.select(key).dropna().distinct().join(parent.select(key), key, "left_anti")
-    return join_small(child, missing, key, "left_semi")
+    return child.join(settle(missing), key, "left_semi")
 
 
 def stage_counts(raw: DataFrame, cohort: DataFrame, features: DataFrame) -> DataFrame:

@@ -46,54 +46,64 @@ def running_totals(
     order: str,
     sums: Mapping[str, Column],
     descending: bool = False,
-    carried: Mapping[str, Column] | None = None,
     buckets: int | None = None,
 ) -> DataFrame:
     """One row per (group, order value) with sums, running sums and look-ahead.
 
     For each name ``m`` in ``sums`` the result has ``m`` (the sum at this value), ``cum_m`` (the sum up
     to and including it), ``all_m`` (the group's sum) and ``next_m`` (the sum at the next value, null at
-    the end). ``carried`` sums are only summed per value. Groups and order values must not be null.
+    the end). Order values must not be null.
 
     Equal values are summed before anything is ordered, so a value held by a large share of the rows
     is one row. Values are then spread over range buckets with about the same number of input rows
-    each; bucket totals (``buckets`` rows per group) give every bucket its starting point, and only
-    the rows inside one bucket are sorted together. Bucket offsets and rows join on the same
-    keys the window needs, so they share one shuffle.
+    each. Bucket totals, ``buckets`` rows per group, give every bucket what comes before it and what
+    comes next; these join the bucket as a first and a last row, and only the rows of one bucket are
+    sorted together. Totals and rows read the same summed values, whose exchange Spark reuses.
     """
-    keys = list(group)
-    carried = dict(carried or {})
-    points = df.groupBy(*keys, order).agg(
-        *[F.sum(col).alias(name) for name, col in {**dict(sums), **carried}.items()]
-    )
+    keys, names = list(group), list(sums)
+    points = df.groupBy(*keys, order).agg(*[F.sum(col).alias(name) for name, col in sums.items()])
     bucketed = _with_bucket(points, df, order, buckets or _bucket_count(df))
     direction = F.desc if descending else F.asc
     first = F.max_by if descending else F.min_by
-    names = list(sums)
-
-    def across() -> Window:
-        return Window.partitionBy(*keys)
 
     heads = bucketed.groupBy(*keys, "_bucket").agg(
         *[F.sum(name).alias(f"_sum_{name}") for name in names],
         first(F.struct(*names), order).alias("_head"),
     )
-    before = across().orderBy(direction("_bucket")).rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*keys)
+    ordered = whole.orderBy(direction("_bucket"))
+    earlier = ordered.rowsBetween(Window.unboundedPreceding, -1)
     offsets = heads.select(
         *keys,
         "_bucket",
-        *[F.coalesce(F.sum(f"_sum_{name}").over(before), F.lit(0)).alias(f"_before_{name}") for name in names],
-        *[F.sum(f"_sum_{name}").over(across()).alias(f"all_{name}") for name in names],
-        F.lead("_head").over(across().orderBy(direction("_bucket"))).alias("_next_head"),
+        F.struct(
+            F.lit(0).alias("_kind"),
+            *[F.coalesce(F.sum(f"_sum_{name}").over(earlier), F.lit(0)).alias(name) for name in names],
+        ).alias("_before"),
+        F.lead("_head").over(ordered).alias("_next"),
+        *[F.sum(f"_sum_{name}").over(whole).alias(f"all_{name}") for name in names],
+    )
+    after = F.struct(F.lit(2).alias("_kind"), *[F.col(f"_next.{name}").alias(name) for name in names])
+    marks = offsets.select(
+        *keys, "_bucket", F.inline(F.array("_before", after)), *[f"all_{name}" for name in names]
+    ).withColumn(order, F.lit(None).cast(df.schema[order].dataType))
+    rows = bucketed.withColumns(
+        {"_kind": F.lit(1), **{f"all_{name}": F.lit(None).cast("bigint") for name in names}}
     )
-    inside = Window.partitionBy(*keys, "_bucket").orderBy(direction(order))
+
+    inside = Window.partitionBy(*keys, "_bucket").orderBy("_kind", direction(order))
     upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return bucketed.join(offsets, [*keys, "_bucket"]).select(
-        *keys,
-        order,
-        *names,
-        *carried,
-        *[(F.col(f"_before_{name}") + F.sum(name).over(upto)).alias(f"cum_{name}") for name in names],
-        *[f"all_{name}" for name in names],
-        *[F.coalesce(F.lead(name).over(inside), F.col(f"_next_head.{name}")).alias(f"next_{name}") for name in names],
+    return (
+        rows.unionByName(marks)
+        .select(
+            *keys,
+            order,
+            "_kind",
+            *names,
+            *[F.sum(name).over(upto).alias(f"cum_{name}") for name in names],
+            *[F.first(f"all_{name}").over(upto).alias(f"all_{name}") for name in names],
+            *[F.lead(name).over(inside).alias(f"next_{name}") for name in names],
+        )
+        .filter("_kind = 1")
+        .drop("_kind")
     )

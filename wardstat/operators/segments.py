@@ -196,7 +196,7 @@ def segment_kpis(features: DataFrame, segments: Segments | str = "sql") -> DataF
                 for kind, value in segments.always
             ]
         )
-        shown = features.sparkSession.range(1).select(
+        shown = features.sparkSession.range(0, 1, 1, 1).select(
             F.inline(pairs), *[F.lit(0 if name.startswith("n") else None).cast("bigint").alias(name) for name in carried]
         )
         dealt = dealt.unionByName(shown)

@@ -1,4 +1,4 @@
-"""Joining a side that is expected, but not known, to be small."""
+"""Sides of a join that are expected, but not known, to be small."""
 
 from __future__ import annotations
 
@@ -8,14 +8,14 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 10_000
 
 
-def join_small(df: DataFrame, side: DataFrame, on: list[str], how: str = "inner", limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Join with ``side``; broadcast it only once it is known to have at most ``limit`` rows.
+def settle(side: DataFrame, limit: int | None = None) -> DataFrame:
+    """``side`` as fixed rows marked for broadcast, once it is known to have at most ``limit`` rows.
 
-    One job fetches at most ``limit + 1`` rows. A bigger side is joined by shuffle, where the adaptive
-    planner splits skewed partitions, so the answer never depends on the limit.
+    One job fetches at most ``limit + 1`` rows. A bigger side comes back as it is: it is then joined by
+    shuffle, where the adaptive planner splits skewed partitions, so no answer depends on the limit.
     """
+    limit = BROADCAST_ROWS if limit is None else limit
     rows = side.limit(limit + 1).collect()
     if len(rows) > limit:
-        return df.join(side, on, how)
-    fixed = df.sparkSession.createDataFrame(rows, side.schema)
-    return df.join(F.broadcast(fixed), on, how)
+        return side
+    return F.broadcast(side.sparkSession.createDataFrame(rows, side.schema))

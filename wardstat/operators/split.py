@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardstat.functions.numbers import required
-from wardstat.operators.small import join_small
+from wardstat.operators.small import settle
 from wardstat.sources.schemas import TARGET
 
 
@@ -17,27 +18,30 @@ def class_balance(df: DataFrame, target: str = TARGET) -> DataFrame:
     return df.groupBy(target).agg(F.count(F.lit(1)).alias("n"))
 
 
+def _weight(mode: str, target: str) -> Column:
+    """Weight of a class over a table with one row per class, which is all the window sees."""
+    everyone = Window.partitionBy(F.lit(0))
+    if mode == "balanced":
+        return F.sum("n").over(everyone) / (F.count("n").over(everyone) * F.col("n"))
+    if mode == "positive":
+        negatives = F.sum(F.when(F.col(target) == 0, F.col("n"))).over(everyone)
+        return F.when(F.col(target) == 1, negatives / F.col("n")).otherwise(1.0)
+    raise ValueError(f"unknown weighting {mode!r}")
+
+
 def class_weights(df: DataFrame, target: str = TARGET, mode: str = "balanced") -> DataFrame:
     """Weight per class.
 
     ``balanced``: n / (classes * n_class). ``positive``: n_0 / n_1 for class 1, and 1 for the others.
     """
-    counts = class_balance(df, target)
-    everyone = Window.partitionBy(F.lit(0))
-    if mode == "balanced":
-        weight = F.sum("n").over(everyone) / (F.count("n").over(everyone) * F.col("n"))
-    elif mode == "positive":
-        negatives = F.sum(F.when(F.col(target) == 0, F.col("n"))).over(everyone)
-        weight = F.when(F.col(target) == 1, negatives / F.col("n")).otherwise(1.0)
-    else:
-        raise ValueError(f"unknown weighting {mode!r}")
-    return counts.select(target, "n", weight.alias("weight"))
+    return class_balance(df, target).select(target, "n", _weight(mode, target).alias("weight"))
 
 
-def with_class_weight(df: DataFrame, target: str = TARGET, mode: str = "balanced", name: str = "weight") -> DataFrame:
-    """Rows with the weight of their class."""
-    weights = class_weights(df, target, mode).select(target, F.col("weight").alias(name))
-    return join_small(df, weights, [target])
+def with_class_weight(df: DataFrame, target: str = TARGET, modes: Mapping[str, str] | None = None) -> DataFrame:
+    """Rows with the weights of their class, one column per (name, mode); classes are counted once."""
+    modes = modes or {"weight": "balanced"}
+    weights = [_weight(mode, target).alias(name) for name, mode in modes.items()]
+    return df.join(settle(class_balance(df, target).select(target, *weights)), target)
 
 
 def _row_hash(key: str, seed: int) -> Column:
@@ -87,7 +91,7 @@ def stratified_split(
     )
     nth = F.row_number().over(Window.partitionBy(label).orderBy("_hash", key))
     last = (
-        join_small(hashed, ends, [label, "_bucket"])
+        hashed.join(settle(ends), [label, "_bucket"])
         .withColumn("_nth", nth)
         .filter(F.col("_nth") == F.col("_needed"))
         .select(label, F.col("_hash").alias("_last_hash"), F.col(key).alias("_last_key"))
@@ -95,6 +99,6 @@ def stratified_split(
     own = df.withColumn("_hash", _row_hash(key, seed))
     earlier = F.col("_hash") < F.col("_last_hash")
     same = (F.col("_hash") == F.col("_last_hash")) & (F.col(key) <= F.col("_last_key"))
-    return join_small(own, last, [label], "left").select(
+    return own.join(settle(last), label, "left").select(
         *df.columns, F.when(earlier | same, "test").otherwise("train").alias("split")
     )

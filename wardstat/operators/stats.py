@@ -12,7 +12,7 @@ from pyspark.sql.types import IntegralType
 from wardstat.functions.labels import AGE_EDGES_SUMMARY, AGE_LABELS, cut
 from wardstat.functions.numbers import round_ratio, safe_ratio
 from wardstat.operators.running import running_totals
-from wardstat.operators.small import join_small
+from wardstat.operators.small import settle
 from wardstat.sources.schemas import TARGET
 
 # Fixed list of the correlated columns.
@@ -202,7 +202,7 @@ def boxplot_stats(df: DataFrame, col: str = "num_medications", by: str = TARGET,
     x = F.col(col).cast("double")
     half_notch = (F.col("q3") - F.col("q1")) * 1.57 / F.sqrt("rows")
     return (
-        join_small(values, boxes, [by])
+        values.join(settle(boxes), by)
         .groupBy(by)
         .agg(
             *[F.first(name).alias(name) for name in ["rows", "q1", "median", "q3"]],

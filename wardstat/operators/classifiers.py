@@ -57,7 +57,18 @@ class TrainedModel:
         return MODEL_NAMES[self.short]
 
 
-def _weighted(train: DataFrame, target: str) -> DataFrame:
+def _training_partitions(spark: SparkSession) -> int:
+    """At least one partition per core, and as many as the session plans for a shuffle."""
+    return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def _training_frame(train: DataFrame, target: str, key: str) -> DataFrame:
+    """Inputs, label and weights, spread evenly by key.
+
+    Training passes over the frame hundreds of times, in step with its biggest partition; one shuffle
+    of these narrow rows buys even partitions whatever the files look like.
+    """
+    train = train.select(key, *MODEL_INPUTS, target).repartition(_training_partitions(train.sparkSession), key)
     both = {"weight": "balanced", "positive_weight": "positive"}
     return with_class_weight(train, target, both).select(*MODEL_INPUTS, F.col(target).cast("double").alias("label"), "weight", "positive_weight")
 
@@ -135,9 +146,10 @@ def train_models(
     shorts: Iterable[str] = tuple(MODEL_NAMES),
     settings: TrainingSettings = TrainingSettings(),
     target: str = TARGET,
+    key: str = "encounter_id",
 ) -> list[TrainedModel]:
     """Fit the named models on one cached frame, which is released afterwards."""
-    frame = _weighted(train, target).persist(StorageLevel.MEMORY_AND_DISK)
+    frame = _training_frame(train, target, key).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return [TRAINERS[short](frame, settings) for short in shorts]
     finally:

@@ -67,38 +67,13 @@ class Vocabulary:
                     left.append(a)
                     right.append(b)
                     merged.append(rank)
-        self.bits = max(4, int(np.ceil(np.log2(4 * len(merged) + 4))))
-        keys = np.array(left, np.int64) << 32 | np.array(right, np.int64)
-        self.keys = np.full(1 << self.bits, -1, np.int64)
-        self.merged = np.full(1 << self.bits, NONE, np.int64)
-        values, at = np.array(merged, np.int64), self._slot(keys)
-        todo = np.arange(len(keys))
-        while len(todo):  # of all that want a free slot the last written stays; the others go on to the next
-            free = todo[self.keys[at[todo]] == -1]
-            self.keys[at[free]] = keys[free]
-            todo = todo[self.keys[at[todo]] != keys[todo]]
-            at[todo] = (at[todo] + 1) & (len(self.keys) - 1)
-        where = self._find(keys)
-        self.merged[where] = values
-
-    def _slot(self, keys: np.ndarray) -> np.ndarray:
-        with np.errstate(over="ignore"):
-            mixed = keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-        return (mixed >> np.uint64(64 - self.bits)).astype(np.int64)
-
-    def _find(self, keys: np.ndarray) -> np.ndarray:
-        at = self._slot(keys)
-        found = self.keys[at]
-        todo = np.flatnonzero((found != keys) & (found != -1))
-        while len(todo):
-            at[todo] = (at[todo] + 1) & (len(self.keys) - 1)
-            found = self.keys[at[todo]]
-            todo = todo[(found != keys[todo]) & (found != -1)]
-        return at
+        self.pairs = bytescan.Lookup(np.array(left, np.int64) << 32 | np.array(right, np.int64))
+        # The last place is for pairs without a rank.
+        self.merged = np.array([*merged, NONE], np.int64)
 
     def ranks_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        """The id that each pair merges to, or NONE; a free slot holds NONE."""
-        return self.merged[self._find(left << 32 | right)]
+        """The id that each pair merges to, or NONE."""
+        return self.merged[self.pairs.find(left << 32 | right)]
 
     def merge_matrix(self, ids: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rows of ids, of which the first ``size`` count, merged to the end."""

@@ -128,3 +128,37 @@ def rolling(hashes: np.ndarray, heads: np.ndarray, n: int) -> np.ndarray:
         for k in range(n):
             out = out * P3 + hashes[heads + k]
         return (out ^ (out >> U(29))) * P1
+
+
+class Lookup:
+    """Distinct 64-bit numbers, none of them the largest, by open addressing: the place of each asked number or -1."""
+
+    EMPTY = U(0xFFFFFFFFFFFFFFFF)
+
+    def __init__(self, keys: np.ndarray):
+        keys = keys.astype(U)
+        self.bits = max(4, int(np.ceil(np.log2(3 * len(keys) + 3))))
+        self.keys = np.full(1 << self.bits, self.EMPTY)
+        self.places = np.full(1 << self.bits, -1, np.int64)
+        at, todo = self._slot(keys), np.arange(len(keys))
+        while len(todo):  # of all that want a free slot the last written stays; the others go on to the next
+            free = todo[self.keys[at[todo]] == self.EMPTY]
+            self.keys[at[free]] = keys[free]
+            todo = todo[self.keys[at[todo]] != keys[todo]]
+            at[todo] = (at[todo] + 1) & (len(self.keys) - 1)
+        self.places[at] = np.arange(len(keys))
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            return ((keys * P1) >> U(64 - self.bits)).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        keys = keys.astype(U)
+        at = self._slot(keys)
+        found = self.keys[at]
+        todo = np.flatnonzero((found != keys) & (found != self.EMPTY))
+        while len(todo):
+            at[todo] = (at[todo] + 1) & (len(self.keys) - 1)
+            found = self.keys[at[todo]]
+            todo = todo[(found != keys[todo]) & (found != self.EMPTY)]
+        return self.places[at]

@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardstat.llm import byte_bpe, html_blocks, quality, simhash, toxicity
-from wardstat.llm.common import held_out, table
+from wardstat.llm import byte_bpe, decontamination, html_blocks, line_dedup, ppm, quality, sharding, simhash, toxicity, warc
+from wardstat.llm.common import held_out, stored, table
+from wardstat.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +24,40 @@ def toxicity_index(spark: SparkSession, sf_dir: str) -> toxicity.Index:
     return toxicity.fit(docs.join(labels, "doc_id"), "doc_id", "text", "toxic")
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_path(spark, "warc")
+    rows = warc.with_kind(table(spark, sf_dir, "pages"), "page_id", "url", "html")
+    index = stored(warc.write_archives(rows, folder), "warc-index")
+    return warc.read_records(index, folder, with_payload=False).select(
+        F.col("name").cast("long").alias("page_id"),
+        F.col("bytes").alias("payload_bytes"),
+        F.col("digest").alias("payload_digest"),
+        F.col("kind").alias("record_type"),
+        F.col("refers").cast("long").alias("refers_to"),
+    )
+
+
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tree = sharding.topology(40)
+    placed = sharding.assign(table(spark, sf_dir, "documents"), tree, sharding.grown(tree))
+    return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
+
+
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.size(F.split("text", "\n")).cast("long").alias("n_lines"))
+    return line_dedup.dedup_lines(docs).select(
+        "doc_id", "n_lines", F.col("_dropped").alias("n_dropped"), F.length("text").cast("long").alias("n_chars"), F.sha2("text", 256).alias("text_sha256")
+    )
+
+
+def op5_ppm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm.score(table(spark, sf_dir, "documents"), held_out("doc_id", 7, 2))
+
+
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.find_items(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     rows = simhash.with_fingerprint(docs).drop("text")
@@ -53,8 +88,13 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_warc": op1_warc,
+    "op2_sharding": op2_sharding,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
+    "op4_line_dedup": op4_line_dedup,
+    "op5_ppm_scoring": op5_ppm_scoring,
     "op6_quality_rules": op6_quality_rules,
+    "op7_decontamination": op7_decontamination,
     "op8_html_extraction": op8_html_extraction,
     "op9_toxicity": op9_toxicity,
     "op10_byte_bpe": op10_byte_bpe,

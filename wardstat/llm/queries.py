@@ -21,7 +21,7 @@ def toxicity_index(spark: SparkSession, sf_dir: str) -> toxicity.Index:
     """Fitted on the labels outside the held-out fourth."""
     labels = table(spark, sf_dir, "labels").where(~held_out("doc_id", 4, 2)).select("doc_id", "toxic")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return toxicity.fit(docs.join(labels, "doc_id"), "doc_id", "text", "toxic")
+    return toxicity.fit(docs, labels)
 
 
 def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,7 +23,7 @@ from wardstat.llm import bytescan
 from wardstat.llm.common import Shared, chunks, sql_type, stored, text_of
 
 U = np.uint64
-#: Labelled rows that the index is fitted on; those of least hash when there are more.
+#: Labelled texts that the index is fitted on, give or take chance; those of least hash when there are more.
 SAMPLE_ROWS = 20_000
 #: Terms of the index at most, those of strongest evidence.
 MOST_TERMS = 50_000
@@ -175,15 +175,23 @@ class Index:
         return (toxic + PRIOR_WEIGHT * self.prior) / (total + PRIOR_WEIGHT), names, near
 
 
-def fit(labelled: DataFrame, key: str, text: str, label: str, sample_rows: int = SAMPLE_ROWS) -> Index:
-    """An index of at most ``sample_rows`` rows of ``labelled``, those of least hash of the key. Rows without a label
-    don't count; without any row, or with one label only, no term is selected and the prior is all there is."""
-    spark = labelled.sparkSession
-    sample = labelled.where(F.col(f"`{label}`").isNotNull()).select(
-        F.col(f"`{key}`").alias("key"), F.col(f"`{label}`").cast("int").alias("label"), F.lower(text_of(text)).alias("text")
-    )
-    sample = stored(sample.orderBy(F.xxhash64("key"), "key").limit(sample_rows), "labelled")
-    return _fit(spark, sample.repartition(max(2, spark.sparkContext.defaultParallelism)))
+def fit(
+    docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", sample_rows: int = SAMPLE_ROWS
+) -> Index:
+    """An index of about ``sample_rows`` labelled texts at most, those of least hash of the key.
+
+    Keys without a label or a text don't count; a key with several labels has the greatest, one with several texts any
+    of them. Without any row, or with one label only, no term is selected and the prior is all there is.
+    """
+    spark = docs.sparkSession
+    known = labels.where(F.col(f"`{label}`").isNotNull()).groupBy(F.col(f"`{key}`").alias("key"))
+    known = known.agg(F.max(F.col(f"`{label}`").cast("int")).alias("label"))
+    unit = F.shiftrightunsigned(F.xxhash64("key"), 11) * F.lit(2.0**-53)
+    chosen = known.where(unit < sample_rows / max(1, known.count()))
+    texts = docs.select(F.col(f"`{key}`").alias("key"), F.lower(text_of(text)).alias("text"))
+    # The chosen keys are as many as the sample has rows, whatever the tables hold.
+    sample = texts.join(F.broadcast(chosen), "key").dropDuplicates(["key"]).select("key", "label", "text")
+    return _fit(spark, stored(sample, "labelled"))
 
 
 def _fit(spark: SparkSession, sample: DataFrame) -> Index:

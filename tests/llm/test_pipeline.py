@@ -44,7 +44,7 @@ def test_stages_one_by_one(spark):
 def test_pipeline_survives_empty_and_odd_documents(spark, docs, empty, tmp_path):
     for name, rows in (("odd", docs), ("none", empty)):
         folder = f"{tmp_path}/{name}"
-        rows.select("doc_id", "text", F.lit("en").alias("lang"), "key", F.length("text").cast("long").alias("n_chars")).write.parquet(f"{folder}/documents.parquet")
+        rows.select("doc_id", "text", F.lit("en").alias("lang"), "key", F.length("text").cast("long").alias("n_chars"), "_row", "_text", F.col("h").alias("_Dropped"), F.col("h").alias("_toxic")).write.parquet(f"{folder}/documents.parquet")
         for other in ("labels", "benchmark"):
             table(spark, SF, other).write.parquet(f"{folder}/{other}.parquet")
         found = corpus_pipeline.run(spark, folder)

@@ -93,9 +93,10 @@ def test_components_on_all_kinds_of_rows(docs, empty):
     marked = [(k, fingerprint(t)) for k, t in rows]
     least = components(marked)
     assert got == Counter((k, t, f, least[f]) for (k, t), (_, f) in zip(rows, marked))
-    assert {c for c in docs.columns} <= set(found.columns)
+    assert set(docs.columns) < set(found.columns)
     kept = simhash.keep_one(docs)
     assert kept.columns == docs.columns
-    ids = sorted((r["doc_id"] for r in kept.collect()), key=lambda k: (k is None, k))
-    assert ids == sorted(set(least.values()), key=lambda k: (k is None, k))
+    ids = [r["doc_id"] for r in kept.collect()]
+    # A key with two texts can be the least of two groups.
+    assert set(ids) == set(least.values()) and len(ids) == found.select("_part").distinct().count()
     assert simhash.near_duplicates(empty).count() == simhash.keep_one(empty).count() == 0

@@ -50,6 +50,23 @@ def held_out(key: str, modulus: int, remainder: int) -> Column:
     return F.crc32(F.coalesce(F.col(f"`{key}`").cast("string"), F.lit("")).cast("binary")) % modulus == remainder
 
 
+def fresh(columns: list[str], name: str) -> str:
+    """``name``, lengthened until no column has it."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def aside(docs: DataFrame, *reserved: str) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` with columns of reserved names renamed, and how to name them back."""
+    names = {}
+    for c in docs.columns:
+        if c.lower() in reserved:
+            names[c] = fresh([*docs.columns, *names.values(), *reserved], c)
+    return docs.withColumnsRenamed(names), {new: old for old, new in names.items()}
+
+
 def sql_type(df: DataFrame, column: str) -> DataType:
     return df.schema[column].dataType
 

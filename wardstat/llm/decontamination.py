@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from wardstat.llm import bytescan
-from wardstat.llm.common import Shared, chunks, sql_type, text_of
+from wardstat.llm.common import Shared, chunks, fresh, sql_type, text_of
 
 U = np.uint64
 #: Text bytes of the items that go over the documents together; a larger benchmark takes several passes.
@@ -177,20 +177,20 @@ def drop_contaminated(
     share: float = 0.8,
 ) -> DataFrame:
     """``docs`` without the rows that ``find_items`` would find an item in; a row passes or goes where it is read."""
-    columns, schema = docs.columns, docs.schema
+    columns, schema, plain = docs.columns, docs.schema, fresh(docs.columns, "_lower")
     for held in _held_items(spark, benchmark, item_key, item_text, shingle, share):
-        marked = docs.select("*", F.lower(text_of(text)).alias("_lower"))
-        docs = marked.mapInArrow(_keep(held, columns), schema)
+        marked = docs.select("*", F.lower(text_of(text)).alias(plain))
+        docs = marked.mapInArrow(_keep(held, columns, plain), schema)
     return docs
 
 
-def _keep(held: Shared, columns: list[str]):
+def _keep(held: Shared, columns: list[str], plain: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         groups = held.load()
-        for part in chunks(batches, "_lower"):
+        for part in chunks(batches, plain):
             clean = np.ones(part.num_rows, bool)
             for group in groups:
-                clean[[row for row, _, _ in group.contained(part.column("_lower"))]] = False
+                clean[[row for row, _, _ in group.contained(part.column(plain))]] = False
             yield part.select(columns).filter(pa.array(clean))
 
     return run

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from wardstat.llm import bytescan
-from wardstat.llm.common import chunks, stored, text_of
+from wardstat.llm.common import aside, chunks, fresh, stored, text_of
 from wardstat.llm.components import connected_components
 
 U = np.uint64
@@ -29,6 +29,8 @@ U = np.uint64
 CELL = 4096
 #: Lists up to this length are compared pair by pair across a whole batch.
 SHORT = 16
+#: Columns that near_duplicates adds.
+ADDED = ("_fp", "_row", "_part", "_component")
 LANES = U(0x0001000100010001)
 SEVENS = U(0x7F7F7F7F7F7F7F7F)
 
@@ -72,14 +74,14 @@ def fingerprints_of(texts: pa.Array, shingle: int = 4) -> np.ndarray:
 def with_fingerprint(docs: DataFrame, text: str = "text", name: str = "_fp", shingle: int = 4) -> DataFrame:
     """``docs`` with the signed 64-bit fingerprint of ``text``; a null text has no words, so 0."""
     schema = StructType([*docs.schema.fields, StructField(name, LongType())])
-    columns = docs.columns
+    columns, plain = docs.columns, fresh([*docs.columns, name], "_text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in chunks(batches, "_text"):
-            fp = fingerprints_of(part.column("_text"), shingle).view(np.int64)
+        for part in chunks(batches, plain):
+            fp = fingerprints_of(part.column(plain), shingle).view(np.int64)
             yield pa.RecordBatch.from_arrays([*(part.column(c) for c in columns), pa.array(fp)], [*columns, name])
 
-    return docs.select("*", text_of(text).alias("_text")).mapInArrow(run, schema)
+    return docs.select("*", text_of(text).alias(plain)).mapInArrow(run, schema)
 
 
 def covering_positions(max_bits: int) -> list[tuple[int, ...]]:
@@ -207,13 +209,14 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     Null and empty texts have fingerprint 0, are equal to each other and linked like others. Columns of ``docs``
     with one of the added names are replaced.
     """
-    own = [f"`{c}`" for c in docs.columns if c not in ("_fp", "_row", "_part", "_component", "_text")]
+    own = [f"`{c}`" for c in docs.columns if c.lower() not in ADDED]
     return components(with_fingerprint(docs.select(own), text, "_fp", shingle), key, max_bits)
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 4, max_bits: int = 4) -> DataFrame:
     """One document of each group of near duplicates: that with the smallest key, of equal keys any one row.
     The columns of ``docs`` stay as they are."""
-    marked = near_duplicates(docs, key, text, shingle, max_bits)
+    renamed, back = aside(docs, *ADDED)
+    marked = near_duplicates(renamed, key, text, shingle, max_bits)
     kept = marked.where(F.col(f"`{key}`").eqNullSafe(F.col("_component"))).groupBy("_part").agg(F.min("_row").alias("_row"))
-    return marked.join(kept, "_row", "left_semi").select([f"`{c}`" for c in docs.columns])
+    return marked.join(kept, "_row", "left_semi").drop(*ADDED).withColumnsRenamed(back).select([f"`{c}`" for c in docs.columns])

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, DoubleType, IntegerType, LongType, StructField, StructType
 
 from wardstat.llm import bytescan
-from wardstat.llm.common import Shared, chunks, sql_type, stored, text_of
+from wardstat.llm.common import Shared, chunks, fresh, sql_type, stored, text_of
 
 U = np.uint64
 #: Labelled texts that the index is fitted on, give or take chance; those of least hash when there are more.
@@ -36,6 +36,8 @@ BLOCK = 64
 #: A neighbour's vote weighs its cosine to this power; the prior has a vote of this weight.
 CLOSENESS = 4
 PRIOR_WEIGHT = 0.02
+#: Columns that score adds; those of ``docs`` with these names are replaced.
+ADDED = ("_score", "_toxic", "_evidence")
 LETTER = np.zeros(256, bool)
 LETTER[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
 
@@ -252,7 +254,8 @@ def score(docs: DataFrame, index: Index, key: str = "doc_id", text: str = "text"
     """``docs`` (all columns) with ``_score`` and ``_toxic`` (score at least ``threshold``), and on request ``_evidence``:
     the keys of the nearest examples. Texts without a selected term, also null and empty ones, get the prior."""
     held = Shared(docs.sparkSession, index)
-    columns = [c for c in docs.columns if c not in ("_score", "_toxic", "_evidence", "_text")]
+    columns = [c for c in docs.columns if c.lower() not in ADDED]
+    plain = fresh([*columns, *ADDED], "_text")
     fields = [*(docs.schema[c] for c in columns), StructField("_score", DoubleType()), StructField("_toxic", BooleanType())]
     if evidence:
         fields.append(StructField("_evidence", ArrayType(sql_type(docs, key))))
@@ -260,8 +263,8 @@ def score(docs: DataFrame, index: Index, key: str = "doc_id", text: str = "text"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = held.load()
-        for part in chunks(batches, "_text"):
-            found = terms_of(part.column("_text"), index)
+        for part in chunks(batches, plain):
+            found = terms_of(part.column(plain), index)
             weights = index.weights(found)
             scores = np.full(part.num_rows, index.prior)
             near: list = [[] for _ in range(part.num_rows)]
@@ -276,4 +279,4 @@ def score(docs: DataFrame, index: Index, key: str = "doc_id", text: str = "text"
                 out.append(pa.array(near, pa.list_(part.column(key).type)))
             yield pa.RecordBatch.from_arrays(out, schema.names)
 
-    return docs.select(*(f"`{c}`" for c in columns), F.lower(text_of(text)).alias("_text")).mapInArrow(run, schema)
+    return docs.select(*(f"`{c}`" for c in columns), F.lower(text_of(text)).alias(plain)).mapInArrow(run, schema)

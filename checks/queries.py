@@ -27,6 +27,7 @@ from wardstat.operators.classifiers import (
     predict,
     save_model,
     train_models,
+    with_probability,
 )
 from wardstat.operators.cohort import (
     DEATH_OR_HOSPICE,
@@ -41,16 +42,17 @@ from wardstat.operators.features import cast_counts, engineer_features
 from wardstat.operators.scaling import apply_scaler, fit_scaler
 from wardstat.operators.scoring import log_predictions, score, with_score
 from wardstat.plans.answers import refresh_kpis
-from wardstat.session import scratch_path
+from wardstat.session import scratch_path, stored
 from wardstat.sources.encounters import PANDAS_NA_TOKENS, normalise_nulls, read_encounters, read_feature_rows
 from wardstat.sources.schemas import FEATURES, KPIS, METRICS, MODEL_INPUTS
-from wardstat.sources.tables import append_predictions, export_csv, export_metrics, read_table, write_table
+from wardstat.sources.tables import append_predictions, export_csv, export_metrics, path_exists, read_table, write_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 RUN_TIME = "2024-03-01 12:00:00"
-# Fewer trees and rounds than the defaults, all rows.
-SHORT_TRAINING = TrainingSettings(rf_trees=20, gbt_rounds=10)
+# Stored split and models by application and tables folder: trained once, with the default settings, whichever query
+# asks first.
+_TRAINED: dict[tuple[str, str], str] = {}
 
 
 def _on(view: Callable[[SparkSession, str], DataFrame], operator: Callable[[DataFrame], DataFrame]) -> Query:
@@ -62,7 +64,24 @@ def _two_models(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _split_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return split.stratified_split(stored_features(spark, sf_dir))
+    """Every feature row with its part of the split, written once per call: what reads it reads no more than that."""
+    return stored(split.stratified_split(stored_features(spark, sf_dir)), "split")
+
+
+def _trained(spark: SparkSession, sf_dir: str, *shorts: str) -> str:
+    """The folder with the split and the asked models; what is missing is trained first."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _TRAINED:
+        folder = scratch_path(spark, "trained")
+        write_table(split.stratified_split(stored_features(spark, sf_dir)), f"{folder}/split")
+        _TRAINED[key] = folder
+    folder = _TRAINED[key]
+    missing = [short for short in shorts if not path_exists(spark, f"{folder}/{short}")]
+    if missing:
+        train = read_table(spark, f"{folder}/split").filter("split = 'train'")
+        for model in train_models(train, missing):
+            save_model(model, folder)
+    return folder
 
 
 def _train_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,7 +130,8 @@ def _table_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _feature_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "feature-rows")
-    export_csv(features(spark, sf_dir).select("encounter_id", *MODEL_INPUTS), path)
+    rows = features(spark, sf_dir).select("encounter_id", *MODEL_INPUTS)
+    export_csv(rows.withColumn("age_mid", F.col("age_mid") + 0.25), path)
     return read_feature_rows(spark, path)
 
 
@@ -178,11 +198,11 @@ def _strict_counts(df: DataFrame) -> DataFrame:
 
 
 def _scaled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Test rows scaled by what the training rows show, rounded for the comparison."""
+    """Rows of both parts scaled by what the training rows show, rounded for the comparison."""
     rows = _split_rows(spark, sf_dir)
     params = fit_scaler(rows.filter("split = 'train'"))
-    scaled = apply_scaler(rows.filter("split = 'test'"), params)
-    return scaled.select("encounter_id", *[F.round(name, 6).alias(name) for name in MODEL_INPUTS])
+    scaled = apply_scaler(rows, params)
+    return scaled.select("encounter_id", "split", *[F.round(name, 6).alias(name) for name in MODEL_INPUTS])
 
 
 def _scaler_params(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -211,30 +231,94 @@ def _test_scores(*shorts: str) -> Query:
     """Test-set predictions of models trained on the other rows."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        rows = _split_rows(spark, sf_dir)
-        models = train_models(rows.filter("split = 'train'"), shorts, SHORT_TRAINING)
-        return predict(models, rows.filter("split = 'test'"))
+        folder = _trained(spark, sf_dir, *shorts)
+        models = [load_model(spark, folder, short) for short in shorts]
+        return predict(models, read_table(spark, f"{folder}/split").filter("split = 'test'"))
+
+    return run
+
+
+def _checked_scores(short: str) -> Query:
+    """Test rows of one model, with what must hold of each: a probability from 0 to 1, and the label 1 above one half."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        p = F.col("predicted_proba")
+        return _test_scores(short)(spark, sf_dir).select(
+            "encounter_id",
+            "model_name",
+            "actual_label",
+            p.between(0, 1).alias("is_probability"),
+            ((p > 0.5).cast("int") == F.col("predicted_label")).alias("label_fits"),
+        )
 
     return run
 
 
 def _importances(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rf, gbt = train_models(_train_rows(spark, sf_dir), ["rf", "gbt"], SHORT_TRAINING)
-    return feature_importance(spark, rf).unionByName(feature_importance(spark, gbt))
+    folder = _trained(spark, sf_dir, "rf", "gbt")
+    rf, gbt = (feature_importance(spark, load_model(spark, folder, short)) for short in ("rf", "gbt"))
+    return rf.unionByName(gbt)
+
+
+def _checked_importances(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per tree model: inputs shown, whether importances fall and stay within 0 to 1, and their sum over all inputs."""
+    folder = _trained(spark, sf_dir, "rf", "gbt")
+    out = []
+    for short in ("rf", "gbt"):
+        model = load_model(spark, folder, short)
+        weights = [row["importance"] for row in feature_importance(spark, model).collect()]
+        everything = [row["importance"] for row in feature_importance(spark, model, len(MODEL_INPUTS)).collect()]
+        fall = weights == sorted(weights, reverse=True) and 0 <= weights[-1] and weights[0] <= 1
+        out.append((model.name, len(weights), len(everything), fall, round(sum(everything), 9)))
+    return spark.createDataFrame(out, "model_name string, n_shown int, n_inputs int, in_order boolean, total double")
+
+
+def _lr_gradient(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per input, whether the gradient of the published objective vanishes at the trained coefficients.
+
+    The objective is the weighted log loss summed over all training rows plus half the squared coefficients over C.
+    The gradient is taken relative to the sum of weights.
+    """
+    folder = _trained(spark, sf_dir, "lr")
+    model = load_model(spark, folder, "lr")
+    weights = model.pipeline.stages[-1].coefficients.toArray().tolist()
+    train = read_table(spark, f"{folder}/split").filter("split = 'train'").select("encounter_id", *MODEL_INPUTS, "readmitted_30")
+    rows = split.with_class_weight(apply_scaler(with_probability(train, model), model.scaler))
+    error = (F.col("lr_proba") - F.col("readmitted_30")) * F.col("weight")
+    sums = rows.agg(F.sum("weight").alias("_all"), F.sum(error).alias("intercept"), *[F.sum(error * F.col(c)).alias(c) for c in MODEL_INPUTS])
+    parts = [F.struct(F.lit("intercept").alias("feature"), (F.col("intercept") / F.col("_all")).alias("g"))]
+    for name, weight in zip(MODEL_INPUTS, weights, strict=True):
+        slope = F.col(name) + F.lit(weight / TrainingSettings().lr_c)
+        parts.append(F.struct(F.lit(name).alias("feature"), (slope / F.col("_all")).alias("g")))
+    return sums.select(F.inline(F.array(*parts))).select("feature", (F.abs("g") < 1e-6).alias("is_flat"))
 
 
 def _batch_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Train, store, load again, and score every feature row."""
-    folder = scratch_path(spark, "models")
-    for model in train_models(_train_rows(spark, sf_dir), ["lr"], SHORT_TRAINING):
-        save_model(model, folder)
-    return score(features(spark, sf_dir), load_model(spark, folder, "lr"))
+    """The stored model, loaded, over every feature row."""
+    return score(features(spark, sf_dir), load_model(spark, _trained(spark, sf_dir, "lr"), "lr"))
+
+
+def _checked_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every scored row: the flag from one half on, a tier of the published ones, and the model's name."""
+    p = F.col("readmission_probability")
+    return _batch_scores(spark, sf_dir).select(
+        "encounter_id",
+        "model_used",
+        p.between(0, 1).alias("is_probability"),
+        # The shown probability is rounded; at one half exactly it doesn't tell.
+        ((p == 0.5) | ((p > 0.5).cast("int") == F.col("`predicted_readmission_<30d`"))).alias("flag_fits"),
+    )
+
+
+def _checked_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The logged run: exactly the test rows, of one model, the one of greatest ROC area."""
+    logged = _logged_best(spark, sf_dir)
+    return logged.select("run_id", "run_timestamp", "encounter_id", "actual_label")
 
 
 def _logged_best(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path, kept = scratch_path(spark, "best-log"), scratch_path(spark, "test-predictions")
-    write_table(_test_scores("lr", "rf")(spark, sf_dir), kept)
-    preds = read_table(spark, kept)
+    path = scratch_path(spark, "best-log")
+    preds = stored(_test_scores("lr", "rf", "gbt")(spark, sf_dir), "test-predictions")
     best = metrics.best_model(metrics.model_metrics(preds)).first()["model_name"]
     log_predictions(preds, best, path, "run-1", RUN_TIME)
     return read_table(spark, path)
@@ -259,6 +343,7 @@ QUERIES: dict[str, Query] = {
     # features
     "engineer_features": features,
     "cohort_features": cohort_features,
+    "features_pandas_nulls": _on(encounters, lambda df: engineer_features(normalise_nulls(df, PANDAS_NA_TOKENS))),
     "cast_counts": _on(encounters, _strict_counts),
     "age_midpoint": _on(
         encounters, lambda df: df.select("encounter_id", age_midpoint(age_bounds(F.col("age"))).alias("age_mid"))
@@ -324,4 +409,12 @@ QUERIES: dict[str, Query] = {
     "feature_importance": _importances,
     "batch_scores": _batch_scores,
     "log_predictions": _logged_best,
+    # what must hold of trained models, with SQL
+    "lr_checked": _checked_scores("lr"),
+    "rf_checked": _checked_scores("rf"),
+    "gbt_checked": _checked_scores("gbt"),
+    "importances_checked": _checked_importances,
+    "lr_gradient": _lr_gradient,
+    "batch_checked": _checked_batch,
+    "log_checked": _checked_log,
 }

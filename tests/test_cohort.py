@@ -84,16 +84,15 @@ def test_duplicates_and_orphans(spark):
     assert [r["v"] for r in orphan_rows(child, parent, ["k"]).collect()] == ["c"]
 
 
-def test_many_orphans_take_the_shuffle_join(spark, monkeypatch):
-    from wardstat.operators import small
-
+def test_orphans_meet_distinct_parents_without_a_forced_broadcast(spark):
     child = spark.range(100).withColumnRenamed("id", "k")
-    parent = child.filter("k < 10")
-    few = orphan_rows(child, parent, ["k"])
-    monkeypatch.setattr(small, "BROADCAST_ROWS", 5)
-    many = orphan_rows(child, parent, ["k"])
-    assert sorted(few.collect()) == sorted(many.collect()) and few.count() == 90
-    assert "ResolvedHint" not in many._jdf.queryExecution().analyzed().toString()
+    parent = child.filter("k < 10").union(spark.range(5000).selectExpr("3 as k"))
+    found = orphan_rows(child, parent, ["k"])
+    assert sorted(r["k"] for r in found.collect()) == list(range(10, 100))
+    plan = found._jdf.queryExecution()
+    assert "ResolvedHint" not in plan.analyzed().toString()
+    # The parent's keys are made distinct below the join.
+    assert "Aggregate" in plan.optimizedPlan().toString().split("LeftAnti")[1]
 
 
 def test_stage_counts(raw):

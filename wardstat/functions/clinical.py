@@ -13,7 +13,7 @@ ICD9_DIABETES = [(250, 251)]
 ICD9_CIRCULATORY = [(390, 460), (785, 786)]
 ICD9_RESPIRATORY = [(460, 520), (786, 787)]
 
-_BLANKS = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u2028\u2029\u202f\u205f\u3000"
+_BLANKS = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 _NUMBER_CHARACTERS = "0123456789+-.eE"
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
@@ -14,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardstat.operators.scaling import apply_scaler, fit_scaler
-from wardstat.operators.split import with_class_weight
+from wardstat.operators.split import class_balance, weighted
 from wardstat.session import use_checkpoints
 from wardstat.sources.schemas import MODEL_INPUTS, TARGET
 from wardstat.sources.tables import path_exists, read_table, write_table
@@ -24,6 +25,8 @@ MODEL_NAMES = {"lr": "Logistic Regression", "rf": "Random Forest", "gbt": "Gradi
 
 _SCALED = "_scaled"
 
+log = logging.getLogger(__name__)
+
 
 @dataclass(frozen=True)
 class TrainingSettings:
@@ -40,8 +43,8 @@ class TrainingSettings:
     gbt_rows: float = 0.8
     gbt_columns: float = 0.8
     seed: int = 42
-    # Enough bins to give every whole-number feature a bin per value.
-    max_bins: int = 128
+    # A bin per value for whole numbers below 256; train_models reports inputs with more values.
+    max_bins: int = 256
 
 
 @dataclass(frozen=True)
@@ -57,20 +60,30 @@ class TrainedModel:
         return MODEL_NAMES[self.short]
 
 
-def _training_partitions(spark: SparkSession) -> int:
-    """At least one partition per core, and as many as the session plans for a shuffle."""
-    return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+#: Training rows of one partition.
+ROWS_PER_PARTITION = 500_000
 
 
 def _training_frame(train: DataFrame, target: str, key: str) -> DataFrame:
     """Inputs, label and weights, spread evenly by key.
 
     Training passes over the frame hundreds of times, in step with its biggest partition; one shuffle
-    of these narrow rows buys even partitions whatever the files look like.
+    of these narrow rows buys even partitions whatever the files look like. Classes are counted before it, and the
+    count says how many partitions there are: one per core at least.
     """
-    train = train.select(key, *MODEL_INPUTS, target).repartition(_training_partitions(train.sparkSession), key)
+    spark = train.sparkSession
+    rows = class_balance(train, target).collect()
+    balance = spark.createDataFrame(rows, train.select(target, F.lit(0).cast("long").alias("n")).schema)
+    parts = max(spark.sparkContext.defaultParallelism, -(-sum(row["n"] for row in rows) // ROWS_PER_PARTITION))
     both = {"weight": "balanced", "positive_weight": "positive"}
-    return with_class_weight(train, target, both).select(*MODEL_INPUTS, F.col(target).cast("double").alias("label"), "weight", "positive_weight")
+    frame = weighted(train.select(key, *MODEL_INPUTS, target).repartition(parts, key), balance, target, both)
+    return frame.select(*MODEL_INPUTS, F.col(target).cast("double").alias("label"), "weight", "positive_weight")
+
+
+def coarse_inputs(frame: DataFrame, max_bins: int) -> dict[str, int]:
+    """Inputs with more distinct values than bins, and about how many they have: trees see these in bins."""
+    counts = frame.agg(*[F.approx_count_distinct(name, 0.01).alias(name) for name in MODEL_INPUTS]).first()
+    return {name: counts[name] for name in MODEL_INPUTS if counts[name] > max_bins}
 
 
 def _fit(frame: DataFrame, short: str, classifier, inputs: Sequence[str]) -> PipelineModel:
@@ -151,6 +164,9 @@ def train_models(
     """Fit the named models on one cached frame, which is released afterwards."""
     frame = _training_frame(train, target, key).persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        coarse = coarse_inputs(frame, settings.max_bins)
+        if coarse:
+            log.warning("inputs with more values than %s bins: %s", settings.max_bins, coarse)
         return [TRAINERS[short](frame, settings) for short in shorts]
     finally:
         frame.unpersist()

@@ -69,44 +69,33 @@ def roc_curve(preds: DataFrame) -> DataFrame:
     best = (F.col("cum_pos") == F.col("pos")) & (F.col("cum_neg") == F.col("neg"))
     end = F.col("next_pos").isNull()
     bend = (F.col("next_pos") != F.col("pos")) | (F.col("next_neg") != F.col("neg"))
-    points = table.filter(best | end | bend).select(
-        MODEL,
-        F.col(SCORE).alias("threshold"),
+    point = F.struct(
+        F.col(SCORE).cast("double").alias("threshold"),
         safe_ratio(F.col("cum_neg"), F.col("all_neg")).alias("fpr"),
         safe_ratio(F.col("cum_pos"), F.col("all_pos")).alias("tpr"),
     )
-    origin = preds.select(MODEL).distinct().select(
-        MODEL,
-        F.lit(None).cast("double").alias("threshold"),
-        F.lit(0.0).alias("fpr"),
-        F.lit(0.0).alias("tpr"),
-    )
-    return origin.unionByName(points)
+    origin = F.struct(F.lit(None).cast("double").alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
+    # The best score of a model brings the origin along.
+    rows = F.when(best, F.array(origin, point)).otherwise(F.array(point))
+    return table.filter(best | end | bend).select(MODEL, F.inline(rows))
 
 
 def pr_curve(preds: DataFrame) -> DataFrame:
     """Precision and recall per distinct score, the end point (1, 0), and the share of positives."""
     share = safe_ratio(F.col("all_pos"), F.col("all_pos") + F.col("all_neg"))
-    points = score_table(preds).select(
-        MODEL,
-        F.col(SCORE).alias("threshold"),
+    point = F.struct(
+        F.col(SCORE).cast("double").alias("threshold"),
         safe_ratio(F.col("cum_pos"), F.col("cum_pos") + F.col("cum_neg")).alias("precision"),
         safe_ratio(F.col("cum_pos"), F.col("all_pos")).alias("recall"),
-        share.alias("prevalence"),
     )
-    end = preds.groupBy(MODEL).agg(F.avg(F.col(LABEL).cast("double")).alias("prevalence")).select(
-        MODEL,
-        F.lit(None).cast("double").alias("threshold"),
-        F.lit(1.0).alias("precision"),
-        F.lit(0.0).alias("recall"),
-        "prevalence",
-    )
-    return points.unionByName(end)
+    end = F.struct(F.lit(None).cast("double").alias("threshold"), F.lit(1.0).alias("precision"), F.lit(0.0).alias("recall"))
+    rows = F.when(F.col("next_pos").isNull(), F.array(point, end)).otherwise(F.array(point))
+    return score_table(preds).select(MODEL, F.inline(rows), share.alias("prevalence"))
 
 
 def _cells(preds: DataFrame) -> DataFrame:
     """The four confusion counts, one row per model."""
-    actual, guess = F.col(LABEL) == 1, F.col(GUESS) == 1
+    actual, guess = required(F.col(LABEL), LABEL) == 1, required(F.col(GUESS), GUESS) == 1
     return preds.groupBy(MODEL).agg(
         F.count_if(~actual & ~guess).alias("tn"),
         F.count_if(~actual & guess).alias("fp"),
@@ -178,11 +167,16 @@ def model_metrics(preds: DataFrame) -> DataFrame:
 
 def metrics_table(preds: DataFrame) -> DataFrame:
     """The metrics file: four decimals, one row per model."""
+    return rounded_metrics(model_metrics(preds))
+
+
+def rounded_metrics(found: DataFrame) -> DataFrame:
+    """The metrics file from the unrounded metrics."""
     names = {
         "ROC_AUC": "roc_auc", "AUCPR": "average_precision", "F1": "f1",
         "Precision_class1": "precision", "Recall_class1": "recall",
     }
-    return model_metrics(preds).select(
+    return found.select(
         F.col(MODEL).alias("Model"), *[F.round(col, 4).alias(name) for name, col in names.items()]
     )
 

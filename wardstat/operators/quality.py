@@ -7,8 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardstat.operators.small import settle
-
 
 def duplicate_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
     """Keys that occur more than once, with their count. No row means the key is unique."""
@@ -18,12 +16,13 @@ def duplicate_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
 def orphan_rows(child: DataFrame, parent: DataFrame, key: Sequence[str]) -> DataFrame:
     """Rows of ``child`` whose key is set but absent from ``parent``.
 
-    Only distinct keys are shuffled: a hot key collapses in the map tasks, and the wide rows are
-    then picked by the missing keys, broadcast where these are few.
+    Of ``parent`` only distinct keys are shuffled, so a hot key there collapses in the map tasks; a hot key of ``child``
+    is split by the adaptive planner, as the left side of an anti or semi join can be. The wide rows are picked by
+    the missing keys, which that planner broadcasts where they are few.
     """
     key = list(key)
-    missing = child.select(key).dropna().distinct().join(parent.select(key), key, "left_anti")
-    return child.join(settle(missing), key, "left_semi")
+    missing = child.select(key).dropna().distinct().join(parent.select(key).distinct(), key, "left_anti")
+    return child.join(missing, key, "left_semi")
 
 
 def stage_counts(raw: DataFrame, cohort: DataFrame, features: DataFrame) -> DataFrame:

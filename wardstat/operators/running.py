@@ -4,40 +4,27 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.ml.feature import Bucketizer, QuantileDiscretizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Buckets per shuffle partition, and the bounds on their number.
-BUCKETS_PER_PARTITION, FEWEST_BUCKETS, MOST_BUCKETS = 4, 64, 16_384
+from wardstat.session import stored
 
+#: Distinct points that one bucket holds about: what is sorted together.
+POINTS_PER_BUCKET = 100_000
 
-def _bucket_count(df: DataFrame) -> int:
-    """Range buckets to use: a few per shuffle partition, so that they grow with the cluster's settings."""
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return min(max(BUCKETS_PER_PARTITION * partitions, FEWEST_BUCKETS), MOST_BUCKETS)
 
+def _with_bucket(points: DataFrame, order: str, buckets: int | None) -> DataFrame:
+    """The points, stored once, with the number of their range of the order column.
 
-def _with_bucket(points: DataFrame, source: DataFrame, order: str, buckets: int) -> DataFrame:
-    """Points with the index of their range bucket, buckets holding about equally many source rows.
-
-    The edges are approximate quantiles from one scan of the order column. They become constants of the
-    plan: every use and every retry sees the same buckets, and they steer balance only, never the result.
+    Ranges are as many as the points ask for. Spark's range partitioning finds their edges from a bounded sample per
+    partition, and the stored number fixes them for every later use and retry.
     """
-    value = F.col(order).cast("double").alias("_x")
-    column = source.select(value)
-    if column.isEmpty():
-        bucketizer = Bucketizer(splits=[float("-inf"), 0.0, float("inf")], inputCol="_x", outputCol="_bucket")
-    else:
-        bucketizer = QuantileDiscretizer(
-            numBuckets=buckets, relativeError=1 / (2 * buckets), inputCol="_x", outputCol="_bucket"
-        ).fit(column)
-    return (
-        bucketizer.setHandleInvalid("error")
-        .transform(points.withColumn("_x", F.col(order).cast("double")))
-        .withColumn("_bucket", F.col("_bucket").cast("int"))
-        .drop("_x")
-    )
+    kept = stored(points, "points")
+    buckets = buckets or -(-kept.count() // POINTS_PER_BUCKET)
+    if buckets < 2:
+        return kept.withColumn("_bucket", F.lit(0))
+    ranged = kept.repartitionByRange(buckets, order).withColumn("_bucket", F.spark_partition_id())
+    return stored(ranged, "ranged-points")
 
 
 def running_totals(
@@ -55,14 +42,13 @@ def running_totals(
     the end). Order values must not be null.
 
     Equal values are summed before anything is ordered, so a value held by a large share of the rows
-    is one row. Values are then spread over range buckets with about the same number of input rows
-    each. Bucket totals, ``buckets`` rows per group, give every bucket what comes before it and what
-    comes next; these join the bucket as a first and a last row, and only the rows of one bucket are
-    sorted together. Totals and rows read the same summed values, whose exchange Spark reuses.
+    is one row; ``df`` is read for that and never again. Values are then spread over range buckets. Bucket totals,
+    ``buckets`` rows per group, give every bucket what comes before it and what comes next; these join the
+    bucket as a first and a last row, and only the rows of one bucket are sorted together.
     """
     keys, names = list(group), list(sums)
     points = df.groupBy(*keys, order).agg(*[F.sum(col).alias(name) for name, col in sums.items()])
-    bucketed = _with_bucket(points, df, order, buckets or _bucket_count(df))
+    bucketed = _with_bucket(points, order, buckets)
     direction = F.desc if descending else F.asc
     first = F.max_by if descending else F.min_by
 

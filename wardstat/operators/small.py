@@ -1,21 +1,12 @@
-"""Sides of a join that are expected, but not known, to be small."""
+"""Sides of a join that are small by construction."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 10_000
 
-
-def settle(side: DataFrame, limit: int | None = None) -> DataFrame:
-    """``side`` as fixed rows marked for broadcast, once it is known to have at most ``limit`` rows.
-
-    One job fetches at most ``limit + 1`` rows. A bigger side comes back as it is: it is then joined by
-    shuffle, where the adaptive planner splits skewed partitions, so no answer depends on the limit.
-    """
-    limit = BROADCAST_ROWS if limit is None else limit
-    rows = side.limit(limit + 1).collect()
-    if len(rows) > limit:
-        return side
-    return F.broadcast(side.sparkSession.createDataFrame(rows, side.schema))
+def settle(side: DataFrame) -> DataFrame:
+    """``side`` as fixed rows marked for broadcast. Only for sides with a row per class, model or group of a summary;
+    what they are computed from is then read once, and not again by the join's plan."""
+    return F.broadcast(side.sparkSession.createDataFrame(side.collect(), side.schema))

@@ -38,10 +38,16 @@ def class_weights(df: DataFrame, target: str = TARGET, mode: str = "balanced") -
 
 
 def with_class_weight(df: DataFrame, target: str = TARGET, modes: Mapping[str, str] | None = None) -> DataFrame:
-    """Rows with the weights of their class, one column per (name, mode); classes are counted once."""
+    """Rows with the weights of their class, one column per (name, mode); a row without a class stops the job."""
+    return weighted(df, class_balance(df, target), target, modes)
+
+
+def weighted(df: DataFrame, balance: DataFrame, target: str = TARGET, modes: Mapping[str, str] | None = None) -> DataFrame:
+    """As ``with_class_weight``, with the rows per class already counted."""
     modes = modes or {"weight": "balanced"}
     weights = [_weight(mode, target).alias(name) for name, mode in modes.items()]
-    return df.join(settle(class_balance(df, target).select(target, *weights)), target)
+    checked = df.withColumn(target, required(F.col(target), target))
+    return checked.join(settle(balance.select(target, *weights)), target)
 
 
 def _row_hash(key: str, seed: int) -> Column:

@@ -13,6 +13,7 @@ from wardstat.functions.labels import AGE_EDGES_SUMMARY, AGE_LABELS, cut
 from wardstat.functions.numbers import round_ratio, safe_ratio
 from wardstat.operators.running import running_totals
 from wardstat.operators.small import settle
+from wardstat.session import stored
 from wardstat.sources.schemas import TARGET
 
 # Fixed list of the correlated columns.
@@ -181,9 +182,8 @@ def boxplot_stats(df: DataFrame, col: str = "num_medications", by: str = TARGET,
     where no value lies beyond it. Rows without group or value are left out. ``exact=False`` takes
     approximate quartiles.
     """
-    values = df.filter(F.col(by).isNotNull() & F.col(col).isNotNull()).groupBy(by, col).agg(
-        F.count(F.lit(1)).alias("n")
-    )
+    counted = df.filter(F.col(by).isNotNull() & F.col(col).isNotNull()).groupBy(by, col)
+    values = stored(counted.agg(F.count(F.lit(1)).alias("n")), "values")
     shares = {"q1": 0.25, "median": 0.5, "q3": 0.75}
     if exact:
         boxes = exact_quantiles(values, by, col, shares)

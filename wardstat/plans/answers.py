@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from wardstat.operators import segments, stats
-from wardstat.sources.tables import write_table
+from wardstat.sources.schemas import FEATURES, PREDICTIONS
+from wardstat.sources.tables import path_exists, read_table, write_table
 
 
 def answers(features: DataFrame, preds: DataFrame | None = None) -> dict[str, DataFrame]:
@@ -36,6 +37,19 @@ def summaries(features: DataFrame) -> dict[str, DataFrame]:
     }
 
 
+def refresh_summaries(features: DataFrame, folder: str) -> None:
+    """Replace the stored points of the six charts, a table each."""
+    for name, df in summaries(features).items():
+        write_table(df.coalesce(1), f"{folder}/{name}")
+
+
+def stored_answers(spark: SparkSession, tables: str) -> dict[str, DataFrame]:
+    """The questions over the stored feature table and, once a model is trained, the stored prediction log."""
+    logged = f"{tables}/model_predictions"
+    preds = read_table(spark, logged, PREDICTIONS) if path_exists(spark, logged) else None
+    return answers(read_table(spark, f"{tables}/patient_features", FEATURES), preds)
+
+
 def refresh_kpis(features: DataFrame, path: str) -> None:
     """Replace the stored KPI table; its dozen rows go to one file."""
     write_table(segments.with_kpi_id(segments.segment_kpis(features, "sql")).coalesce(1), path)

@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import os
-import tempfile
+import re
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def session(app: str = "wardstat", master: str | None = None, shuffle_partitions: int | None = None) -> SparkSession:
@@ -30,14 +30,10 @@ def session(app: str = "wardstat", master: str | None = None, shuffle_partitions
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
 
-    A local master has one machine, so there an unset value falls back to a temporary folder.
+    Where that is unset, a folder in the session's warehouse, which executors share as well.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named
-    if spark.sparkContext.master.startswith("local"):
-        return tempfile.mkdtemp(prefix="wardstat-")
-    raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    named = spark.conf.get("spark.checkpoint.dir", None) or os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "_scratch")
+    return re.sub("^file:/+", "file:///", named)
 
 
 def use_checkpoints(spark: SparkSession) -> None:
@@ -49,3 +45,10 @@ def use_checkpoints(spark: SparkSession) -> None:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path under the shared folder; nothing is created yet."""
     return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared folder and read back, for what several passes read."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -7,10 +7,10 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegralType, StringType, StructField, StructType
+from pyspark.sql.types import DoubleType, IntegralType, StringType, StructField, StructType
 
 from wardstat.functions.numbers import whole_number
-from wardstat.sources.schemas import FEATURES, RAW
+from wardstat.sources.schemas import FEATURES, MODEL_INPUTS, RAW
 from wardstat.sources.tables import CSV_FORMAT
 
 # Fixed texts that stand for "no value". The default keeps the word None as a category of its own.
@@ -33,14 +33,14 @@ def normalise_nulls(df: DataFrame, tokens: Iterable[str] = NA_TOKENS) -> DataFra
     return df.withColumns({name: _without(F.col(f"`{name}`"), tokens) for name in texts})
 
 
-def _header(spark: SparkSession, path: str) -> list[str]:
-    return spark.read.options(**CSV_FORMAT, inferSchema=False).csv(path).columns
+def _read_text(spark: SparkSession, path: str, multi_line: bool) -> DataFrame:
+    """Every column as text, named by the header; column order is free, but one for all files of the path.
 
-
-def _read_text(spark: SparkSession, path: str) -> DataFrame:
-    """Every column as text, named by the file's own header, so column order in the file is free."""
-    text = StructType([StructField(name, StringType(), True) for name in _header(spark, path)])
-    return spark.read.schema(text).options(**CSV_FORMAT, enforceSchema=False).csv(path)
+    A line with too few or too many cells stops the job, and so does a file with another header.
+    """
+    options = {**CSV_FORMAT, "multiLine": multi_line, "inferSchema": False}
+    text = StructType([StructField(name, StringType(), True) for name in spark.read.options(**options).csv(path).columns])
+    return spark.read.schema(text).options(**options, enforceSchema=False, mode="FAILFAST").csv(path)
 
 
 def _is_number(token: str) -> bool:
@@ -55,24 +55,32 @@ def _typed(df: DataFrame, schema: StructType, tokens: Iterable[str]) -> DataFram
     tokens = list(tokens)
     numeric_tokens = [token for token in tokens if _is_number(token)]
     kinds = {field.name: field.dataType for field in schema if isinstance(field.dataType, IntegralType)}
+    fractions = {field.name for field in schema if isinstance(field.dataType, DoubleType)}
     columns = []
     for name in df.columns:
         text = F.col(f"`{name}`")
         if name in kinds:
             columns.append(whole_number(_without(text, numeric_tokens), kinds[name].simpleString()).alias(name))
+        elif name in fractions:
+            columns.append(_without(text, numeric_tokens).try_cast("double").alias(name))
         else:
             columns.append(_without(text, tokens).alias(name))
     return df.select(columns)
 
 
-def read_encounters(spark: SparkSession, path: str, na_tokens: Iterable[str] = NA_TOKENS) -> DataFrame:
+def read_encounters(
+    spark: SparkSession, path: str, na_tokens: Iterable[str] = NA_TOKENS, multi_line: bool = False
+) -> DataFrame:
     """Scan delimited encounter files with a header line; unknown columns stay text.
 
-    The only eager step reads the header line. Columns nobody asks for are never parsed.
+    The only eager step reads the header line. Columns nobody asks for are never parsed. Cells with line breaks need
+    ``multi_line``; such files are read by one task each.
     """
-    return _typed(_read_text(spark, path), RAW, na_tokens)
+    return _typed(_read_text(spark, path, multi_line), RAW, na_tokens)
 
 
-def read_feature_rows(spark: SparkSession, path: str) -> DataFrame:
-    """Scan delimited files of engineered rows, the input of batch scoring."""
-    return _typed(_read_text(spark, path), FEATURES, NA_TOKENS)
+def read_feature_rows(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """Scan delimited files of engineered rows, the input of batch scoring; model inputs keep their fractions."""
+    inputs = StructType([StructField(name, DoubleType(), True) for name in MODEL_INPUTS])
+    rest = [field for field in FEATURES if field.name not in MODEL_INPUTS]
+    return _typed(_read_text(spark, path, multi_line), StructType([*inputs, *rest]), NA_TOKENS)

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -15,14 +14,9 @@ log = logging.getLogger(__name__)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether Spark can list the path."""
-    try:
-        spark.read.format("binaryFile").load(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return False
-        raise
-    return True
+    """Whether there is a file or folder at the path; asks its file system for that one entry."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(target)
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
@@ -59,7 +53,10 @@ CSV_FORMAT = {
 
 
 def export_csv(df: DataFrame, path: str) -> None:
-    """Replace the folder at ``path`` by CSV part files, each with a header line."""
+    """Replace the folder at ``path`` by CSV part files, each with a header line.
+
+    Cells with line breaks are quoted; who reads them back must say so (``multi_line``).
+    """
     df.write.mode("overwrite").options(**CSV_FORMAT).csv(path)
 
 

@@ -306,7 +306,7 @@ def _checked_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
         "model_used",
         p.between(0, 1).alias("is_probability"),
         # The shown probability is rounded; at one half exactly it doesn't tell.
-        ((p == 0.5) | ((p > 0.5).cast("int") == F.col("`predicted_readmission_<30d`"))).alias("flag_fits"),
+        ((p == 0.5) | ((p > 0.5) == F.col("`predicted_readmission_<30d`").cast("boolean"))).alias("flag_fits"),
     )
 
 

@@ -82,7 +82,7 @@ def _training_frame(train: DataFrame, target: str, key: str) -> DataFrame:
 
 def coarse_inputs(frame: DataFrame, max_bins: int) -> dict[str, int]:
     """Inputs with more distinct values than bins, and about how many they have: trees see these in bins."""
-    counts = frame.agg(*[F.approx_count_distinct(name, 0.01).alias(name) for name in MODEL_INPUTS]).first()
+    counts = frame.agg(*[F.hll_sketch_estimate(F.hll_sketch_agg(F.col(name).cast("string"), F.lit(12))).alias(name) for name in MODEL_INPUTS]).first()
     return {name: counts[name] for name in MODEL_INPUTS if counts[name] > max_bins}
 
 

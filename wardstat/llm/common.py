@@ -13,7 +13,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
-from wardstat.session import scratch_path
+from wardstat.session import stored
+
+__all__ = ["CHUNK_BYTES", "Shared", "aside", "chunks", "fresh", "held_out", "sql_type", "stored", "table", "text_of"]
 
 #: Text bytes that a Python worker works on at once; a longer document is worked on alone.
 CHUNK_BYTES = 2 << 20
@@ -23,14 +25,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once to the shared folder and read back: its lineage ends there, so a lost executor
-    costs a file read and never a second run of the steps before."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 class Shared:
     """A value of bounded size that every executor gets once. Classes of this package travel with it."""
 

@@ -1,4 +1,4 @@
-"""The registered queries of the operators, by name, and their SQL."""
+"""The registered queries of the operators, by name."""
 
 from __future__ import annotations
 
@@ -10,8 +10,11 @@ from pyspark.sql import functions as F
 
 from wardstat.llm import byte_bpe, decontamination, html_blocks, line_dedup, ppm, quality, sharding, simhash, toxicity, warc
 from wardstat.llm.common import held_out, stored, table
+from wardstat.llm.oracles import ORACLES
 from wardstat.session import scratch_path
 
+__all__ = ["ORACLES", "QUERIES", "VOCABULARY", "toxicity_index"]
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -99,5 +102,3 @@ QUERIES: dict[str, Query] = {
     "op9_toxicity": op9_toxicity,
     "op10_byte_bpe": op10_byte_bpe,
 }
-
-ORACLES: dict[str, str] = {}

@@ -68,6 +68,12 @@ def _split_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored(split.stratified_split(stored_features(spark, sf_dir)), "split")
 
 
+def use_trained(spark: SparkSession, sf_dir: str, folder: str, parts: DataFrame) -> None:
+    """Let the queries of trained models use what ``folder`` holds, trained on the training rows of ``parts``."""
+    write_table(parts, f"{folder}/split")
+    _TRAINED[spark.sparkContext.applicationId, sf_dir] = folder
+
+
 def _trained(spark: SparkSession, sf_dir: str, *shorts: str) -> str:
     """The folder with the split and the asked models; what is missing is trained first."""
     key = (spark.sparkContext.applicationId, sf_dir)

@@ -7,7 +7,7 @@ from checks.inputs import encounters
 from conftest import SF_DIR
 from wardstat.operators.classifiers import TrainingSettings
 from wardstat.operators.exports import labelled_features
-from wardstat.plans.answers import answers, refresh_kpis, summaries
+from wardstat.plans.answers import answers, refresh_kpis, refresh_summaries, stored_answers, summaries
 from wardstat.plans.export import export_all
 from wardstat.plans.load import load_features
 from wardstat.plans.score import score_file
@@ -95,6 +95,12 @@ def test_train_export_and_score(spark, features, tmp_path):
     assert not (tmp_path / "early/predictions").exists()
     run = train_and_log(features, base, "run-1", RUN, TrainingSettings(rf_trees=3, gbt_rounds=2))
     assert run.metrics.count() == 3 and run.best in [m.name for m in run.models]
+    kept = {name: read_table(spark, f"{base}/metrics/{name}") for name in ("roc_points", "pr_points", "confusion_matrix", "feature_importance")}
+    assert kept["confusion_matrix"].count() == 12 and kept["feature_importance"].count() == 30
+    assert kept["roc_points"].filter("fpr = 1 and tpr = 1").count() == kept["pr_points"].filter("recall = 0 and threshold is null").count() == 3
+    refresh_summaries(features, f"{base}/summaries")
+    assert read_table(spark, f"{base}/summaries/medication_boxplot").count() == 2
+    assert stored_answers(spark, base)["prediction_accuracy"].count() >= 1
     export_all(spark, base, f"{base}/out")
     logged = read_table(spark, f"{base}/model_predictions")
     assert logged.count() == 300 and logged.select("model_name").distinct().first()[0] == run.best

@@ -39,11 +39,12 @@ def train_and_log(
 ) -> TrainingRun:
     """Train the three models, store them, and log the best one's test predictions.
 
-    Test predictions of all models are written once; every metric reads that table instead of scoring again, and
+    The split is stored once for training and test. Test predictions of all models are written once; every metric reads that table instead of scoring again, and
     is computed once. Curves, confusion counts and importances are stored beside the metrics.
     """
     spark = features.sparkSession
-    split = stratified_split(features, seed=settings.seed)
+    write_table(stratified_split(features, seed=settings.seed), f"{target}/split")
+    split = read_table(spark, f"{target}/split")
     models = train_models(split.filter("split = 'train'"), settings=settings)
     for model in models:
         save_model(model, f"{target}/models")

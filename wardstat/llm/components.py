@@ -1,7 +1,8 @@
 """Connected components by alternating large and small stars, in DataFrame operations.
 
 Each round is written to the shared folder, so lineage stays one round long. Minimums are aggregated before
-the shuffle, and the joins on a node are left to the adaptive planner, which splits a node that holds much.
+the shuffle and stored before they are joined: a join of two plain shuffles is one that the adaptive planner can
+split, and so a node that holds much of the table is no single task.
 """
 
 from __future__ import annotations
@@ -15,11 +16,12 @@ from wardstat.llm.common import stored
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+    least = stored(least, "least")
     return both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
-    least = edges.groupBy("a").agg(F.min("b").alias("m"))
+    least = stored(edges.groupBy("a").agg(F.min("b").alias("m")), "least")
     moved = edges.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return moved.union(least.select("a", F.col("m").alias("b"))).distinct()
 
@@ -35,7 +37,7 @@ def connected_components(links: DataFrame, a: str, b: str) -> DataFrame:
     edges = stored(edges, "edges")
     mark = None
     while mark != (mark := _mark(edges)) and mark[0]:
-        edges = stored(_small_star(_large_star(edges)), "edges")
+        edges = stored(_small_star(stored(_large_star(edges), "edges")), "edges")
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
         edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     )

@@ -198,7 +198,9 @@ def components(marked: DataFrame, key: str = "doc_id", max_bits: int = 4) -> Dat
     placed = nodes.join(parts, nodes.fp == parts.node, "left").select(
         "fp", "least", F.coalesce("component", "fp").alias("_part")
     )
-    least = placed.groupBy("_part").agg(F.min("least").alias("_component"))
+    placed = stored(placed, "parts")
+    # Stored as well: joins of plain shuffles can be split where a group or a fingerprint holds much.
+    least = stored(placed.groupBy("_part").agg(F.min("least").alias("_component")), "least-keys")
     named = placed.join(least, "_part").select(F.col("fp").alias("_fp"), "_part", "_component")
     return rows.join(named, "_fp")
 

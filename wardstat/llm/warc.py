@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from wardstat.llm.common import chunks, sql_type, text_of
+from wardstat.llm.common import chunks, sql_type, stored, text_of
 
 #: Payloads below this size are always stored.
 LEAST_SHARED = 100
@@ -44,7 +44,8 @@ def with_kind(pages: DataFrame, key: str, url: str, payload: str) -> DataFrame:
     rows = pages.select(F.col(f"`{key}`").alias("key"), F.col(f"`{url}`").cast("string").alias("url"), text_of(payload).alias("payload"))
     rows = rows.withColumn("bytes", F.octet_length("payload").cast("long")).withColumn("digest", F.sha2("payload", 256))
     shared = rows.where(F.col("bytes") >= LEAST_SHARED).groupBy("digest").agg(F.min("key").alias("first"), F.count("*").alias("n"))
-    shared = shared.where("n > 1").select(F.col("digest").alias("met"), "first")
+    # Stored, so that the join is of plain shuffles.
+    shared = stored(shared.where("n > 1").select(F.col("digest").alias("met"), "first"), "warc-shared")
     met = F.when(F.col("bytes") >= LEAST_SHARED, F.col("digest")).otherwise(F.concat(F.lit("-"), F.coalesce(F.col("key").cast("string"), F.lit(""))))
     return rows.withColumn("met", met).join(shared, "met", "left").drop("met")
 

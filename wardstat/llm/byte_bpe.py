@@ -29,9 +29,9 @@ WIDTHS = (2, 3, 4, 6, 8, 12, 16, 24, 32)
 #: Cells of one matrix.
 CELLS = 1 << 14
 #: Units of the current and of the last generation that a worker remembers; beyond that a new one begins.
-REMEMBERED = 250_000
+REMEMBERED = 150_000
 #: Text bytes that are encoded at once.
-ENCODED_BYTES = 4 << 20
+ENCODED_BYTES = 2 << 20
 WHITE = np.zeros(256, bool)
 WHITE[[*range(9, 14), *range(28, 33)]] = True
 # White space beyond ASCII, in UTF-8.

@@ -18,7 +18,7 @@ from wardstat.session import stored
 __all__ = ["CHUNK_BYTES", "Shared", "aside", "chunks", "fresh", "held_out", "sql_type", "stored", "table", "text_of"]
 
 #: Text bytes that a Python worker works on at once; a longer document is worked on alone.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -69,3 +69,23 @@ def test_rows_of_all_kinds(spark):
     got = Counter(tuple(r) for r in html_blocks.extract(pages).collect())
     assert got == Counter({(1, "u", "", 0): 2, (None, None, "é 日本", 4): 1, (2, "v", "x" * 300_000, 300_000): 1})
     assert html_blocks.extract(pages.limit(0)).count() == 0
+
+
+def test_left_out_end_tags_lose_no_article():
+    for page in (
+        "<html><head><title>no</title><meta charset=x><body><article><p>in</article>",
+        "<title>no</title><script>a</script><article><p>in</article>",
+        "<article><svg class='i' width=1/><p>in</p></article><footer><svg><path/></svg></footer>",
+        "<article><svg><path d='M0'/><p>in</p></article><footer><svg><path/></svg></footer>",
+        "<article><button>no<p>in</p></article><footer><button>x</button></footer>",
+        "<article><math><mi>no</mi><p>in</article>",
+    ):
+        assert html_blocks.main_text(page, TREE) == "in", page
+    assert main_text("<article>a<svg><text>no</text></svg>b<script>if (a<b) '<script>'</script>c<select><option>no</select></article>") == "a b c"
+
+
+def test_wrappers_do_not_hide_the_article():
+    for wrap in ("<div class='content-sidebar-wrap'>", "<div class='site has-banner'>", "<form id='aspnetForm'>"):
+        assert main_text(f"{wrap}<main><article><p>in</p><aside>no</aside></article></main><div class='sidebar'>no</div>") == "in"
+    for wrap in ("<div class='comments'>", "<ol class='comment-list'>", "<aside>", "<nav>", "<div class='related-posts'>", "<div class='sidebar'>"):
+        assert main_text(f"<article><p>in</p></article>{wrap}<article><p>no</p></article>") == "in", wrap

@@ -21,7 +21,9 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from wardstat.llm.common import chunks, sql_type, text_of
 
 #: Elements whose content is no text of the page; they go with all they hold.
-SKIPPED = ("script", "style", "head", "noscript", "template", "svg", "iframe", "object", "select", "textarea", "button", "canvas", "math")
+SKIPPED = ("script", "style", "title", "noscript", "template", "svg", "iframe", "object", "select", "textarea", "button", "canvas", "math")
+#: Those whose content is no markup, so that a start tag inside is text; those that may close themselves and that block tags break off.
+RAW, FOREIGN = frozenset("script style title iframe textarea".split()), frozenset("svg math".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split()
 )
@@ -33,14 +35,23 @@ SIDE_WORDS = frozenset(
     "sidebar aside menu nav navbar navigation breadcrumb breadcrumbs footer masthead topbar toolbar comment comments respond reply replies disqus discussion "
     "share sharing social related recommended newsletter subscribe subscription signup login search widget pagination pager copyright complementary contentinfo dialog".split()
 )
+#: Parts of names of wrappers that may hold a page's article too, such as ``content-sidebar-wrap``; an article inside is no side text.
+LAYOUT_WORDS = frozenset("ad ads banner sidebar aside menu nav navbar navigation footer masthead topbar toolbar notice alert overlay social share sharing widget search login signup".split())
+LAYOUT_TAGS = frozenset("form header".split())
 HEAD_WORDS = frozenset(["header"])
 MAIN_WORDS = frozenset(["articlebody"])
 
 _TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(?P<skip>" + "|".join(SKIPPED) + r")\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=skip)\s*>|\Z)"
+    r"<!--.*?(?:-->|\Z)|<(?P<skip>" + "|".join(SKIPPED) + r")(?![\w:-])(?P<own>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
     r"|<(?P<end>/?)(?P<tag>[a-z][a-z0-9:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>",
     re.I | re.S,
 )
+_ENDS = {name: re.compile(rf"</{name}\s*>", re.I) for name in SKIPPED}
+_AGAIN = {name: re.compile(rf"<{name}(?![\w:-])", re.I) for name in SKIPPED}
+#: Where an element without an end tag stops at the latest.
+_BLOCK = re.compile(
+    r"<(?:/(?:head|body|html|article|main|section|div)|body|article|main|section|div|p|h[1-6]|ul|ol|dl|table|nav|header|footer|aside|form|blockquote|pre|figure)(?![\w:-])", re.I
+)
 _NAMED = re.compile(r"""(?:^|\s)(?:class|id|role|itemprop)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
@@ -121,12 +132,32 @@ def _named(attrs: str) -> set[str]:
     return out
 
 
+def _after(html: str, at: int, name: str, attrs: str, lacking: set[str]) -> int:
+    """Where a skipped element ends whose start tag ends at ``at``. Without an end tag of its own it ends at the next
+    block. ``lacking`` has the names without a further end tag."""
+    if name in FOREIGN and attrs.endswith("/"):
+        return at
+    end = None if name in lacking else _ENDS[name].search(html, at)
+    if end is None:
+        lacking.add(name)
+    elif name in FOREIGN:
+        block = _BLOCK.search(html, at, end.start())
+        if block is None or "foreignobject" in html[at : block.start()].lower():
+            return end.end()
+    elif name in RAW or name in ("template", "object") or not _AGAIN[name].search(html, at, end.start()):
+        return end.end()
+    block = _BLOCK.search(html, at)
+    return block.start() if block else len(html)
+
+
 def blocks(html: str) -> list[Block]:
     """The text blocks of a page, in order."""
     found: list[tuple[str, int, int, bool, bool]] = []
+    lacking: set[str] = set()
     text: list[str] = []
     links: list[str] = []
-    stack: list[tuple[str, bool, bool]] = [("", False, False)]
+    # Tag, side text (2: whatever is inside, 1: but for an article), article.
+    stack: list[tuple[str, int, bool]] = [("", 0, False)]
     in_link = article = False
     at = 0
 
@@ -135,11 +166,11 @@ def blocks(html: str) -> list[Block]:
             clean = " ".join(unescape("".join(text)).split())
             if clean:
                 linked = len(unescape("".join(links)).split())
-                found.append((clean, clean.count(" ") + 1, linked, *stack[-1][1:]))
+                found.append((clean, clean.count(" ") + 1, linked, stack[-1][1] > 0, stack[-1][2]))
             text.clear()
             links.clear()
 
-    for m in _TAG.finditer(html):
+    while m := _TAG.search(html, at):
         if m.start() > at:
             piece = html[at : m.start()]
             text.append(piece)
@@ -150,6 +181,7 @@ def blocks(html: str) -> list[Block]:
         if tag is None:
             if m["skip"]:
                 text.append(" ")
+                at = _after(html, at, m["skip"].lower(), m["own"], lacking)
             continue
         tag = tag.lower()
         if tag in INLINE:
@@ -168,11 +200,16 @@ def blocks(html: str) -> list[Block]:
         elif not m["attrs"].endswith("/"):
             _, side, main = stack[-1]
             names = _named(m["attrs"]) if "=" in m["attrs"] else set()
+            whole = {n.lower() for g in _NAMED.findall(m["attrs"]) for n in "".join(g).split()} & SIDE_WORDS if names & SIDE_WORDS else set()
             if tag in ("article", "main") or names & MAIN_WORDS:
                 main = article = True
+                side = 0 if side == 1 else side
             body = tag in ("html", "body", "article", "main")
-            side = side or tag in SIDE_TAGS or (not body and bool(names & SIDE_WORDS))
-            side = side or (not main and (tag == "header" or (not body and bool(names & HEAD_WORDS))))
+            if tag in SIDE_TAGS or (not body and names & SIDE_WORDS):
+                layout = (tag in LAYOUT_TAGS or tag not in SIDE_TAGS) and not body and not (names & SIDE_WORDS) - LAYOUT_WORDS
+                side = max(side, 1 if layout and not names & whole else 2)
+            if not main and (tag == "header" or (not body and names & HEAD_WORDS)):
+                side = max(side, 1)
             stack.append((tag, side, main))
     if at < len(html):
         text.append(html[at:])

@@ -2,15 +2,7 @@ import random
 
 import pytest
 
-SF = "/root/testdata/sf0.001"
-WORDS = "the of and river stone light under copper garden window letter morning seven paper green cloud été über niño cold".split()
-
-
-def sentence(rng, n):
-    return " ".join(rng.choice(WORDS) + (rng.choice([",", ".", ""]) if rng.random() < 0.2 else "") for _ in range(n))
-
-
-ODD_TEXTS = [None, "", " \t\n ", "a", "one two three", "x" * 70_000, "é ü    y\r\n\r\nz", "\x1c#*$ <b>&amp;", "日本語 " * 40, "same same same same same"]
+from tests.llm.helpers import ODD_TEXTS, sentence
 
 
 @pytest.fixture(scope="session")
@@ -29,7 +21,3 @@ def docs(spark):
 @pytest.fixture(scope="session")
 def empty(spark, docs):
     return spark.createDataFrame([], docs.schema)
-
-
-def pairs_of(docs):
-    return [(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect()]

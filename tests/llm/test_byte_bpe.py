@@ -9,7 +9,7 @@ import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tests.llm.conftest import pairs_of
+from tests.llm.helpers import pairs_of
 from wardstat.llm import byte_bpe
 
 PATH = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")

@@ -4,7 +4,7 @@ from collections import Counter
 
 import pytest
 
-from tests.llm.conftest import pairs_of, sentence
+from tests.llm.helpers import pairs_of, sentence
 from wardstat.llm import decontamination
 
 

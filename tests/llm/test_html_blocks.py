@@ -5,7 +5,7 @@ from html import unescape
 from wardstat.llm import html_blocks
 from wardstat.llm.common import table
 
-from tests.llm.conftest import SF
+from tests.llm.helpers import SF
 
 TREE = html_blocks.default_tree()
 SHELL = "<html><head><title>no</title><style>p{}</style></head><body>%s</body></html>"

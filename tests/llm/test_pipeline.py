@@ -3,7 +3,7 @@ from collections import Counter
 import corpus_pipeline
 from pyspark.sql import functions as F
 
-from tests.llm.conftest import SF, pairs_of
+from tests.llm.helpers import SF, pairs_of
 from tests.llm.test_decontamination import plain as leaks
 from tests.llm.test_simhash import components, fingerprint
 from wardstat.llm import byte_bpe

@@ -4,7 +4,7 @@ from collections import Counter, defaultdict
 
 from pyspark.sql import functions as F
 
-from tests.llm.conftest import pairs_of
+from tests.llm.helpers import pairs_of
 from wardstat.llm import ppm
 from wardstat.llm.common import held_out
 

@@ -3,7 +3,7 @@
 import pytest
 
 from checks.compare import connect, oracle_rows, spark_rows
-from tests.llm.conftest import SF
+from tests.llm.helpers import SF
 from wardstat.llm.queries import ORACLES, QUERIES
 
 

@@ -7,7 +7,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tests.llm.conftest import WORDS, pairs_of, sentence
+from tests.llm.helpers import WORDS, pairs_of, sentence
 from wardstat.llm import toxicity
 
 BAD = ["vileword", "nastything", "lowlifes", "lowlifer"]

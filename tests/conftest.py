@@ -5,10 +5,9 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+from tests.helpers import SF_DIR  # noqa: E402
 from wardstat.session import session, use_checkpoints  # noqa: E402
 
-SF_DIR = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -27,8 +26,3 @@ def features(spark, tmp_path_factory):
     path = str(tmp_path_factory.mktemp("features") / "t")
     derive(spark, SF_DIR).write.parquet(path)
     return spark.read.parquet(path)
-
-
-def column(df, key, value):
-    """One column of a small result as a dict."""
-    return {row[key]: row[value] for row in df.collect()}

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from checks.inputs import encounters
-from conftest import SF_DIR, column
+from tests.helpers import SF_DIR, column
 from wardstat.functions.clinical import (
     ICD9_CIRCULATORY,
     ICD9_DIABETES,

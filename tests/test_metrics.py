@@ -5,7 +5,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from checks.inputs import scores
-from conftest import SF_DIR, column
+from tests.helpers import SF_DIR, column
 from wardstat.operators import metrics
 
 SCHEMA = "model_name string, id long, predicted_proba double, predicted_label int, actual_label int"

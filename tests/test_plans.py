@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from checks.inputs import encounters
-from conftest import SF_DIR
+from tests.helpers import SF_DIR
 from wardstat.operators.classifiers import TrainingSettings
 from wardstat.operators.exports import labelled_features
 from wardstat.plans.answers import answers, refresh_kpis, refresh_summaries, stored_answers, summaries

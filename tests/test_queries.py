@@ -5,7 +5,7 @@ import pytest
 from checks.compare import connect, difference
 from checks.oracles import ORACLES
 from checks.queries import QUERIES
-from conftest import SF_DIR
+from tests.helpers import SF_DIR
 
 # Trained models have no SQL; their tests are in test_models.
 TRAINED = {"lr_scores", "rf_scores", "gbt_scores", "feature_importance", "batch_scores", "log_predictions"}

@@ -3,7 +3,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import column
+from tests.helpers import column
 from wardstat.operators.scaling import apply_scaler, fit_scaler
 from wardstat.operators.split import class_balance, class_weights, split_quotas, stratified_split, with_class_weight
 

@@ -67,7 +67,7 @@ def test_all_blanks_around_a_code_are_cut(spark):
 
 def test_a_repeated_key_replaces_nothing(spark, tmp_path):
     from checks.inputs import encounters
-    from conftest import SF_DIR
+    from tests.helpers import SF_DIR
 
     rows = encounters(spark, SF_DIR).withColumn("encounter_id", F.lit(1).cast("long"))
     export_csv(rows, str(tmp_path / "raw"))

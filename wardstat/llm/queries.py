@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardstat.llm import byte_bpe, decontamination, html_blocks, line_dedup, ppm, quality, sharding, simhash, toxicity, warc
+from wardstat.llm import byte_bpe, decontamination, html_blocks, line_dedup, minhash, ppm, quality, sharding, simhash, toxicity, warc
 from wardstat.llm.common import held_out, stored, table
 from wardstat.llm.oracles import ORACLES
 from wardstat.session import scratch_path
@@ -90,6 +90,11 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encode_documents(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
 
 
+def op13_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = minhash.components(table(spark, sf_dir, "documents").select("doc_id", "text"), shingle=5, percent=85)
+    return found.select("doc_id", "n_shingles", F.col("component").alias("component_id"), "kept")
+
+
 QUERIES: dict[str, Query] = {
     "op1_warc": op1_warc,
     "op2_sharding": op2_sharding,
@@ -101,4 +106,5 @@ QUERIES: dict[str, Query] = {
     "op8_html_extraction": op8_html_extraction,
     "op9_toxicity": op9_toxicity,
     "op10_byte_bpe": op10_byte_bpe,
+    "op13_minhash_near_dedup": op13_minhash_near_dedup,
 }

@@ -287,7 +287,7 @@ def _lr_gradient(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     folder = _trained(spark, sf_dir, "lr")
     model = load_model(spark, folder, "lr")
-    weights = model.pipeline.stages[-1].coefficients.toArray().tolist()
+    weights = model.coefficients
     train = read_table(spark, f"{folder}/split").filter("split = 'train'").select("encounter_id", *MODEL_INPUTS, "readmitted_30")
     rows = split.with_class_weight(apply_scaler(with_probability(train, model), model.scaler))
     error = (F.col("lr_proba") - F.col("readmitted_30")) * F.col("weight")

@@ -71,8 +71,8 @@ def test_logistic_regression_minimises_its_objective(signal, models):
     x = (x - x.mean(axis=0)) / np.where(deviation == 0, 1, deviation)
     y = train["readmitted_30"].to_numpy(float)
     weight = np.where(y == 1, len(y) / (2 * y.sum()), len(y) / (2 * (len(y) - y.sum())))
-    lr = models[0].pipeline.stages[-1]
-    b = lr.coefficients.toArray()
+    lr = models[0]
+    b = np.array(lr.coefficients)
     error = weight * (1 / (1 + np.exp(-(x @ b + lr.intercept))) - y)
     assert np.abs(x.T @ error + b / 0.1).max() / len(y) < 1e-6
     assert abs(error.sum()) / len(y) < 1e-6

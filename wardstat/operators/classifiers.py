@@ -6,17 +6,15 @@ import logging
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark import StorageLevel
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from wardstat.operators import trees as grown
 from wardstat.operators.scaling import apply_scaler, fit_scaler
+from wardstat.operators.small import settle
 from wardstat.operators.split import class_balance, weighted
-from wardstat.session import use_checkpoints
 from wardstat.sources.schemas import MODEL_INPUTS, TARGET
 from wardstat.sources.tables import path_exists, read_table, write_table
 
@@ -37,11 +35,16 @@ class TrainingSettings:
     rf_trees: int = 300
     rf_depth: int = 8
     rf_min_leaf: int = 20
+    # Inputs that a node of the forest looks at; the root of their number if None.
+    rf_inputs: int | None = None
+    rf_bootstrap: bool = True
     gbt_rounds: int = 400
     gbt_depth: int = 5
     gbt_step: float = 0.05
     gbt_rows: float = 0.8
     gbt_columns: float = 0.8
+    gbt_penalty: float = 1.0
+    gbt_min_child: float = 1.0
     seed: int = 42
     # A bin per value for whole numbers below 256; train_models reports inputs with more values.
     max_bins: int = 256
@@ -49,11 +52,13 @@ class TrainingSettings:
 
 @dataclass(frozen=True)
 class TrainedModel:
-    """A fitted pipeline over the model inputs, with scaler parameters if it wants scaled ones."""
+    """A fitted model over the model inputs: coefficients with the scaler they belong to, or trees."""
 
     short: str
-    pipeline: PipelineModel
     scaler: DataFrame | None = None
+    coefficients: tuple[float, ...] = ()
+    intercept: float = 0.0
+    trees: grown.Trees | None = None
 
     @property
     def name(self) -> str:
@@ -61,11 +66,11 @@ class TrainedModel:
 
 
 #: Training rows of one partition.
-ROWS_PER_PARTITION = 500_000
+ROWS_PER_PARTITION = 250_000
 
 
 def _training_frame(train: DataFrame, target: str, key: str) -> DataFrame:
-    """Inputs, label and weights, spread evenly by key.
+    """Inputs, label, weights and a hash of the key, spread evenly by key.
 
     Training passes over the frame hundreds of times, in step with its biggest partition; one shuffle
     of these narrow rows buys even partitions whatever the files look like. Classes are counted before it, and the
@@ -77,7 +82,9 @@ def _training_frame(train: DataFrame, target: str, key: str) -> DataFrame:
     parts = max(spark.sparkContext.defaultParallelism, -(-sum(row["n"] for row in rows) // ROWS_PER_PARTITION))
     both = {"weight": "balanced", "positive_weight": "positive"}
     frame = weighted(train.select(key, *MODEL_INPUTS, target).repartition(parts, key), balance, target, both)
-    return frame.select(*MODEL_INPUTS, F.col(target).cast("double").alias("label"), "weight", "positive_weight")
+    return frame.select(
+        *MODEL_INPUTS, F.col(target).cast("double").alias("label"), "weight", "positive_weight", F.xxhash64(key).alias("_key")
+    )
 
 
 def coarse_inputs(frame: DataFrame, max_bins: int) -> dict[str, int]:
@@ -86,69 +93,97 @@ def coarse_inputs(frame: DataFrame, max_bins: int) -> dict[str, int]:
     return {name: counts[name] for name in MODEL_INPUTS if counts[name] > max_bins}
 
 
-def _fit(frame: DataFrame, short: str, classifier, inputs: Sequence[str]) -> PipelineModel:
-    """Fit with column names of the model's own, so that several models can score one frame."""
-    assembler = VectorAssembler(inputCols=list(inputs), outputCol=f"{short}_features", handleInvalid="error")
-    classifier = (
-        classifier.setFeaturesCol(f"{short}_features")
-        .setPredictionCol(f"{short}_prediction")
-        .setProbabilityCol(f"{short}_probability")
-        .setRawPredictionCol(f"{short}_raw")
-    )
-    return Pipeline(stages=[assembler, classifier]).fit(frame)
+def _linear(names: Sequence[str], coefficients: Sequence[float], intercept: float):
+    return sum((F.col(name) * F.lit(float(b)) for name, b in zip(names, coefficients)), F.lit(float(intercept)))
 
 
-def train_lr(frame: DataFrame, settings: TrainingSettings = TrainingSettings()) -> TrainedModel:
-    """Logistic regression on scaled inputs with balanced class weights.
+def newton(frame: DataFrame, names: Sequence[str], weight: str, c: float, most: int = 1000, flat: float = 1e-10) -> tuple[list[float], float, int]:
+    """Coefficients, intercept and passes of the logistic regression that minimises the summed weighted log loss plus
+    half the squared coefficients over ``c``.
 
-    The penalty 1 / (C * sum of weights) makes the mean loss minimised here a multiple of the summed
-    loss with strength C.
+    A pass over the rows sums the loss, its gradient and its second derivatives, which fit into one row, and solves for
+    the next point. It ends where the gradient is ``flat`` relative to the sum of weights; a step that makes the
+    objective worse is halved.
     """
+    k = len(names)
+    terms = [*names, None]  # None: the intercept
+    point = np.zeros(k + 1)
+    ridge = np.append(np.full(k, 1.0 / c), 0.0)
+    step, best = np.zeros(k + 1), np.inf
+    for passes in range(1, most + 1):
+        z, w, y = _linear(names, point[:k], point[k]), F.col(weight), F.col("label")
+        p = 1.0 / (1.0 + F.exp(-F.col("_z")))
+        rows = frame.select(*names, weight, "label", z.alias("_z")).select(
+            *names,
+            (w * (p - y)).alias("_e"),
+            (w * p * (1.0 - p)).alias("_v"),
+            (w * (F.greatest("_z", F.lit(0.0)) + F.log1p(F.exp(-F.abs("_z"))) - y * F.col("_z"))).alias("_loss"),
+            w.alias("_w"),
+        )
+        at = lambda what, *own: F.sum(what if not own else _product(what, own))
+        pairs = [(i, j) for i in range(k + 1) for j in range(i, k + 1)]
+        sums = rows.agg(
+            F.sum("_loss").alias("loss"),
+            F.sum("_w").alias("total"),
+            *[at(F.col("_e"), *[n for n in (terms[i],) if n]).alias(f"g{i}") for i in range(k + 1)],
+            *[at(F.col("_v"), *[n for n in (terms[i], terms[j]) if n]).alias(f"h{i}_{j}") for i, j in pairs],
+        ).first()
+        objective = sums["loss"] + 0.5 * float(ridge @ point**2)
+        if objective > best * (1 + 1e-12):
+            step = step / 2
+            point = point + step
+            continue
+        best = objective
+        gradient = np.array([sums[f"g{i}"] for i in range(k + 1)]) + ridge * point
+        if np.abs(gradient).max() <= flat * sums["total"]:
+            break
+        second = np.diag(ridge)
+        for i, j in pairs:
+            second[i, j] += sums[f"h{i}_{j}"]
+            second[j, i] = second[i, j]
+        step = np.linalg.lstsq(second, gradient, rcond=None)[0]
+        point = point - step
+    return point[:k].tolist(), float(point[k]), passes
+
+
+def _product(what, own):
+    for name in own:
+        what = what * F.col(name)
+    return what
+
+
+def train_lr(frame: DataFrame, settings: TrainingSettings = TrainingSettings()) -> TrainedModel:
+    """Logistic regression on scaled inputs with balanced class weights."""
     params = fit_scaler(frame)
     scaler = frame.sparkSession.createDataFrame(params.collect(), params.schema)
-    total = frame.agg(F.sum("weight")).first()[0]
-    lr = LogisticRegression(
-        weightCol="weight",
-        regParam=1.0 / (settings.lr_c * total),
-        elasticNetParam=0.0,
-        standardization=False,
-        maxIter=settings.lr_iterations,
-        tol=1e-9,
-    )
     inputs = [name + _SCALED for name in MODEL_INPUTS]
-    return TrainedModel("lr", _fit(apply_scaler(frame, scaler, _SCALED), "lr", lr, inputs), scaler)
+    coefficients, intercept, passes = newton(apply_scaler(frame, scaler, _SCALED), inputs, "weight", settings.lr_c, settings.lr_iterations)
+    log.info("logistic regression took %s passes", passes)
+    return TrainedModel("lr", scaler, tuple(coefficients), intercept)
+
+
+def _cuts(frame: DataFrame, settings: TrainingSettings) -> list[np.ndarray]:
+    coarse = coarse_inputs(frame, settings.max_bins)
+    if coarse:
+        log.warning("inputs with more values than %s bins: %s", settings.max_bins, coarse)
+    return grown.bin_cuts(frame, MODEL_INPUTS, coarse, settings.max_bins)
 
 
 def train_rf(frame: DataFrame, settings: TrainingSettings = TrainingSettings()) -> TrainedModel:
     """Random forest with balanced class weights."""
-    rf = RandomForestClassifier(
-        weightCol="weight",
-        numTrees=settings.rf_trees,
-        maxDepth=settings.rf_depth,
-        minInstancesPerNode=settings.rf_min_leaf,
-        featureSubsetStrategy="sqrt",
-        maxBins=settings.max_bins,
-        maxMemoryInMB=512,
-        seed=settings.seed,
+    s = grown.ForestSettings(
+        settings.rf_trees, settings.rf_depth, settings.rf_min_leaf, settings.rf_inputs, settings.rf_bootstrap, settings.seed
     )
-    return TrainedModel("rf", _fit(frame, "rf", rf, MODEL_INPUTS))
+    return TrainedModel("rf", trees=grown.forest(frame, MODEL_INPUTS, "weight", _cuts(frame, settings), s))
 
 
 def train_gbt(frame: DataFrame, settings: TrainingSettings = TrainingSettings()) -> TrainedModel:
-    """Boosted trees; positives weigh as much as all negatives. Each tenth round cuts the lineage."""
-    use_checkpoints(frame.sparkSession)
-    gbt = GBTClassifier(
-        weightCol="positive_weight",
-        maxIter=settings.gbt_rounds,
-        maxDepth=settings.gbt_depth,
-        stepSize=settings.gbt_step,
-        subsamplingRate=settings.gbt_rows,
-        featureSubsetStrategy=str(settings.gbt_columns),
-        maxBins=settings.max_bins,
-        checkpointInterval=10,
-        seed=settings.seed,
+    """Boosted trees; positives weigh as much as all negatives."""
+    s = grown.BoostSettings(
+        settings.gbt_rounds, settings.gbt_depth, settings.gbt_step, settings.gbt_rows, settings.gbt_columns,
+        settings.gbt_penalty, settings.gbt_min_child, settings.seed,
     )
-    return TrainedModel("gbt", _fit(frame, "gbt", gbt, MODEL_INPUTS))
+    return TrainedModel("gbt", trees=grown.boost(frame, MODEL_INPUTS, "positive_weight", _cuts(frame, settings), s))
 
 
 TRAINERS = {"lr": train_lr, "rf": train_rf, "gbt": train_gbt}
@@ -164,9 +199,6 @@ def train_models(
     """Fit the named models on one cached frame, which is released afterwards."""
     frame = _training_frame(train, target, key).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        coarse = coarse_inputs(frame, settings.max_bins)
-        if coarse:
-            log.warning("inputs with more values than %s bins: %s", settings.max_bins, coarse)
         return [TRAINERS[short](frame, settings) for short in shorts]
     finally:
         frame.unpersist()
@@ -174,12 +206,14 @@ def train_models(
 
 def with_probability(df: DataFrame, model: TrainedModel) -> DataFrame:
     """Rows with ``<short>_proba``, the probability of class 1, and ``<short>_label``, 1 above one half."""
-    ready = apply_scaler(df, model.scaler, _SCALED) if model.scaler is not None else df
-    return model.pipeline.transform(ready).select(
-        *[f"`{name}`" for name in df.columns],
-        vector_to_array(f"{model.short}_probability")[1].alias(f"{model.short}_proba"),
-        F.col(f"{model.short}_prediction").cast("int").alias(f"{model.short}_label"),
-    )
+    name = f"{model.short}_proba"
+    if model.trees is not None:
+        scored = grown.with_tree_probability(df, model.trees, MODEL_INPUTS, name, model.short == "gbt")
+    else:
+        ready = apply_scaler(df, model.scaler, _SCALED)
+        z = _linear([c + _SCALED for c in MODEL_INPUTS], model.coefficients, model.intercept)
+        scored = ready.select(*[f"`{c}`" for c in df.columns], (1.0 / (1.0 + F.exp(-z))).alias(name))
+    return scored.withColumn(f"{model.short}_label", (F.col(name) > 0.5).cast("int"))
 
 
 def predict(models: Sequence[TrainedModel], df: DataFrame, key: str = "encounter_id", target: str = TARGET) -> DataFrame:
@@ -200,22 +234,43 @@ def predict(models: Sequence[TrainedModel], df: DataFrame, key: str = "encounter
     return scored.select(key, F.inline(rows), F.col(target).cast("int").alias("actual_label"))
 
 
+def split_ledger(spark: SparkSession, model: TrainedModel) -> DataFrame:
+    """Every node of a tree model: its split with what it gains, its rows, their weight, and its value."""
+    return grown.ledger(spark, model.trees, MODEL_INPUTS)
+
+
 def feature_importance(spark: SparkSession, model: TrainedModel, k: int = 15) -> DataFrame:
-    """The ``k`` most important inputs of a tree model; importances of all inputs sum to 1."""
-    weights = model.pipeline.stages[-1].featureImportances.toArray().tolist()
-    rows = [(model.name, name, weight) for name, weight in zip(MODEL_INPUTS, weights, strict=True)]
-    return (
-        spark.createDataFrame(rows, "model_name string, feature string, importance double")
-        .orderBy(F.desc("importance"), "feature")
-        .limit(k)
-    )
+    """The ``k`` most important inputs of a tree model, from its ledger; importances of all inputs sum to 1.
+
+    For the forest the share of an input in the gains of each tree, averaged over the trees; for boosted trees its average
+    gain per split, as a share of all inputs' averages.
+    """
+    splits = split_ledger(spark, model).where("feature is not null")
+    if model.short == "rf":
+        own = splits.groupBy("tree", "feature").agg(F.sum("gain").alias("gain"))
+        totals = splits.groupBy("tree").agg(F.sum("gain").alias("total"))
+        raw = own.join(totals, "tree").groupBy("feature").agg(F.sum(F.col("gain") / F.col("total")).alias("raw"))
+    else:
+        raw = splits.groupBy("feature").agg(F.avg("gain").alias("raw"))
+    inputs = spark.createDataFrame([(name,) for name in MODEL_INPUTS], "feature string")
+    # One row per input: the window sees no more.
+    shares = raw.select("feature", (F.col("raw") / F.sum("raw").over(Window.partitionBy(F.lit(0)))).alias("importance"))
+    rows = inputs.join(settle(shares), "feature", "left").withColumn("importance", F.coalesce("importance", F.lit(0.0)))
+    return rows.select(F.lit(model.name).alias("model_name"), "feature", "importance").orderBy(F.desc("importance"), "feature").limit(k)
+
+
+_COEFFICIENTS = "feature string, coefficient double"
 
 
 def save_model(model: TrainedModel, folder: str) -> None:
-    """Replace the stored model of this short name, with its scaler."""
-    model.pipeline.write().overwrite().save(f"{folder}/{model.short}")
-    if model.scaler is not None:
-        write_table(model.scaler.coalesce(1), f"{folder}/{model.short}_scaler")
+    """Replace the stored model of this short name: the ledger of its trees, or its coefficients and scaler."""
+    if model.trees is not None:
+        spark = SparkSession.active()
+        write_table(split_ledger(spark, model).coalesce(1), f"{folder}/{model.short}")
+        return
+    rows = [*zip(MODEL_INPUTS, model.coefficients), (None, model.intercept)]
+    write_table(model.scaler.coalesce(1), f"{folder}/{model.short}_scaler")
+    write_table(model.scaler.sparkSession.createDataFrame(rows, _COEFFICIENTS).coalesce(1), f"{folder}/{model.short}")
 
 
 def load_model(spark: SparkSession, folder: str, short: str = "gbt") -> TrainedModel:
@@ -225,5 +280,7 @@ def load_model(spark: SparkSession, folder: str, short: str = "gbt") -> TrainedM
     path = f"{folder}/{short}"
     if not path_exists(spark, path):
         raise FileNotFoundError(f"no model at {path}: train the models first")
-    scaler = read_table(spark, f"{path}_scaler") if path_exists(spark, f"{path}_scaler") else None
-    return TrainedModel(short, PipelineModel.load(path), scaler)
+    if short != "lr":
+        return TrainedModel(short, trees=grown.from_ledger(read_table(spark, path), MODEL_INPUTS))
+    found = {r["feature"]: r["coefficient"] for r in read_table(spark, path).collect()}
+    return TrainedModel(short, read_table(spark, f"{path}_scaler"), tuple(found[name] for name in MODEL_INPUTS), found[None])

@@ -65,8 +65,30 @@ SELECT d.id AS doc_id, i.id AS item_id, COUNT(*) / CAST(ANY_VALUE(n) AS DOUBLE)
 FROM shingles d JOIN shingles i ON d.s = i.s AND d.side = 'd' AND i.side = 'i' JOIN sizes ON sizes.id = i.id
 GROUP BY d.id, i.id HAVING COUNT(*) >= 0.8 * ANY_VALUE(n)"""
 
+
+HARD_NEGATIVES = """WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+),
+p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT p.anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, s.vec_id AS negative_id, positive_score, s.score AS negative_score
+FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT same AND 30 * positive_score <= 100 * s.score AND 100 * s.score <= 90 * positive_score
+QUALIFY row_number() OVER w <= 10
+WINDOW w AS (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.vec_id)"""
+
 ORACLES: dict[str, str] = {
     "op1_warc": WARC,
     "op6_quality_rules": _quality(),
     "op7_decontamination": DECONTAMINATION,
+    "op11_hard_negatives": HARD_NEGATIVES,
 }

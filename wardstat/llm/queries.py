@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardstat.llm import byte_bpe, decontamination, html_blocks, line_dedup, minhash, ppm, quality, sharding, simhash, toxicity, warc
+from wardstat.llm import byte_bpe, decontamination, hard_negatives, html_blocks, line_dedup, minhash, ppm, quality, sharding, simhash, spelling, toxicity, warc
 from wardstat.llm.common import held_out, stored, table
 from wardstat.llm.oracles import ORACLES
 from wardstat.session import scratch_path
@@ -90,6 +90,20 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encode_documents(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    rows = rows.where("forall(embedding, x -> x is not null and not isnan(x) and abs(x) < double('infinity'))").select(
+        F.col("vec_id").alias("id"),
+        F.expr("if(vec_id % 7 = 0, (label + 1) % 10, label)").cast("long").alias("label"),
+        F.expr("transform(embedding, x -> floor(256 * cast(x as double)))").alias("vector"),
+    )
+    return hard_negatives.mine(rows, F.col("id") % 100 == 0, positives=5, negatives=10, low=30, high=90)
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"), least_count=5, factor=5)
+
+
 def op13_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = minhash.components(table(spark, sf_dir, "documents").select("doc_id", "text"), shingle=5, percent=85)
     return found.select("doc_id", "n_shingles", F.col("component").alias("component_id"), "kept")
@@ -106,5 +120,7 @@ QUERIES: dict[str, Query] = {
     "op8_html_extraction": op8_html_extraction,
     "op9_toxicity": op9_toxicity,
     "op10_byte_bpe": op10_byte_bpe,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_spelling_variants": op12_spelling_variants,
     "op13_minhash_near_dedup": op13_minhash_near_dedup,
 }

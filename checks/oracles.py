@@ -291,6 +291,82 @@ SCALER = "\nUNION ALL\n".join(
     f"ROUND(CASE WHEN STDDEV_POP({c}) = 0 THEN 1 ELSE STDDEV_POP({c}) END, 8) AS scale FROM split WHERE split = 'train'"
     for c in _INPUTS
 )
+# The cells of all inputs of rows with two sums, per value, and the sums below each value that is not the least.
+def _splits(rows: str, first: str, second: str) -> str:
+    names = ", ".join(f"CAST({c} AS DOUBLE)" for c in _INPUTS)
+    return f"""SELECT f, v AS threshold, SUM(a) OVER below AS al, SUM(b) OVER below AS bl, COUNT(*) OVER () AS _n,
+    SUM(n) OVER below AS nl, SUM(a) OVER whole AS a, SUM(b) OVER whole AS b, SUM(n) OVER whole AS n
+  FROM (
+    SELECT f, v, SUM(a) AS a, SUM(b) AS b, COUNT(*) AS n
+    FROM (SELECT unnest(range({len(_INPUTS)})) AS f, unnest([{names}]) AS v, {first} AS a, {second} AS b FROM {rows})
+    GROUP BY f, v
+  )
+  WINDOW below AS (PARTITION BY f ORDER BY v ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), whole AS (PARTITION BY f)"""
+
+
+_NAMES = "[" + ", ".join(f"'{c}'" for c in _INPUTS) + "]"
+_TRAIN = """,
+counts AS (SELECT SUM(1 - readmitted_30) AS n0, SUM(readmitted_30) AS n1 FROM split WHERE split = 'train'),
+train AS (SELECT split.*, n0, n1 FROM split, counts WHERE split = 'train')"""
+
+
+def _nodes(tree: int, best: str, root: str, left: str, right: str) -> str:
+    """The three nodes of a tree of one split; weights and values as SQL."""
+    rows = []
+    for node, (n, (weight, value)) in enumerate(zip(("n", "nl", "n - nl"), (w.split(";") for w in (root, left, right)))):
+        split = f"{_NAMES}[f + 1], threshold, ROUND(gain, 4)" if node == 0 else "NULL, NULL, NULL"
+        rows.append(
+            f"SELECT CAST({tree} AS INT) AS tree, CAST({node} AS INT) AS node, {split}, CAST({n} AS BIGINT), ROUND({weight}, 4), ROUND({value}, 6) FROM {best}"
+        )
+    return " UNION ALL ".join(rows)
+
+
+def _boosted_stumps(rounds: int, step: float) -> str:
+    parts = [_TRAIN, "\nm0 AS (SELECT *, CASE WHEN readmitted_30 = 1 THEN n0 / CAST(n1 AS DOUBLE) ELSE 1 END AS w, CAST(0 AS DOUBLE) AS margin FROM train)"]
+    out = []
+    columns = ", ".join(f"CAST({c} AS DOUBLE)" for c in _INPUTS)
+    for t in range(rounds):
+        gain = "al * al / (bl + 1) + (a - al) * (a - al) / (b - bl + 1) - a * a / (b + 1)"
+        parts.append(f"""
+g{t} AS (SELECT *, w * (p - readmitted_30) AS g, w * p * (1 - p) AS h FROM (SELECT *, 1 / (1 + EXP(-margin)) AS p FROM m{t})),
+s{t} AS ({_splits(f"g{t}", "g", "h")}),
+b{t} AS (SELECT *, {gain} AS gain FROM s{t} WHERE nl IS NOT NULL AND bl >= 1 AND b - bl >= 1
+  ORDER BY ROUND({gain}, 6) DESC, f, threshold LIMIT 1),
+m{t + 1} AS (SELECT m{t}.* EXCLUDE (margin),
+  margin - {step} * CASE WHEN [{columns}][f + 1] < threshold THEN al / (bl + 1) ELSE (a - al) / (b - bl + 1) END AS margin FROM m{t}, b{t})""")
+        out.append(_nodes(t, f"b{t}", f"b;-{step} * a / (b + 1)", f"bl;-{step} * al / (bl + 1)", f"b - bl;-{step} * (a - al) / (b - bl + 1)"))
+    names = "SELECT tree, node, feature, threshold, n_rows, gain, weight, value"
+    return ",".join(parts) + f"\n{names} FROM ({' UNION ALL '.join(out)}) AS t(tree, node, feature, threshold, gain, n_rows, weight, value)"
+
+
+def _forest_stump() -> str:
+    share = lambda a, b: f"({a} * {a} + {b} * {b}) / ({a} + {b})"
+    gain = f"{share('al', 'bl')} + {share('(a - al)', '(b - bl)')} - {share('a', 'b')}"
+    weighted = "CASE WHEN readmitted_30 = {c} THEN (n0 + n1) / (2.0 * n{c}) ELSE 0 END"
+    nodes = _nodes(0, "best", "a + b;b / (a + b)", "al + bl;bl / (al + bl)", "a + b - al - bl;(b - bl) / (a + b - al - bl)")
+    return f"""{_TRAIN},
+s AS ({_splits("train", weighted.format(c=0), weighted.format(c=1))}),
+best AS (SELECT *, {gain} AS gain FROM s WHERE nl >= 20 AND n - nl >= 20 ORDER BY ROUND({gain}, 6) DESC, f, threshold LIMIT 1)
+SELECT tree, node, feature, threshold, n_rows, gain, weight, value
+FROM ({nodes}) AS t(tree, node, feature, threshold, gain, n_rows, weight, value)"""
+
+
+def _newton_steps(steps: int) -> str:
+    """Newton's method for one scaled input and an intercept, a step after the other, over the rows per value and label."""
+    parts = [f"""{_TRAIN},
+x AS (SELECT (time_in_hospital - AVG(time_in_hospital) OVER ()) / STDDEV_POP(time_in_hospital) OVER () AS x, readmitted_30 AS y,
+  (n0 + n1) / (2.0 * CASE WHEN readmitted_30 = 1 THEN n1 ELSE n0 END) AS w FROM train),
+v AS (SELECT x, y, SUM(w) AS w FROM x GROUP BY x, y),
+n0_ AS (SELECT CAST(0 AS DOUBLE) AS s, CAST(0 AS DOUBLE) AS i)"""]
+    for t in range(steps):
+        parts.append(f"""
+d{t} AS (SELECT ANY_VALUE(s) AS s, ANY_VALUE(i) AS i, SUM(w * (p - y) * x) + ANY_VALUE(s) / 0.1 AS gs, SUM(w * (p - y)) AS gi,
+  SUM(w * p * (1 - p) * x * x) + 1 / 0.1 AS ss, SUM(w * p * (1 - p) * x) AS si, SUM(w * p * (1 - p)) AS ii
+  FROM (SELECT *, 1 / (1 + EXP(-(i + s * x))) AS p FROM v, n{t}_)),
+n{t + 1}_ AS (SELECT s - (ii * gs - si * gi) / (ss * ii - si * si) AS s, i - (ss * gi - si * gs) / (ss * ii - si * si) AS i FROM d{t})""")
+    return ",".join(parts) + f"\nSELECT ROUND(s, 6) AS slope, ROUND(i, 6) AS intercept, TRUE AS few_passes FROM n{steps}_"
+
+
 _SCALED = ", ".join(
     f"ROUND(({c} - (SELECT AVG({c}) FROM train)) / "
     f"(SELECT CASE WHEN STDDEV_POP({c}) = 0 THEN 1 ELSE STDDEV_POP({c}) END FROM train), 6) AS {c}"
@@ -592,13 +668,27 @@ TRUE AS in_order, CAST(1 AS DOUBLE) AS total FROM (VALUES ('{_MODELS["rf"]}'), (
     "lr_gradient": "SELECT unnest(['intercept', "
     + ", ".join(f"'{name}'" for name in _INPUTS)
     + "]) AS feature, TRUE AS is_flat",
+    "gbt_stumps": _with(SPLIT, _boosted_stumps(3, 0.3)),
+    "rf_stump": _with(SPLIT, _forest_stump()),
+    "lr_one_input": _with(SPLIT, _newton_steps(12)),
+    "planted_models": _with(
+        FEATURES,
+        f""",
+labels AS (
+  SELECT CASE WHEN (time_in_hospital BETWEEN 5 AND 10) <> (encounter_id % 10 = 3) THEN 1 ELSE 0 END AS y FROM features
+)
+SELECT model_name, CAST((SELECT (COUNT(*) + 4) // 5 FROM labels) AS BIGINT) AS n_rows, tells, NOT tells AS does_not_tell,
+  tells AS is_among_best, TRUE AS same_when_reloaded
+FROM (VALUES ('{_MODELS["lr"]}', FALSE), ('{_MODELS["rf"]}', TRUE), ('{_MODELS["gbt"]}', TRUE)) AS m(model_name, tells)""",
+    ),
     "batch_checked": _with(
-        FEATURES, "SELECT encounter_id, 'LR' AS model_used, TRUE AS is_probability, TRUE AS flag_fits FROM features"
+        FEATURES,
+        """SELECT encounter_id, 'GBT' AS model_used, TRUE AS is_probability, TRUE AS flag_fits, TRUE AS tier_fits FROM features""",
     ),
     "log_checked": _with(
         SPLIT,
-        """SELECT 'run-1' AS run_id, TIMESTAMP '2024-03-01 12:00:00' AS run_timestamp, encounter_id, readmitted_30 AS actual_label
-FROM split WHERE split = 'test'""",
+        """SELECT 'run-1' AS run_id, TIMESTAMP '2024-03-01 12:00:00' AS run_timestamp, encounter_id, readmitted_30 AS actual_label,
+  TRUE AS is_best FROM split WHERE split = 'test'""",
     ),
 }
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from checks.inputs import cohort_features, encounters, features, scores, stored_features, table
@@ -24,8 +24,10 @@ from wardstat.operators.classifiers import (
     TrainingSettings,
     feature_importance,
     load_model,
+    newton,
     predict,
     save_model,
+    split_ledger,
     train_models,
     with_probability,
 )
@@ -299,27 +301,91 @@ def _lr_gradient(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sums.select(F.inline(F.array(*parts))).select("feature", (F.abs("g") < 1e-6).alias("is_flat"))
 
 
+#: Few steps whose every number SQL can follow: trees of one split, from all rows and all inputs.
+STUMPS = TrainingSettings(
+    gbt_rounds=3, gbt_depth=1, gbt_step=0.3, gbt_rows=1.0, gbt_columns=1.0, rf_trees=1, rf_depth=1, rf_inputs=len(MODEL_INPUTS), rf_bootstrap=False
+)
+
+
+def _stumps(short: str) -> Query:
+    """Every node of the trees, with its split, gain, rows and value."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        (model,) = train_models(_train_rows(spark, sf_dir), [short], STUMPS)
+        numbers = [F.round(name, 4).alias(name) for name in ("gain", "weight")]
+        return split_ledger(spark, model).select("tree", "node", "feature", "threshold", "n_rows", *numbers, F.round("value", 6).alias("value"))
+
+    return run
+
+
+def _lr_one_input(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Logistic regression of the label on the scaled length of stay alone."""
+    rows = _train_rows(spark, sf_dir).select("time_in_hospital", "readmitted_30")
+    scaled = split.with_class_weight(apply_scaler(rows, fit_scaler(rows, ["time_in_hospital"]), "_scaled"))
+    frame = scaled.withColumn("label", F.col("readmitted_30").cast("double"))
+    (slope,), intercept, passes = newton(frame, ["time_in_hospital_scaled"], "weight", TrainingSettings().lr_c)
+    found = [(round(slope, 6), round(intercept, 6), passes <= 10)]
+    return spark.createDataFrame(found, "slope double, intercept double, few_passes boolean")
+
+
+def _planted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Models of a label that is 1 for stays of 5 to 10 days, but for each tenth row: trees can tell, a line cannot."""
+    hit = F.col("time_in_hospital").between(5, 10) != (F.col("encounter_id") % 10 == 3)
+    rows = stored_features(spark, sf_dir).withColumn("readmitted_30", hit.cast("int"))
+    parts = stored(split.stratified_split(rows), "planted")
+    few = TrainingSettings(rf_trees=40, gbt_rounds=20, gbt_step=0.3)
+    trained = train_models(parts.where("split = 'train'"), settings=few)
+    folder = scratch_path(spark, "planted-models")
+    for model in trained:
+        save_model(model, folder)
+    test = parts.where("split = 'test'")
+    preds = stored(predict(trained, test), "planted-scores")
+    again = predict([load_model(spark, folder, model.short) for model in trained], test)
+    same = preds.join(again.withColumnRenamed("predicted_proba", "again"), ["encounter_id", "model_name"])
+    same = same.groupBy("model_name").agg(F.max(F.abs(F.col("predicted_proba") - F.col("again"))).alias("change"), F.count("*").alias("n_rows"))
+    areas = metrics.roc_auc(preds)
+    best = Window.partitionBy(F.lit(0)).orderBy(F.desc("roc_auc"))
+    return areas.join(same, "model_name").select(
+        "model_name",
+        "n_rows",
+        (F.col("roc_auc") > 0.8).alias("tells"),
+        (F.col("roc_auc") < 0.65).alias("does_not_tell"),
+        (F.row_number().over(best) <= 2).alias("is_among_best"),
+        (F.col("change") < 1e-12).alias("same_when_reloaded"),
+    )
+
+
 def _batch_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stored model, loaded, over every feature row."""
-    return score(features(spark, sf_dir), load_model(spark, _trained(spark, sf_dir, "lr"), "lr"))
+    """The stored model of the default kind, loaded, over every feature row."""
+    return score(features(spark, sf_dir), load_model(spark, _trained(spark, sf_dir, "gbt")))
 
 
 def _checked_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every scored row: the flag from one half on, a tier of the published ones, and the model's name."""
+    """Every scored row: the flag and the tier that its probability asks for, and the model's name."""
     p = F.col("readmission_probability")
+    tier = F.expr("if(readmission_probability < 0.3, 'LOW', if(readmission_probability < 0.5, 'MEDIUM', 'HIGH'))")
+    # The shown probability is rounded; at a limit exactly it doesn't tell.
     return _batch_scores(spark, sf_dir).select(
         "encounter_id",
         "model_used",
         p.between(0, 1).alias("is_probability"),
-        # The shown probability is rounded; at one half exactly it doesn't tell.
         ((p == 0.5) | ((p > 0.5) == F.col("`predicted_readmission_<30d`").cast("boolean"))).alias("flag_fits"),
+        (p.isin(0.3, 0.5) | (F.col("risk_tier") == tier)).alias("tier_fits"),
     )
 
 
 def _checked_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The logged run: exactly the test rows, of one model, the one of greatest ROC area."""
+    """The logged run: exactly the test rows, of one model, the one of greatest ROC area.
+
+    The area is counted anew, as the share of pairs of a positive and a negative row that the model puts in order.
+    """
     logged = _logged_best(spark, sf_dir)
-    return logged.select("run_id", "run_timestamp", "encounter_id", "actual_label")
+    preds = stored(_test_scores("lr", "rf", "gbt")(spark, sf_dir), "test-predictions")
+    at = preds.groupBy("model_name", "predicted_proba").agg(F.sum("actual_label").alias("pos"), F.sum(1 - F.col("actual_label")).alias("neg"))
+    below = F.sum("neg").over(Window.partitionBy("model_name").orderBy("predicted_proba")) - F.col("neg") / 2
+    areas = at.withColumn("below", below).groupBy("model_name").agg((F.sum(F.col("pos") * F.col("below")) / (F.sum("pos") * F.sum("neg"))).alias("area"))
+    best = areas.orderBy(F.desc("area")).first()["model_name"]
+    return logged.select("run_id", "run_timestamp", "encounter_id", "actual_label", (F.col("model_name") == best).alias("is_best"))
 
 
 def _logged_best(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -420,6 +486,10 @@ QUERIES: dict[str, Query] = {
     "rf_checked": _checked_scores("rf"),
     "gbt_checked": _checked_scores("gbt"),
     "importances_checked": _checked_importances,
+    "gbt_stumps": _stumps("gbt"),
+    "rf_stump": _stumps("rf"),
+    "lr_one_input": _lr_one_input,
+    "planted_models": _planted,
     "lr_gradient": _lr_gradient,
     "batch_checked": _checked_batch,
     "log_checked": _checked_log,

@@ -128,11 +128,19 @@ def test_models_do_not_depend_on_partitions(frame, cuts):
 def test_blocks_add_up_on_executors_too(frame, cuts, monkeypatch):
     s = grown.BoostSettings(rounds=2, depth=2)
     want = grown.boost(frame, INPUTS, "w", cuts, s)
-    monkeypatch.setattr(grown, "SUMMED_BLOCKS", 1)
+    monkeypatch.setattr(grown, "SUMMED_BYTES", 1)
     got = grown.boost(frame.repartition(6), INPUTS, "w", cuts, s)
     assert all(np.array_equal(x, y) for x, y in zip(want, got))
 
 
+def test_nodes_of_a_forest_in_many_passes(frame, cuts, monkeypatch):
+    s = grown.ForestSettings(trees=4, depth=4)
+    want = grown.forest(frame, INPUTS, "w", cuts, s)
+    monkeypatch.setattr(grown, "SUM_BYTES", 24 * 3 * grown.Layout(cuts).size)
+    got = grown.forest(frame, INPUTS, "w", cuts, s)
+    assert all(np.array_equal(x, y) for x, y in zip(want, got))
+
+
 def test_lineage_is_cut_and_the_model_stays(frame, cuts, monkeypatch):
     s = grown.BoostSettings(rounds=5, depth=2)
     want = grown.boost(frame, INPUTS, "w", cuts, s)

@@ -29,10 +29,10 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Rows of a block.
 BLOCK_ROWS = 1 << 18
-#: Blocks whose sums are added up on the driver; more are added up on the executors first.
-SUMMED_BLOCKS = 64
-#: Trees of a forest that grow together.
-GROWN = 50
+#: Bytes of sums of all blocks that are added up on the driver; more are added up on the executors first.
+SUMMED_BYTES = 64 << 20
+#: Bytes of sums that a block makes at once; the nodes of a forest are summed in so many passes.
+SUM_BYTES = 8 << 20
 #: Rounds after which the margins are written to the shared folder and their lineage is cut.
 CHECKPOINT_ROUNDS = 25
 #: A split of boosted trees must gain more than this.
@@ -170,7 +170,7 @@ def _summed(rows: RDD, sums: Callable[[Block], np.ndarray], shape: tuple) -> np.
         yield reduce(np.add, map(sums, own), np.zeros(shape, np.int64))
 
     parts = rows.mapPartitions(part)
-    if rows.getNumPartitions() <= SUMMED_BLOCKS:
+    if rows.getNumPartitions() * 8 * np.prod(shape) <= SUMMED_BYTES:
         return reduce(np.add, parts.collect(), np.zeros(shape, np.int64))
     return parts.treeReduce(np.add, depth=3)
 
@@ -395,83 +395,79 @@ def forest(frame: DataFrame, inputs: Sequence[str], weight: str, cuts: list[np.n
     cut = np.zeros(out.feature.shape, np.int64)
     held = blocks(frame, inputs, weight, cuts).persist(StorageLevel.MEMORY_AND_DISK)
     wanted = s.inputs or max(1, int(len(inputs) ** 0.5))
+    slots = max(1, SUM_BYTES // (24 * layout.size))
     try:
-        for start in range(0, s.trees, GROWN):
-            trees = np.arange(start, min(start + GROWN, s.trees))
-            out.feature[trees, 0] = -1
-            for level in range(s.depth + 1):
-                # Of the last level only the leaves are summed, over the bins of one input.
-                asked = _asked_inputs(s, trees, level, len(inputs), wanted)
-                sums = _summed(held, _forest_sums(s, trees, level, asked, layout, out.feature[trees], cut[trees]), (len(trees), 2**level, layout.size, 3))
-                if not _forest_splits(out, cut, trees, level, sums, asked, layout, class_weight, s):
-                    break
+        out.feature[:, 0] = -1
+        for level in range(max(1, s.depth)):
+            growing = [(t, 2**level - 1 + j) for t in range(s.trees) for j in range(2**level) if out.feature[t, 2**level - 1 + j] == -1]
+            for start in range(0, len(growing), slots):
+                nodes = np.array(growing[start : start + slots])
+                asked = np.array([chosen_inputs(s.seed, t * 2 ** (s.depth + 1) + node + 1, len(inputs), wanted) for t, node in nodes.tolist()])
+                sums = _summed(held, _forest_sums(s, level, nodes, asked, layout, out.feature, cut), (len(nodes), layout.size, 3))
+                _forest_splits(out, cut, level, nodes, sums, asked, layout, class_weight, s)
         return out
     finally:
         held.unpersist()
 
 
-def _asked_inputs(s: ForestSettings, trees: np.ndarray, level: int, n: int, wanted: int) -> np.ndarray:
-    """(tree, node, input): which inputs a node looks at."""
-    out = np.zeros((len(trees), 2**level, n), bool)
-    for i, t in enumerate(trees.tolist()):
-        for j in range(2**level):
-            out[i, j, chosen_inputs(s.seed, t * 2 ** (s.depth + 1) + 2**level + j, n, wanted if level < s.depth else 1)] = True
-    return out
-
-
-def _forest_sums(s: ForestSettings, trees: np.ndarray, level: int, asked: np.ndarray, layout: Layout, feature: np.ndarray, cut: np.ndarray):
-    """Sums of a block per (tree, node of the level, bin): draws of class 0 and of class 1, and rows."""
-    first, size, nodes = layout.first, layout.size, 2**level
+def _forest_sums(s: ForestSettings, level: int, nodes: np.ndarray, asked: np.ndarray, layout: Layout, feature: np.ndarray, cut: np.ndarray):
+    """Sums of a block per (node, bin) of the inputs that the node looks at: draws of class 0 and of class 1, and rows."""
+    first, size = layout.first, layout.size
+    trees = np.unique(nodes[:, 0])
+    feature, cut = feature[trees], cut[trees]
+    looks = np.zeros((len(nodes), len(first) - 1), bool)
+    looks[np.arange(len(nodes))[:, None], asked] = True
 
     def run(block: Block) -> np.ndarray:
-        out = np.zeros((len(trees), nodes * size, 3), np.int64)
+        out = np.zeros((len(nodes) * size, 3), np.int64)
         for i, t in enumerate(trees.tolist()):
+            slots = np.flatnonzero(nodes[:, 0] == t)
+            slot = np.full(2 ** (level + 1), -1)
+            slot[nodes[slots, 1]] = slots
             node = _walk(block.bins, feature[i], cut[i], level)
             times = np.searchsorted(POISSON, draws(block.key, s.seed, t), side="right") if s.bootstrap else np.ones(len(node), np.int64)
             own = np.flatnonzero((node >= 0) & (times > 0))
-            at, drawn = node[own] - (nodes - 1), times[own].astype(np.float64)
+            at = slot[node[own]]
+            own, at = own[at >= 0], at[at >= 0]
+            drawn = times[own].astype(np.float64)
             one = drawn * block.label[own]
-            for f in range(block.bins.shape[1]):
-                looks = asked[i, :, f]
-                if not looks.any():
-                    continue
-                here = np.flatnonzero(looks[at])
-                place = at[here] * size + first[f] + block.bins[own[here], f]
+            low, high = int(slots[0]) * size, (int(slots[-1]) + 1) * size
+            for f in np.flatnonzero(looks[slots].any(axis=0)).tolist():
+                here = np.flatnonzero(looks[at, f])
+                place = at[here] * size + first[f] + block.bins[own[here], f] - low
                 for k, what in enumerate((drawn[here] - one[here], one[here], None)):
-                    out[i, :, k] += np.bincount(place, what, minlength=nodes * size).astype(np.int64)
-        return out.reshape(len(trees), nodes, size, 3)
+                    out[low:high, k] += np.bincount(place, what, minlength=high - low).astype(np.int64)
+        return out.reshape(len(nodes), size, 3)
 
     return run
 
 
-def _forest_splits(out: Trees, cut: np.ndarray, trees: np.ndarray, level: int, sums: np.ndarray, asked: np.ndarray, layout: Layout, class_weight: np.ndarray, s: ForestSettings) -> bool:
-    """Split the nodes of a level where the impurity falls; whether there is a further level."""
-    further = False
-    places = layout.split_places()
-    for i, t in enumerate(trees.tolist()):
-        upto, whole = layout.prefix(sums[i])
-        left, both = upto[..., :2] * class_weight, whole[..., :2] * class_weight
-        right = both - left
-        purity = lambda w: (w * w).sum(axis=-1) / np.maximum(w.sum(axis=-1), 1e-300)
-        gain = purity(left) + purity(right) - purity(both)
-        rows, all_rows = upto[..., 2], whole[..., 2]
-        fit = places & (rows >= s.least_leaf) & (all_rows - rows >= s.least_leaf) & (gain > 1e-9 * both.sum(axis=-1))
-        best = _best(np.where(fit, gain, -1.0))
-        for j in range(2**level):
-            node = 2**level - 1 + j
-            if out.feature[t, node] != -1:
-                continue
-            total = both[j, layout.first[int(asked[i, j].argmax())]]
-            out.n_rows[t, node] = all_rows[j, layout.first[int(asked[i, j].argmax())]]
-            out.weight[t, node] = total.sum()
-            out.value[t, node] = total[1] / total.sum() if total.sum() else 0.0
-            place = int(best[j])
-            if level < s.depth and fit[j, place]:
-                out.feature[t, node], cut[t, node], out.threshold[t, node] = layout.at(place)
-                out.gain[t, node] = gain[j, place]
-                out.feature[t, 2 * node + 1] = out.feature[t, 2 * node + 2] = -1
-                further = True
-    return further
+def _forest_splits(out: Trees, cut: np.ndarray, level: int, nodes: np.ndarray, sums: np.ndarray, asked: np.ndarray, layout: Layout, class_weight: np.ndarray, s: ForestSettings) -> None:
+    """Split nodes of a level where the impurity falls, and give their children a leaf's value."""
+    upto, whole = layout.prefix(sums)
+    left, both = upto[..., :2] * class_weight, whole[..., :2] * class_weight
+    right = both - left
+    purity = lambda w: (w * w).sum(axis=-1) / np.maximum(w.sum(axis=-1), 1e-300)
+    gain = purity(left) + purity(right) - purity(both)
+    rows, all_rows = upto[..., 2], whole[..., 2]
+    fit = layout.split_places() & (rows >= s.least_leaf) & (all_rows - rows >= s.least_leaf) & (gain > 1e-9 * both.sum(axis=-1))
+    best = _best(np.where(fit, gain, -1.0))
+
+    def hold(t: int, node: int, n: int, weights: np.ndarray) -> None:
+        out.n_rows[t, node], out.weight[t, node] = n, weights.sum()
+        out.value[t, node] = weights[1] / weights.sum() if weights.sum() else 0.0
+
+    for i, (t, node) in enumerate(nodes.tolist()):
+        seen = layout.first[asked[i, 0]]
+        hold(t, node, all_rows[i, seen], both[i, seen])
+        place = int(best[i])
+        if level >= s.depth or not fit[i, place]:
+            continue
+        out.feature[t, node], cut[t, node], out.threshold[t, node] = layout.at(place)
+        out.gain[t, node] = gain[i, place]
+        out.feature[t, 2 * node + 1] = out.feature[t, 2 * node + 2] = -1
+        hold(t, 2 * node + 1, rows[i, place], left[i, place])
+        hold(t, 2 * node + 2, all_rows[i, place] - rows[i, place], right[i, place])
 
 
 # What is stored, and scoring.
@@ -518,7 +514,7 @@ def probabilities(trees: Trees, x: np.ndarray, boosted: bool) -> np.ndarray:
 
 def with_tree_probability(df: DataFrame, trees: Trees, inputs: Sequence[str], name: str, boosted: bool) -> DataFrame:
     """``df`` with the probability ``name``; rows are scored in columnar batches. A null input stops the job."""
-    held = df.sparkSession.sparkContext.broadcast(trees)
+    held = df.sparkSession.sparkContext.broadcast(tuple(trees))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Trees(*held.value)

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -66,7 +67,7 @@ class TrainedModel:
 
 
 #: Training rows of one partition.
-ROWS_PER_PARTITION = 250_000
+ROWS_PER_PARTITION = 50_000
 
 
 def _training_frame(train: DataFrame, target: str, key: str) -> DataFrame:
@@ -74,12 +75,12 @@ def _training_frame(train: DataFrame, target: str, key: str) -> DataFrame:
 
     Training passes over the frame hundreds of times, in step with its biggest partition; one shuffle
     of these narrow rows buys even partitions whatever the files look like. Classes are counted before it, and the
-    count says how many partitions there are: one per core at least.
+    count says how many partitions there are: a pass over few rows costs less than the task that makes it.
     """
     spark = train.sparkSession
     rows = class_balance(train, target).collect()
     balance = spark.createDataFrame(rows, train.select(target, F.lit(0).cast("long").alias("n")).schema)
-    parts = max(spark.sparkContext.defaultParallelism, -(-sum(row["n"] for row in rows) // ROWS_PER_PARTITION))
+    parts = max(1, -(-sum(row["n"] for row in rows) // ROWS_PER_PARTITION))
     both = {"weight": "balanced", "positive_weight": "positive"}
     frame = weighted(train.select(key, *MODEL_INPUTS, target).repartition(parts, key), balance, target, both)
     return frame.select(
@@ -106,50 +107,45 @@ def newton(frame: DataFrame, names: Sequence[str], weight: str, c: float, most:
     objective worse is halved.
     """
     k = len(names)
-    terms = [*names, None]  # None: the intercept
-    point = np.zeros(k + 1)
+    point, step, best = np.zeros(k + 1), np.zeros(k + 1), np.inf
     ridge = np.append(np.full(k, 1.0 / c), 0.0)
-    step, best = np.zeros(k + 1), np.inf
     for passes in range(1, most + 1):
-        z, w, y = _linear(names, point[:k], point[k]), F.col(weight), F.col("label")
-        p = 1.0 / (1.0 + F.exp(-F.col("_z")))
-        rows = frame.select(*names, weight, "label", z.alias("_z")).select(
-            *names,
-            (w * (p - y)).alias("_e"),
-            (w * p * (1.0 - p)).alias("_v"),
-            (w * (F.greatest("_z", F.lit(0.0)) + F.log1p(F.exp(-F.abs("_z"))) - y * F.col("_z"))).alias("_loss"),
-            w.alias("_w"),
-        )
-        at = lambda what, *own: F.sum(what if not own else _product(what, own))
-        pairs = [(i, j) for i in range(k + 1) for j in range(i, k + 1)]
-        sums = rows.agg(
-            F.sum("_loss").alias("loss"),
-            F.sum("_w").alias("total"),
-            *[at(F.col("_e"), *[n for n in (terms[i],) if n]).alias(f"g{i}") for i in range(k + 1)],
-            *[at(F.col("_v"), *[n for n in (terms[i], terms[j]) if n]).alias(f"h{i}_{j}") for i, j in pairs],
-        ).first()
-        objective = sums["loss"] + 0.5 * float(ridge @ point**2)
+        loss, total, gradient, second = loss_sums(frame, names, weight, point)
+        objective = loss + 0.5 * float(ridge @ point**2)
         if objective > best * (1 + 1e-12):
             step = step / 2
             point = point + step
             continue
         best = objective
-        gradient = np.array([sums[f"g{i}"] for i in range(k + 1)]) + ridge * point
-        if np.abs(gradient).max() <= flat * sums["total"]:
+        gradient = gradient + ridge * point
+        if np.abs(gradient).max() <= flat * total:
             break
-        second = np.diag(ridge)
-        for i, j in pairs:
-            second[i, j] += sums[f"h{i}_{j}"]
-            second[j, i] = second[i, j]
-        step = np.linalg.lstsq(second, gradient, rcond=None)[0]
+        step = np.linalg.lstsq(second + np.diag(ridge), gradient, rcond=None)[0]
         point = point - step
     return point[:k].tolist(), float(point[k]), passes
 
 
-def _product(what, own):
-    for name in own:
-        what = what * F.col(name)
-    return what
+def loss_sums(frame: DataFrame, names: Sequence[str], weight: str, point: np.ndarray) -> tuple[float, float, np.ndarray, np.ndarray]:
+    """The weighted log loss at a point (coefficients, then the intercept), the sum of weights, and the loss's first and
+    second derivatives. Each partition makes one row of sums; Spark adds them up."""
+    k = len(names) + 1
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros(2 + k + k * k)
+        for batch in batches:
+            columns = [batch.column(name).cast(pa.float64()).to_numpy(zero_copy_only=False) for name in (*names, weight, "label")]
+            x, w, y = np.stack([*columns[:-2], np.ones(batch.num_rows)], axis=1), columns[-2], columns[-1]
+            z = x @ point
+            p = 1.0 / (1.0 + np.exp(-z))
+            loss = w * (np.maximum(z, 0.0) + np.log1p(np.exp(-np.abs(z))) - y * z)
+            second = x.T @ (x * (w * p * (1.0 - p))[:, None])
+            sums += np.concatenate([[loss.sum(), w.sum()], x.T @ (w * (p - y)), second.ravel()])
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(sums))), pa.array(sums)], ["place", "value"])
+
+    rows = frame.select(*names, weight, "label").mapInArrow(run, "place long, value double")
+    found = {r["place"]: r["value"] for r in rows.groupBy("place").agg(F.sum("value").alias("value")).collect()}
+    sums = np.array([found[i] for i in range(2 + k + k * k)])
+    return float(sums[0]), float(sums[1]), sums[2 : 2 + k], sums[2 + k :].reshape(k, k)
 
 
 def train_lr(frame: DataFrame, settings: TrainingSettings = TrainingSettings()) -> TrainedModel:

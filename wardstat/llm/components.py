@@ -11,19 +11,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardstat.llm.common import stored
+from wardstat.session import discard
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
     least = stored(least, "least")
-    return both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+    found = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+    found = stored(found, "edges")
+    discard(least)
+    return found
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     least = stored(edges.groupBy("a").agg(F.min("b").alias("m")), "least")
     moved = edges.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    return moved.union(least.select("a", F.col("m").alias("b"))).distinct()
+    found = stored(moved.union(least.select("a", F.col("m").alias("b"))).distinct(), "edges")
+    discard(least)
+    return found
 
 
 def _mark(edges: DataFrame):
@@ -37,7 +43,10 @@ def connected_components(links: DataFrame, a: str, b: str) -> DataFrame:
     edges = stored(edges, "edges")
     mark = None
     while mark != (mark := _mark(edges)) and mark[0]:
-        edges = stored(_small_star(stored(_large_star(edges), "edges")), "edges")
+        large = _large_star(edges)
+        discard(edges)
+        edges = _small_star(large)
+        discard(large)
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
         edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     )

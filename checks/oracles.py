@@ -697,3 +697,5 @@ _BY_AGE = f"""SELECT {BAND} AS age_group, COUNT(*) AS total, CAST(SUM(readmitted
   {mean('num_medications')} AS avg_medications FROM features GROUP BY 1"""
 ORACLES["q2_age"] = _with(FEATURES, _BY_AGE)
 ORACLES["q2_age_cohort"] = _with(COHORT_FEATURES, _BY_AGE)
+ORACLES["merged_cohort"] = ORACLES["build_cohort"]
+ORACLES["kpis_by_part"] = ORACLES["q8_kpis"]

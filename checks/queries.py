@@ -44,6 +44,7 @@ from wardstat.operators.features import cast_counts, engineer_features
 from wardstat.operators.scaling import apply_scaler, fit_scaler
 from wardstat.operators.scoring import log_predictions, score, with_score
 from wardstat.plans.answers import refresh_kpis
+from wardstat.plans.incremental import kpis_by_part, merge_encounters, merged_cohort, refresh_kpis_by_part
 from wardstat.session import scratch_path, stored
 from wardstat.sources.encounters import PANDAS_NA_TOKENS, normalise_nulls, read_encounters, read_feature_rows
 from wardstat.sources.schemas import FEATURES, KPIS, METRICS, MODEL_INPUTS
@@ -162,6 +163,30 @@ def _stored_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(f"kpi_id int, {', '.join(f'{f.name} {f.dataType.simpleString()}' for f in KPIS)}").parquet(path)
 
 
+def _merged_cohort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encounters that arrive in three loads, late ones last and some of them twice."""
+    path = scratch_path(spark, "merged-cohort")
+    raw = encounters(spark, sf_dir)
+    for load in ("encounter_id % 3 = 2", "encounter_id % 3 = 0 or encounter_id % 7 = 0", "encounter_id % 3 = 1"):
+        merge_encounters(raw.where(load), path)
+    return merged_cohort(spark, path, normalise_nulls(raw).schema)
+
+
+def _kpis_by_part(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """KPI sums of four parts, of which one is then written anew, one taken away and one more added."""
+    base, path = scratch_path(spark, "kpi-parts"), scratch_path(spark, "kpi-sums")
+    rows = stored_features(spark, sf_dir).withColumn("part", F.col("encounter_id") % 4)
+    parts = {f"p{i}": f"{base}/p{i}" for i in range(4)}
+    for i in range(4):
+        write_table(rows.where(F.col("part") == (0 if i == 1 else i)).drop("part"), parts[f"p{i}"])
+    gone = {"old": f"{base}/old"}
+    write_table(rows.where("part = 3").drop("part"), gone["old"])
+    refresh_kpis_by_part(spark, {**gone, **{k: parts[k] for k in ("p0", "p1", "p2")}}, path)
+    write_table(rows.where("part = 1").drop("part"), parts["p1"])
+    refresh_kpis_by_part(spark, parts, path)
+    return segments.with_kpi_id(kpis_by_part(spark, path))
+
+
 def _exported_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     source, target = scratch_path(spark, "metrics"), scratch_path(spark, "metrics-export")
     export_csv(metrics.metrics_table(_two_models(spark, sf_dir)), source)
@@ -405,12 +430,14 @@ QUERIES: dict[str, Query] = {
     "read_feature_rows": _feature_rows,
     "prediction_log": _prediction_log,
     "stored_kpis": _stored_kpis,
+    "kpis_by_part": _kpis_by_part,
     "exported_metrics": _exported_metrics,
     # cohort
     "keep_gender": _on(encounters, lambda df: keep_values(df, "gender", KEPT_GENDERS)),
     "drop_disposition": _on(encounters, lambda df: drop_values(df, "discharge_disposition_id", DEATH_OR_HOSPICE)),
     "first_encounter": _on(encounters, lambda df: first_per_key(df, "patient_nbr", "encounter_id")),
     "build_cohort": _on(encounters, build_cohort),
+    "merged_cohort": _merged_cohort,
     "stage_counts": _stage_counts,
     # features
     "engineer_features": features,

@@ -36,6 +36,17 @@ def first_per_key(df: DataFrame, key: str, order: str) -> DataFrame:
     return df.withColumn("_nth", F.row_number().over(rows)).filter("_nth = 1").drop("_nth")
 
 
+def known_rows(raw: DataFrame, na_tokens: Iterable[str] = NA_TOKENS, gender: str = "gender") -> DataFrame:
+    """Cleaned rows of known gender.
+
+    The gender filter runs on the stored text, where the scan can use it; cleaning cannot turn another text into a kept
+    gender.
+    """
+    tokens = list(na_tokens)
+    genders = [value for value in KEPT_GENDERS if value not in tokens]
+    return normalise_nulls(keep_values(raw, gender, genders), tokens)
+
+
 def build_cohort(
     raw: DataFrame,
     na_tokens: Iterable[str] = NA_TOKENS,
@@ -47,10 +58,7 @@ def build_cohort(
     """First encounter of each patient of known gender, unless that one ended in death or hospice.
 
     The disposition is looked at last: a patient whose first encounter ended that way is not
-    represented by a later one. The gender filter runs on the stored text, where the scan can use
-    it; cleaning cannot turn another text into a kept gender.
+    represented by a later one.
     """
-    tokens = list(na_tokens)
-    genders = [value for value in KEPT_GENDERS if value not in tokens]
-    known = normalise_nulls(keep_values(raw, gender, genders), tokens)
+    known = known_rows(raw, na_tokens, gender)
     return drop_values(first_per_key(known, key, order), disposition, DEATH_OR_HOSPICE)

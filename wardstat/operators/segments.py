@@ -166,21 +166,40 @@ def export_segments() -> Segments:
     )
 
 
-def segment_kpis(features: DataFrame, segments: Segments | str = "sql") -> DataFrame:
-    """One KPI row per segment, from one scan.
+def named_segments(kind: str) -> Segments:
+    """The segments of the KPI table of the analysis (``sql``) or of the dashboard (``export``)."""
+    return {"sql": sql_segments, "export": export_segments}[kind]()
+
+
+_MEASURES = ("readmitted_30", "time_in_hospital", "num_medications", "total_visits")
 
-    Rows are first summed per combination of labels (at most a few hundred, so the shuffle is tiny
-    whatever the input size); the combinations are then dealt out to the segments they belong to.
+
+def label_sums(features: DataFrame, segments: Segments) -> DataFrame:
+    """Rows, sums and counts per combination of labels: at most a few hundred rows, whatever the input's size.
+
+    Sums of two tables that are added up per combination are the sums of both together.
     """
-    if isinstance(segments, str):
-        segments = {"sql": sql_segments, "export": export_segments}[segments]()
-    measures = ["readmitted_30", "time_in_hospital", "num_medications", "total_visits"]
     labels = [col.alias(f"_label_{i}") for i, (_, col) in enumerate(segments.families)]
-    cells = features.groupBy(*labels).agg(
+    return features.groupBy(*labels).agg(
         _rows().alias("n"),
-        *[F.sum(name).alias(f"sum_{name}") for name in measures],
-        *[F.count(name).alias(f"n_{name}") for name in measures],
+        *[F.sum(name).alias(f"sum_{name}") for name in _MEASURES],
+        *[F.count(name).alias(f"n_{name}") for name in _MEASURES],
     )
+
+
+def segment_kpis(features: DataFrame, segments: Segments | str = "sql") -> DataFrame:
+    """One KPI row per segment, from one scan.
+
+    Rows are first summed per combination of labels, so the shuffle is tiny whatever the input size; the combinations
+    are then dealt out to the segments they belong to.
+    """
+    if isinstance(segments, str):
+        segments = named_segments(segments)
+    return kpis_of_sums(label_sums(features, segments), segments)
+
+
+def kpis_of_sums(cells: DataFrame, segments: Segments) -> DataFrame:
+    """One KPI row per segment, from sums per combination of labels; combinations may come more than once."""
     carried = [name for name in cells.columns if not name.startswith("_label_")]
     memberships = F.array(
         *[
@@ -196,7 +215,7 @@ def segment_kpis(features: DataFrame, segments: Segments | str = "sql") -> DataF
                 for kind, value in segments.always
             ]
         )
-        shown = features.sparkSession.range(0, 1, 1, 1).select(
+        shown = cells.sparkSession.range(0, 1, 1, 1).select(
             F.inline(pairs), *[F.lit(0 if name.startswith("n") else None).cast("bigint").alias(name) for name in carried]
         )
         dealt = dealt.unionByName(shown)
@@ -212,7 +231,7 @@ def segment_kpis(features: DataFrame, segments: Segments | str = "sql") -> DataF
         round_ratio(F.col("sum_readmitted_30"), F.col("n"), 4).alias("readmission_rate_30"),
         *[
             round_ratio(F.col(f"sum_{name}"), F.col(f"n_{name}"), 2).alias(f"avg_{name}")
-            for name in measures[1:]
+            for name in _MEASURES[1:]
         ],
     )
 

@@ -1,3 +1,4 @@
+import random
 import re
 from collections import Counter
 
@@ -25,10 +26,11 @@ def plain(text):
             dup_chars += (line in lines) * sum(map(len, own))
             lines.add(line)
     chars = sum(map(len, words))
-    shares = {n: sum(len(words[j]) for j in inside(n)) / max(chars, 1) for n in quality.NGRAM_LIMITS}
+    covered = {n: sum(len(words[j]) for j in inside(n)) for n in quality.NGRAM_LIMITS}
     repeat = len(inside(3))
     failed = len(words) < 50 or 100 * repeat > 50 * len(words)
-    kept = not failed and dup_chars / max(chars, 1) <= quality.LINE_LIMIT and all(shares[n] <= x for n, x in quality.NGRAM_LIMITS.items())
+    within = lambda own, share: own <= share * chars + quality.ALLOWED
+    kept = not failed and within(dup_chars, quality.LINE_LIMIT) and all(within(covered[n], x) for n, x in quality.NGRAM_LIMITS.items())
     return (len(words), chars, sum(c in "#*$%&|<>" for c in text), dup, repeat, failed, kept)
 
 
@@ -45,3 +47,23 @@ def test_verdicts_on_all_kinds_of_rows(docs, empty):
     got = Counter((r["doc_id"], *(r[c] for c in quality.COUNTS), r["base_failed"], r["kept"]) for r in quality.quality_rules(both).collect())
     assert got == Counter((k, *plain(t)) for k, t in pairs_of(both))
     assert quality.quality_rules(docs).count() == docs.count() and quality.quality_rules(empty).count() == 0
+
+
+def test_the_coverages_decide(spark):
+    """Texts that pass the base rule: with much in repeated runs they go, with a heading at both ends they stay."""
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(6))
+    run = " ".join(word() for _ in range(12))
+    heading = " ".join(word() for _ in range(8))
+    body = lambda n: " ".join(word() for _ in range(n))
+    texts = {
+        1: " ".join(f"{run} {body(15)}" for _ in range(40)),  # 44 % of the characters in repeated ten-word runs
+        2: f"{heading}\n{body(60)}\n{heading}",
+        3: body(3000),
+        4: "\n".join([*(body(10) for _ in range(300)), *[body(9)] * 40]),  # a line that comes forty times
+        5: f"{heading}\n{body(20_000)}\n{heading}",
+        6: f"{run}\n{body(4000)}\n" * 2,  # all of it comes again
+    }
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r["doc_id"]: (r["base_failed"], r["kept"]) for r in quality.quality_rules(df).collect()}
+    assert got == {1: (False, False), 2: (False, True), 3: (False, True), 4: (False, False), 5: (False, True), 6: (True, False)}

@@ -5,7 +5,7 @@ The others hash with XXH64 or CRC-32, train, tokenise or parse markup; ``tests/l
 
 from __future__ import annotations
 
-from wardstat.llm.quality import LEAST_WORDS, LINE_LIMIT, NGRAM_LIMITS
+from wardstat.llm.quality import ALLOWED, LEAST_WORDS, LINE_LIMIT, NGRAM_LIMITS
 
 WARC = """WITH p AS (SELECT page_id, COALESCE(html, '') AS h FROM pages),
 f AS (SELECT h, MIN(page_id) AS first FROM p WHERE strlen(h) >= 100 GROUP BY h)
@@ -27,7 +27,7 @@ def _quality() -> str:
     inside = ", ".join(f"MAX(r{n}) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW) AS i{n}" for n in lengths)
     chars = ", ".join(f"SUM(i{n} * size) AS c{n}" for n in NGRAM_LIMITS)
     shares = ", ".join(f"COALESCE(c{n}, 0) / CAST(greatest(word_chars, 1) AS DOUBLE) AS coverage_{n}" for n in NGRAM_LIMITS)
-    within = " AND ".join(f"coverage_{n} <= CAST({x} AS DOUBLE)" for n, x in NGRAM_LIMITS.items())
+    within = " AND ".join(f"COALESCE(c{n}, 0) <= CAST({x} AS DOUBLE) * word_chars + {ALLOWED}" for n, x in NGRAM_LIMITS.items())
     blank = r"\x20\x09-\x0D"
     return rf"""WITH d AS (SELECT doc_id, COALESCE(text, '') AS t FROM documents),
 w AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS pos
@@ -48,7 +48,7 @@ s AS (SELECT *, n_words < {LEAST_WORDS} OR 100 * n_repeat_words > 50 * n_words A
     dup_chars / CAST(greatest(word_chars, 1) AS DOUBLE) AS line_coverage, {shares} FROM a)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, line_coverage,
   {", ".join(f"coverage_{n}" for n in NGRAM_LIMITS)},
-  NOT base_failed AND line_coverage <= CAST({LINE_LIMIT} AS DOUBLE) AND {within} AS kept
+  NOT base_failed AND dup_chars <= CAST({LINE_LIMIT} AS DOUBLE) * word_chars + {ALLOWED} AND {within} AS kept
 FROM s"""
 
 

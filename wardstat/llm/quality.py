@@ -20,10 +20,12 @@ from wardstat.llm import bytescan
 from wardstat.llm.common import chunks, sql_type, text_of
 
 U = np.uint64
-#: Highest share of a text's word characters inside its duplicated n-grams, by n, and in its duplicated lines. A short text
-#: whose first line is repeated at its end stays below them.
-NGRAM_LIMITS = {5: 0.50, 6: 0.49, 7: 0.48, 8: 0.47, 9: 0.46, 10: 0.45}
-LINE_LIMIT = 0.30
+#: Highest share of a text's word characters inside its duplicated n-grams, by n, and in its duplicated lines.
+NGRAM_LIMITS = {5: 0.15, 6: 0.14, 7: 0.13, 8: 0.12, 9: 0.11, 10: 0.10}
+LINE_LIMIT = 0.10
+#: Word characters that a text of any length may have there beyond its share: a heading that comes again at the end, both
+#: times. So the limit falls smoothly from the short texts, of which a heading is much, to the share of the long ones.
+ALLOWED = 100
 LEAST_WORDS = 50
 SYMBOLS = np.zeros(256, bool)
 SYMBOLS[list(b"#*$%&|<>")] = True
@@ -78,7 +80,8 @@ def measure(texts: pa.Array, lengths: tuple[int, ...] = tuple(NGRAM_LIMITS)) ->
     starts, ends, doc, chars = starts[full], ends[full], doc[full], chars[full]
     later = _repeated(bytescan.xxh64(data, starts, ends - starts), doc, later=True)
     out["n_dup_lines"] = np.bincount(doc[later], minlength=n)
-    out["line_coverage"] = np.bincount(doc[later], weights=chars[later], minlength=n) / share
+    out["line_chars"] = np.bincount(doc[later], weights=chars[later], minlength=n)
+    out["line_coverage"] = out["line_chars"] / share
 
     hashes = bytescan.xxh64(w.data, w.start, w.end - w.start)
     begins = np.concatenate([[0], np.cumsum((w.data & 0xC0) != 0x80)])
@@ -90,7 +93,8 @@ def measure(texts: pa.Array, lengths: tuple[int, ...] = tuple(NGRAM_LIMITS)) ->
         heads = bytescan.windows(w, k)
         any_of = _repeated(bytescan.rolling(hashes, heads, k), w.doc[heads])
         covered = _covered(heads[any_of], k, len(w.doc))
-        out[f"coverage_{k}"] = np.bincount(w.doc[covered], weights=size[covered], minlength=n) / share
+        out[f"chars_{k}"] = np.bincount(w.doc[covered], weights=size[covered], minlength=n)
+        out[f"coverage_{k}"] = out[f"chars_{k}"] / share
     return out
 
 
@@ -104,12 +108,14 @@ def quality_rules(
     ngram_limits: dict[int, float] | None = None,
     line_limit: float = LINE_LIMIT,
     least_words: int = LEAST_WORDS,
+    allowed: int = ALLOWED,
 ) -> DataFrame:
     """(key, the five counts, base_failed, line_coverage, coverage_n ..., kept) per row.
 
     ``base_failed``: fewer than ``least_words`` words, or over half of them in repeated 3-word windows. ``kept``: not
-    that, and every coverage within its limit. Null, empty and blank texts have zeros and fail. Null and repeated
-    keys stay rows; other columns don't matter.
+    that, and the characters of every coverage within the limit's share of all and ``allowed`` more. Null, empty and blank
+    texts have zeros and fail; texts of any length are measured whole. A coverage just at its limit is within it. Null and
+    repeated keys stay rows; other columns don't matter. An empty table gives an empty one.
     """
     limits = NGRAM_LIMITS if ngram_limits is None else ngram_limits
     shares = ["line_coverage", *(f"coverage_{n}" for n in limits)]
@@ -123,9 +129,9 @@ def quality_rules(
         for part in chunks(batches):
             m = measure(part.column("text"), tuple(limits))
             failed = (m["n_words"] < least_words) | (100 * m["n_repeat_words"] > 50 * m["n_words"])
-            kept = ~failed & (m["line_coverage"] <= line_limit)
+            kept = ~failed & (m["line_chars"] <= line_limit * m["word_chars"] + allowed)
             for n, limit in limits.items():
-                kept &= m[f"coverage_{n}"] <= limit
+                kept &= m[f"chars_{n}"] <= limit * m["word_chars"] + allowed
             out = [*(m[c].astype(np.int64) for c in COUNTS), failed, *(m[c] for c in shares), kept]
             yield pa.RecordBatch.from_arrays([part.column("key"), *map(pa.array, out)], [f.name for f in fields])
 

@@ -163,16 +163,62 @@ def blocks(frame: DataFrame, inputs: Sequence[str], weight: str, cuts: list[np.n
     return rows.rdd.map(lambda row: Block(*pickle.loads(row[0])))
 
 
-def _summed(rows: RDD, sums: Callable[[Block], np.ndarray], shape: tuple) -> np.ndarray:
-    """What ``sums`` makes of all blocks, added up."""
+class _Spread:
+    """Blocks on the executors: a pass is a job, and what the blocks sum is added up."""
+
+    def __init__(self, rows: RDD):
+        self.rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+        self.older: list[RDD] = []
+
+    def summed(self, sums: Callable[[Block], np.ndarray], shape: tuple) -> np.ndarray:
+        def part(own: Iterator[Block]) -> Iterator[np.ndarray]:
+            yield reduce(np.add, map(sums, own), np.zeros(shape, np.int64))
+
+        parts = self.rows.mapPartitions(part)
+        if self.rows.getNumPartitions() * 8 * np.prod(shape) <= SUMMED_BYTES:
+            out = reduce(np.add, parts.collect(), np.zeros(shape, np.int64))
+        else:
+            out = parts.treeReduce(np.add, depth=3)
+        for rows in self.older:  # the job has made the newer blocks from them
+            rows.unpersist()
+        self.older = []
+        return out
+
+    def changed(self, change: Callable[[Block], Block], cut_lineage: bool) -> None:
+        self.older.append(self.rows)
+        self.rows = self.rows.map(change).persist(StorageLevel.MEMORY_AND_DISK)
+        if cut_lineage:
+            self.rows.checkpoint()
+
+    def release(self) -> None:
+        for rows in (*self.older, self.rows):
+            rows.unpersist()
+
+
+class _Here:
+    """The blocks of one partition, in the task that has them."""
 
-    def part(own: Iterator[Block]) -> Iterator[np.ndarray]:
-        yield reduce(np.add, map(sums, own), np.zeros(shape, np.int64))
+    def __init__(self, rows: list[Block]):
+        self.rows = rows
 
-    parts = rows.mapPartitions(part)
-    if rows.getNumPartitions() * 8 * np.prod(shape) <= SUMMED_BYTES:
-        return reduce(np.add, parts.collect(), np.zeros(shape, np.int64))
-    return parts.treeReduce(np.add, depth=3)
+    def summed(self, sums: Callable[[Block], np.ndarray], shape: tuple) -> np.ndarray:
+        return reduce(np.add, map(sums, self.rows), np.zeros(shape, np.int64))
+
+    def changed(self, change: Callable[[Block], Block], cut_lineage: bool) -> None:
+        self.rows = [change(block) for block in self.rows]
+
+
+def _grown(rows: RDD, grow: Callable[[_Spread | _Here], Trees]) -> Trees:
+    """The trees that ``grow`` makes of the blocks. If they are one partition there is nothing to add up: it grows where they
+    are, in one job instead of one for each pass. The trees are the same."""
+    if rows.getNumPartitions() == 1:
+        found = rows.mapPartitions(lambda own: [tuple(grow(_Here(list(own))))]).collect()
+        return Trees(*found[0])
+    held = _Spread(rows)
+    try:
+        return grow(held)
+    finally:
+        held.release()
 
 
 class Layout(NamedTuple):
@@ -270,36 +316,27 @@ def boost(frame: DataFrame, inputs: Sequence[str], weight: str, cuts: list[np.nd
     use_checkpoints(frame.sparkSession)
     total, most = frame.agg(F.sum(weight), F.max(weight)).first()
     bits = fixed_bits(total or 1.0, most or 1.0)
-    out = no_trees(s.rounds, s.depth)
-    cut = np.zeros(out.feature.shape, np.int64)
-    held = blocks(frame, inputs, weight, cuts).persist(StorageLevel.MEMORY_AND_DISK)
     wanted = max(1, int(s.columns * len(inputs)))
-    older: list[RDD] = [held]
-    try:
+    n = len(inputs)
+
+    def grow(held: _Spread | _Here) -> Trees:
+        out = no_trees(s.rounds, s.depth)
+        cut = np.zeros(out.feature.shape, np.int64)
         for t in range(s.rounds):
             if t:
-                held = held.map(_with_tree(out.feature[t - 1], cut[t - 1], out.value[t - 1], s.depth)).persist(StorageLevel.MEMORY_AND_DISK)
-                older.append(held)
-                if t % CHECKPOINT_ROUNDS == 0:
-                    held.checkpoint()
-            columns = chosen_inputs(s.seed, 2 * t, len(inputs), wanted)
+                held.changed(_with_tree(out.feature[t - 1], cut[t - 1], out.value[t - 1], s.depth), t % CHECKPOINT_ROUNDS == 0)
+            columns = chosen_inputs(s.seed, 2 * t, n, wanted)
             out.feature[t, 0] = -1
             for level in range(s.depth):
-                start = 2**level - 1
-                asked = np.arange(start, 2 * start + 1)
+                asked = np.arange(2**level - 1, 2 ** (level + 1) - 1)
                 if not (out.feature[t, asked] == -1).any():
                     break
-                sums = _summed(held, _boost_sums(s, t, level, columns, layout, bits, out.feature[t], cut[t]), (2**level, layout.size, 3))
-                if level == 0:
-                    for old in older[:-1]:
-                        old.unpersist()
-                    older = [held]
+                sums = held.summed(_boost_sums(s, t, level, columns, layout, bits, out.feature[t], cut[t]), (2**level, layout.size, 3))
                 _boost_splits(out, cut, t, level, sums, layout, columns, bits, s)
             np.multiply(out.value[t], s.step, out=out.value[t])
         return out
-    finally:
-        for old in older:
-            old.unpersist()
+
+    return _grown(blocks(frame, inputs, weight, cuts), grow)
 
 
 def _with_tree(feature: np.ndarray, cut: np.ndarray, value: np.ndarray, depth: int) -> Callable[[Block], Block]:
@@ -391,23 +428,23 @@ def forest(frame: DataFrame, inputs: Sequence[str], weight: str, cuts: list[np.n
     s, layout = settings, Layout(cuts)
     found = frame.groupBy("label").agg(F.max(weight).alias("w")).collect()
     class_weight = np.array([next((r["w"] for r in found if r["label"] == c), 0.0) for c in (0, 1)])
-    out = no_trees(s.trees, s.depth)
-    cut = np.zeros(out.feature.shape, np.int64)
-    held = blocks(frame, inputs, weight, cuts).persist(StorageLevel.MEMORY_AND_DISK)
     wanted = s.inputs or max(1, int(len(inputs) ** 0.5))
-    slots = max(1, SUM_BYTES // (24 * layout.size))
-    try:
+    n, slots = len(inputs), max(1, SUM_BYTES // (24 * layout.size))
+
+    def grow(held: _Spread | _Here) -> Trees:
+        out = no_trees(s.trees, s.depth)
+        cut = np.zeros(out.feature.shape, np.int64)
         out.feature[:, 0] = -1
         for level in range(max(1, s.depth)):
             growing = [(t, 2**level - 1 + j) for t in range(s.trees) for j in range(2**level) if out.feature[t, 2**level - 1 + j] == -1]
             for start in range(0, len(growing), slots):
                 nodes = np.array(growing[start : start + slots])
-                asked = np.array([chosen_inputs(s.seed, t * 2 ** (s.depth + 1) + node + 1, len(inputs), wanted) for t, node in nodes.tolist()])
-                sums = _summed(held, _forest_sums(s, level, nodes, asked, layout, out.feature, cut), (len(nodes), layout.size, 3))
+                asked = np.array([chosen_inputs(s.seed, t * 2 ** (s.depth + 1) + node + 1, n, wanted) for t, node in nodes.tolist()])
+                sums = held.summed(_forest_sums(s, level, nodes, asked, layout, out.feature, cut), (len(nodes), layout.size, 3))
                 _forest_splits(out, cut, level, nodes, sums, asked, layout, class_weight, s)
         return out
-    finally:
-        held.unpersist()
+
+    return _grown(blocks(frame, inputs, weight, cuts), grow)
 
 
 def _forest_sums(s: ForestSettings, level: int, nodes: np.ndarray, asked: np.ndarray, layout: Layout, feature: np.ndarray, cut: np.ndarray):

@@ -116,12 +116,17 @@ def test_forest_equals_plain_loops(frame, cuts, rows):
     assert (trees.n_rows[trees.feature == -1] >= 15).all()
 
 
-def test_models_do_not_depend_on_partitions(frame, cuts):
+def test_models_do_not_depend_on_partitions(frame, cuts, monkeypatch):
+    """In one task, and on seven partitions whose sums are added up."""
     boosted = grown.BoostSettings(rounds=4, depth=3)
     drawn = grown.ForestSettings(trees=4, depth=3)
     other = frame.repartition(7, "d").sortWithinPartitions(F.desc("id"))
     for grow, s in ((grown.boost, boosted), (grown.forest, drawn)):
-        a, b = (grow(df, INPUTS, "w", cuts, s) for df in (frame, other))
+        a = grow(frame, INPUTS, "w", cuts, s)
+        with monkeypatch.context() as m:
+            m.setattr(grown, "BOOSTED_ROWS", 150)
+            m.setattr(grown, "FOREST_ROWS", 150)
+            b = grow(other, INPUTS, "w", cuts, s)
         assert all(np.array_equal(x, y) for x, y in zip(a, b))
 
 
@@ -129,6 +134,7 @@ def test_blocks_add_up_on_executors_too(frame, cuts, monkeypatch):
     s = grown.BoostSettings(rounds=2, depth=2)
     want = grown.boost(frame, INPUTS, "w", cuts, s)
     monkeypatch.setattr(grown, "SUMMED_BYTES", 1)
+    monkeypatch.setattr(grown, "BOOSTED_ROWS", 200)
     got = grown.boost(frame.repartition(6), INPUTS, "w", cuts, s)
     assert all(np.array_equal(x, y) for x, y in zip(want, got))
 
@@ -145,7 +151,8 @@ def test_lineage_is_cut_and_the_model_stays(frame, cuts, monkeypatch):
     s = grown.BoostSettings(rounds=5, depth=2)
     want = grown.boost(frame, INPUTS, "w", cuts, s)
     monkeypatch.setattr(grown, "CHECKPOINT_ROUNDS", 2)
-    got = grown.boost(frame, INPUTS, "w", cuts, s)
+    monkeypatch.setattr(grown, "BOOSTED_ROWS", 400)
+    got = grown.boost(frame.repartition(3), INPUTS, "w", cuts, s)
     assert all(np.array_equal(x, y) for x, y in zip(want, got))
 
 

@@ -29,6 +29,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Rows of a block.
 BLOCK_ROWS = 1 << 18
+#: Rows for which a pass is worth a task: boosted trees make thousands of short passes, a forest some dozens of long ones.
+BOOSTED_ROWS, FOREST_ROWS = 125_000, 10_000
 #: Bytes of sums of all blocks that are added up on the driver; more are added up on the executors first.
 SUMMED_BYTES = 64 << 20
 #: Bytes of sums that a block makes at once; the nodes of a forest are summed in so many passes.
@@ -208,9 +210,10 @@ class _Here:
         self.rows = [change(block) for block in self.rows]
 
 
-def _grown(rows: RDD, grow: Callable[[_Spread | _Here], Trees]) -> Trees:
-    """The trees that ``grow`` makes of the blocks. If they are one partition there is nothing to add up: it grows where they
-    are, in one job instead of one for each pass. The trees are the same."""
+def _grown(rows: RDD, grow: Callable[[_Spread | _Here], Trees], most: int) -> Trees:
+    """The trees that ``grow`` makes of the blocks, in ``most`` partitions at most. In one partition there is nothing to add
+    up: it grows where the blocks are, in one job instead of one for each pass. The trees are the same."""
+    rows = rows.coalesce(min(max(1, most), rows.getNumPartitions()))
     if rows.getNumPartitions() == 1:
         found = rows.mapPartitions(lambda own: [tuple(grow(_Here(list(own))))]).collect()
         return Trees(*found[0])
@@ -314,7 +317,7 @@ def boost(frame: DataFrame, inputs: Sequence[str], weight: str, cuts: list[np.nd
     """
     s, layout = settings, Layout(cuts)
     use_checkpoints(frame.sparkSession)
-    total, most = frame.agg(F.sum(weight), F.max(weight)).first()
+    total, most, n_rows = frame.agg(F.sum(weight), F.max(weight), F.count("*")).first()
     bits = fixed_bits(total or 1.0, most or 1.0)
     wanted = max(1, int(s.columns * len(inputs)))
     n = len(inputs)
@@ -336,7 +339,7 @@ def boost(frame: DataFrame, inputs: Sequence[str], weight: str, cuts: list[np.nd
             np.multiply(out.value[t], s.step, out=out.value[t])
         return out
 
-    return _grown(blocks(frame, inputs, weight, cuts), grow)
+    return _grown(blocks(frame, inputs, weight, cuts), grow, -(-n_rows // BOOSTED_ROWS))
 
 
 def _with_tree(feature: np.ndarray, cut: np.ndarray, value: np.ndarray, depth: int) -> Callable[[Block], Block]:
@@ -426,7 +429,7 @@ def forest(frame: DataFrame, inputs: Sequence[str], weight: str, cuts: list[np.n
     least; its value is the weighted share of class 1.
     """
     s, layout = settings, Layout(cuts)
-    found = frame.groupBy("label").agg(F.max(weight).alias("w")).collect()
+    found = frame.groupBy("label").agg(F.max(weight).alias("w"), F.count("*").alias("n")).collect()
     class_weight = np.array([next((r["w"] for r in found if r["label"] == c), 0.0) for c in (0, 1)])
     wanted = s.inputs or max(1, int(len(inputs) ** 0.5))
     n, slots = len(inputs), max(1, SUM_BYTES // (24 * layout.size))
@@ -444,7 +447,7 @@ def forest(frame: DataFrame, inputs: Sequence[str], weight: str, cuts: list[np.n
                 _forest_splits(out, cut, level, nodes, sums, asked, layout, class_weight, s)
         return out
 
-    return _grown(blocks(frame, inputs, weight, cuts), grow)
+    return _grown(blocks(frame, inputs, weight, cuts), grow, -(-sum(r["n"] for r in found) // FOREST_ROWS))
 
 
 def _forest_sums(s: ForestSettings, level: int, nodes: np.ndarray, asked: np.ndarray, layout: Layout, feature: np.ndarray, cut: np.ndarray):

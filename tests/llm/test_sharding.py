@@ -1,6 +1,8 @@
+import math
 import zlib
 from collections import Counter, defaultdict
 
+import xxhash
 from pyspark.sql import functions as F
 
 from tests.llm.helpers import pairs_of
@@ -11,6 +13,30 @@ def place(spark, tree, n=4000):
     return [r[0] for r in spark.range(n).select("id", sharding.shard_of(F.col("id"), tree).alias("s")).orderBy("id").select("s").collect()]
 
 
+def descend(key, tree):
+    """The shard of a key by plain loops: at each level the child of least -ln(u) / weight."""
+    own = [(s, i) for i, s in enumerate(tree) if s.weight > 0]
+    seed = xxhash.xxh64_intdigest(key.to_bytes(8, "little", signed=True), 42)
+
+    def draw(name, weight):
+        return -math.log(((xxhash.xxh64_intdigest(name.encode(), seed) >> 11) + 0.5) * 2.0**-53) / weight, name
+
+    for name_of in (lambda s, i: s.region, lambda s, i: f"{s.region}/{s.rack}", lambda s, i: f"{s.region}/{s.rack}/{i}"):
+        weights = Counter()
+        for s, i in own:
+            weights[name_of(s, i)] += s.weight
+        best = min(draw(name, weight) for name, weight in weights.items())[1]
+        own = [(s, i) for s, i in own if name_of(s, i) == best]
+    return own[0][1]
+
+
+def test_descent_equals_plain_loops(spark):
+    even = sharding.topology(40)
+    uneven = [s._replace(weight=(0.0, 0.5, 1.0, 3.0)[i % 4]) for i, s in enumerate(even)]
+    for tree in (even, sharding.grown(even), uneven):
+        assert place(spark, tree, 1500) == [descend(k, tree) for k in range(1500)]
+
+
 def test_sizes_checksums_and_gapless_slots(docs, empty):
     tree = sharding.topology(40)
     found = sharding.assign(docs, tree, sharding.grown(tree)).collect()

@@ -32,8 +32,11 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return found
 
 
-def _mark(edges: DataFrame):
-    return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first())
+def _settled(edges: DataFrame) -> bool:
+    """Whether the edges are stars: no node hangs on two others, and none that another hangs on hangs on a third."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(edges.select("b", F.lit(0), F.lit(1)))
+    nodes = ends.groupBy("node").agg(F.sum("up").alias("up"), F.sum("down").alias("down"))
+    return nodes.where("up > 1 or (up = 1 and down > 0)").isEmpty()
 
 
 def connected_components(links: DataFrame, a: str, b: str) -> DataFrame:
@@ -41,8 +44,7 @@ def connected_components(links: DataFrame, a: str, b: str) -> DataFrame:
     repeated links don't matter; no link at all gives an empty table."""
     edges = links.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).where("a <> b").distinct()
     edges = stored(edges, "edges")
-    mark = None
-    while mark != (mark := _mark(edges)) and mark[0]:
+    while not _settled(edges):
         large = _large_star(edges)
         discard(edges)
         edges = _small_star(large)

@@ -3,9 +3,10 @@
 Each shingle of a document is hashed once; the hash chooses a bin and the least hash in each bin is its minimum. An
 empty bin borrows the minimum of the first occupied bin in a random order of its own, the same for all documents, so
 bins agree in the share that the sets have in common, however few shingles there are. Bins are grouped into bands, and
-documents that agree in a band share a bucket. A bucket gives one candidate per member, to the centre, and not all
-pairs. Candidates are confirmed on their full sets of shingles. Only buckets whose members still hang in several
-groups are gone through again, pairwise by sketches within bounded cells.
+documents that agree in a band share a bucket. A bucket gives no pairs but a star: its members are candidates with its
+centre, each document with the eight centres that it shares most buckets with. Candidates are confirmed on their full sets.
+Buckets whose members still hang in several groups give further stars about other centres; what is left then is gone
+through pairwise, by sketches within bounded cells.
 """
 
 from __future__ import annotations
@@ -14,13 +15,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardstat.llm import bytescan
 from wardstat.llm.cells import dealt, pairs, whole
 from wardstat.llm.common import aside, chunks, sql_type, stored, text_of
 from wardstat.llm.components import connected_components
+from wardstat.session import discard
 
 U = np.uint64
 #: Bins, and bins of a band. At a similarity of 0.85 a pair misses all 40 bands once in 10**8.
@@ -28,6 +30,9 @@ BINS, ROWS = 240, 6
 BANDS = BINS // ROWS
 #: Sketches of two documents at the wanted similarity agree in fewer bins than that minus so many standard errors never.
 ERRORS = 5
+#: Times that the buckets give stars, each time about other centres, and the centres that a document is compared with each
+#: time, those first that it shares most buckets with. What these leave is gone through whole.
+STARS, CENTRES = 2, 8
 #: Members of a bucket that are compared in one cell with as many others.
 CELL = 2048
 #: Documents whose bins a worker holds at once.
@@ -203,14 +208,33 @@ def _confirmed(pairs_: DataFrame, nodes: DataFrame, docs: DataFrame, text: str,
     both = both.join(sets.select(F.col("node").alias("b"), F.col("set").alias("y")), "b")
     shared = F.size(F.array_intersect("x", "y"))
     rows = both.select("a", "b", shared.alias("shared"), (F.size("x") + F.size("y")).alias("total"))
-    return stored(rows.where(f"100L * shared >= {int(percent)} * (total - shared)").select("a", "b"), "minhash-links")
+    found = stored(rows.where(f"100L * shared >= {int(percent)} * (total - shared)").select("a", "b"), "minhash-links")
+    discard(pairs_, sets)
+    return found
+
+
+def _mixed_buckets(postings: DataFrame, labels: DataFrame, turn: int) -> tuple[DataFrame, DataFrame]:
+    """The members (key, node, part) of all buckets, and the buckets (key, centre, inner) whose members hang in several
+    parts, each with the centre of this turn and the part it hangs in."""
+    named = stored(postings.join(labels, "node").select("key", "node", "part"), "minhash-members")
+    order = F.xxhash64("node", F.lit(turn))
+    found = named.groupBy("key").agg(
+        F.min("part").alias("p"), F.max("part").alias("q"), F.min_by("node", order).alias("centre"), F.min_by("part", order).alias("inner")
+    )
+    return named, stored(found.where("p <> q").select("key", "centre", "inner"), "minhash-mixed")
 
 
-def _left_over(postings: DataFrame, buckets: DataFrame, labels: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of different groups that share a bucket, are no star of it and fit by size and sketch.
+def _stars(named: DataFrame, mixed: DataFrame) -> DataFrame:
+    """For each document that meets centres of other parts those it shares most buckets with: pairs (a, b)."""
+    met = named.join(mixed, "key").where("part <> inner").groupBy("node", "centre").agg(F.count("*").alias("times"))
+    # A document has a row per band at most.
+    nth = F.row_number().over(Window.partitionBy("node").orderBy(F.desc("times"), "centre"))
+    best = met.withColumn("nth", nth).where(F.col("nth") <= CENTRES)
+    return best.select(F.least("centre", "node").alias("a"), F.greatest("centre", "node").alias("b")).distinct()
 
-    Only buckets of three members or more in two groups or more are gone through.
-    """
+
+def _left_over(named: DataFrame, mixed: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different parts that share a bucket and fit by size and sketch."""
     least = least_bins(percent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -224,13 +248,8 @@ def _left_over(postings: DataFrame, buckets: DataFrame, labels: DataFrame, nodes
                 a, b = c["node"][i[fit]], c["node"][j[fit]]
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
 
-    named = postings.join(labels, "node")
-    mixed = named.groupBy("key").agg(F.count("*").alias("members"), F.min("part").alias("p"), F.max("part").alias("q"))
-    mixed = stored(mixed.where("members > 2 and p <> q").select("key"), "minhash-mixed")
-    members = named.join(mixed, "key").join(nodes.select("node", "n", "sketch"), "node").select("key", "node", "part", "n", "sketch")
-    found = dealt(members, CELL).mapInArrow(run, "a long, b long").distinct()
-    stars = buckets.select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
-    return found.join(stars, ["a", "b"], "left_anti")
+    members = named.join(mixed.select("key"), "key").join(nodes.select("node", "n", "sketch"), "node").select("key", "node", "part", "n", "sketch")
+    return dealt(members, CELL).mapInArrow(run, "a long, b long").distinct()
 
 
 def components(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 5, percent: int = 85) -> DataFrame:
@@ -249,19 +268,28 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle
     nodes = stored(nodes.withColumn("node", F.monotonically_increasing_id()), "minhash-nodes")
 
     postings = nodes.select("node", F.explode("keys").alias("key"))
-    centres = postings.groupBy("key").agg(F.count("*").alias("members"), F.min("node").alias("centre")).where("members > 1")
-    buckets = postings.join(stored(centres.drop("members"), "minhash-centres"), "key")
-    buckets = stored(buckets, "minhash-buckets")
-    stars = buckets.where("node <> centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
-    links = _confirmed(_plausible(stored(stars, "minhash-stars"), nodes, percent), nodes, docs, text, shingle, percent)
-
-    parts = stored(connected_components(links, "a", "b"), "minhash-parts")
-    labels = stored(nodes.select("node").join(parts, "node", "left").select("node", F.coalesce("component", "node").alias("part")), "minhash-labels")
-    more = _left_over(buckets.select("key", "node"), buckets, labels, nodes, percent)
-    links = links.union(_confirmed(more, nodes, docs, text, shingle, percent))
-    parts = connected_components(links, "a", "b")
-
-    placed = nodes.join(parts, "node", "left").select("d1", "d2", "least", F.coalesce("component", "node").alias("part"))
+    shared = stored(postings.groupBy("key").agg(F.count("*").alias("members")).where("members > 1").select("key"), "minhash-buckets")
+    postings = stored(postings.join(shared, "key"), "minhash-postings")
+    labels, tried = nodes.select("node", F.col("node").alias("part")), None
+    for turn in range(STARS + 1):
+        named, mixed = _mixed_buckets(postings, labels, turn)
+        if mixed.isEmpty():
+            break
+        found = _stars(named, mixed) if turn < STARS else _left_over(named, mixed, nodes, percent)
+        if tried is not None:
+            found = found.join(tried, ["a", "b"], "left_anti")
+        found = stored(found, "minhash-candidates")
+        discard(named, mixed)
+        tried = found if tried is None else tried.union(found)
+        links = _confirmed(_plausible(found, nodes, percent), nodes, docs, text, shingle, percent)
+        # Parts that a link joins become one; the rest of the graph need not be gone through again.
+        between = links.join(labels.select(F.col("node").alias("a"), F.col("part").alias("x")), "a")
+        between = between.join(labels.select(F.col("node").alias("b"), F.col("part").alias("y")), "b").select("x", "y")
+        joined = stored(connected_components(between, "x", "y"), "minhash-joined").withColumnRenamed("node", "part")
+        older, labels = labels, stored(labels.join(joined, "part", "left").select("node", F.coalesce("component", "part").alias("part")), "minhash-labels")
+        discard(older, links)
+
+    placed = nodes.join(labels, "node").select("d1", "d2", "least", "part")
     placed = stored(placed, "minhash-placed")
     smallest = stored(placed.groupBy("part").agg(F.min("least").alias("component")), "minhash-smallest")
     placed = stored(placed.join(smallest, "part").select("d1", "d2", "component"), "minhash-named")

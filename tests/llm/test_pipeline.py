@@ -56,5 +56,5 @@ def test_entry_registers_all_queries():
 
     names = set(__spark_entry__.queries())
     assert set(QUERIES) < names and "pipeline" in names
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert byte_bpe.WIDTHS == tuple(sorted(byte_bpe.WIDTHS))

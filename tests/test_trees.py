@@ -204,3 +204,65 @@ def test_a_single_class_and_a_constant_input_grow_no_tree(spark):
     other = grown.forest(df, INPUTS, "w", cuts, grown.ForestSettings(trees=2, depth=2))
     assert (one.feature[:, 0] == -1).all() and (other.feature[:, 0] == -1).all()
     assert (one.value[:, 0] < 0).all() and (other.value[:, 0] == 0).all()
+
+
+def test_passes_sum_the_smaller_child_and_no_more_tasks_than_run_at_once(frame, cuts, monkeypatch):
+    s = grown.BoostSettings(rounds=3, depth=4)
+    want = grown.boost(frame, INPUTS, "w", cuts, s)
+    shapes, tasks = [], set()
+    plain = grown._Spread.summed
+
+    def summed(self, sums, shape):
+        shapes.append(shape)
+        tasks.add(self.rows.getNumPartitions())
+        return plain(self, sums, shape)
+
+    monkeypatch.setattr(grown._Spread, "summed", summed)
+    monkeypatch.setattr(grown, "BOOSTED_ROWS", 50)
+    got = grown.boost(frame.repartition(16), INPUTS, "w", cuts, s)
+    assert all(np.array_equal(x, y) for x, y in zip(want, got))
+    above_last = (got.feature[:, : 2 ** (s.depth - 1) - 1] >= 0).sum()
+    assert sum(shape[0] for shape in shapes) == s.rounds + above_last
+    assert 1 < max(tasks) <= frame.sparkSession.sparkContext.defaultParallelism
+
+
+def test_sums_of_a_forest_do_not_reach_the_driver(frame, cuts, monkeypatch):
+    s = grown.ForestSettings(trees=4, depth=4)
+    want = grown.forest(frame, INPUTS, "w", cuts, s)
+    sent = []
+    plain = grown._Spread.chosen
+
+    def chosen(self, sums, shape, choose):
+        found = plain(self, sums, shape, choose)
+        sent.append(sum(x.nbytes for row in found for x in row) / shape[0])
+        return found
+
+    monkeypatch.setattr(grown._Spread, "chosen", chosen, raising=False)
+    monkeypatch.setattr(grown._Spread, "summed", None)
+    monkeypatch.setattr(grown, "FOREST_ROWS", 200)
+    got = grown.forest(frame.repartition(6), INPUTS, "w", cuts, s)
+    assert all(np.array_equal(x, y) for x, y in zip(want, got))
+    # About a hundred bytes of each node, however many bins and partitions there are.
+    assert len(sent) == s.depth and max(sent) < 150 < 24 * grown.Layout(cuts).size
+
+
+def test_poisson_draws_and_bundled_codes_are_the_plain_ones():
+    edges = np.concatenate([grown.POISSON, np.nextafter(grown.POISSON, 0), np.arange(4096) / 4096, [1 - 2.0**-53]])
+    u = np.concatenate([edges[edges < 1], grown.draws(np.arange(50_000, dtype=np.uint64), 1, 1)])
+    assert np.array_equal(grown.poisson(u), np.searchsorted(grown.POISSON, u, side="right"))
+    rng = np.random.default_rng(5)
+    sizes = [2, 300, 3, 1, 40, 2, 25, 7]
+    layout = grown.Layout([np.arange(1.0, n) for n in sizes])
+    packs = grown.bundles(layout)
+    assert sorted(f for b in packs for f in b.inputs) == list(range(len(sizes))) and len(packs) < len(sizes)
+    bins = np.stack([rng.integers(0, n, 500) for n in sizes], axis=1).astype(np.uint16)
+    zero = np.zeros(500)
+    codes = grown._with_codes(packs)(grown.Block(np.asfortranarray(bins), zero, zero, zero, zero)).codes
+    for bundle, code in zip(packs, codes.T):
+        sums = np.bincount(code, minlength=len(bundle.marks)) @ bundle.marks
+        plain = np.concatenate([np.bincount(bins[:, f], minlength=sizes[f]) for f in bundle.inputs])
+        assert np.array_equal(sums, plain)
+    feature, cut = np.array([4, 1, 7, -1, -1, -1, -1]), np.array([17, 290, 2, 0, 0, 0, 0])
+    left = bins[:, 4] <= 17
+    want = np.where(left, 3 + (bins[:, 1] > 290), 5 + (bins[:, 7] > 2))
+    assert np.array_equal(grown._walked(codes, packs, feature, cut, 2), want)

@@ -1,15 +1,19 @@
 """Boosted trees and forests from histograms, and how they score.
 
 Training rows become blocks of bin numbers, held in memory on the executors. Every level of a tree is one pass: each
-block sums what its rows bring per (node, input, bin), the sums are added up, and the driver, which sees one row per
-node, input and bin, chooses the splits. Sums are of whole numbers, gradients included, and draws come from a hash
-of the row's key, so a model depends on its rows and settings alone: not on partitions, their order or retries.
+block sums what its rows bring per (node, input, bin), and the sums are added up. A forest's sums are added up and its
+splits chosen on the executors; the driver gets a row per node. Boosted trees make thousands of short passes with small
+sums, which the driver adds up: a pass reads only the rows that its round has drawn, counts inputs of few bins together,
+and leaves out the larger child of each node, which has what its sibling lacks. Sums are of whole numbers, gradients
+included, and draws come from a hash of the row's key, so a model depends on its rows and settings alone: not on
+partitions, their order or retries.
 """
 
 from __future__ import annotations
 
 import pickle
 import sys
+import zlib
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -31,6 +35,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 BLOCK_ROWS = 1 << 18
 #: Rows for which a pass is worth a task: boosted trees make thousands of short passes, a forest some dozens of long ones.
 BOOSTED_ROWS, FOREST_ROWS = 125_000, 10_000
+#: Cells of inputs that are summed as one: the product of their bins.
+BUNDLE_CELLS = 1024
 #: Bytes of sums of all blocks that are added up on the driver; more are added up on the executors first.
 SUMMED_BYTES = 64 << 20
 #: Bytes of sums that a block makes at once; the nodes of a forest are summed in so many passes.
@@ -82,11 +88,39 @@ def leaves(trees: Trees, x: np.ndarray) -> np.ndarray:
 
 
 class Block(NamedTuple):
+    """Rows. For boosted trees their bins make way for ``codes`` (row, bundle), which say the same in less room."""
+
     bins: np.ndarray
     label: np.ndarray
     weight: np.ndarray
     key: np.ndarray
     margin: np.ndarray
+    codes: np.ndarray | None = None
+
+
+class Drawn(NamedTuple):
+    """The rows of a block that a round has drawn, with their first and second derivatives."""
+
+    codes: np.ndarray
+    g: np.ndarray
+    h: np.ndarray
+
+
+def _merged(blocks: Iterable[Block]) -> Iterator[Block]:
+    """The same rows in blocks as full as can be."""
+
+    def whole() -> Block:
+        parts = [np.concatenate(x) for x in zip(*(b[:5] for b in held))]
+        return Block(np.asfortranarray(parts[0]), *parts[1:])
+
+    held: list[Block] = []
+    for block in blocks:
+        if held and sum(len(b.label) for b in (*held, block)) > BLOCK_ROWS:
+            yield whole()
+            held = []
+        held.append(block)
+    if held:
+        yield whole()
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -148,8 +182,8 @@ def blocks(frame: DataFrame, inputs: Sequence[str], weight: str, cuts: list[np.n
 
         def block() -> pa.RecordBatch:
             parts = [np.concatenate(x) for x in zip(*held)]
-            value = Block(np.asfortranarray(parts[0]), *parts[1:], np.zeros(len(parts[1])))
-            return pa.RecordBatch.from_arrays([pa.array([pickle.dumps(tuple(value))], pa.binary())], ["block"])
+            value = (np.asfortranarray(parts[0]), *parts[1:], np.zeros(len(parts[1])))
+            return pa.RecordBatch.from_arrays([pa.array([pickle.dumps(value)], pa.binary())], ["block"])
 
         for batch in batches:
             key = batch.column("_key").to_numpy().view(np.uint64)
@@ -169,22 +203,42 @@ class _Spread:
     """Blocks on the executors: a pass is a job, and what the blocks sum is added up."""
 
     def __init__(self, rows: RDD):
-        self.rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+        self.rows = self.read = rows.persist(StorageLevel.MEMORY_AND_DISK)
         self.older: list[RDD] = []
 
-    def summed(self, sums: Callable[[Block], np.ndarray], shape: tuple) -> np.ndarray:
-        def part(own: Iterator[Block]) -> Iterator[np.ndarray]:
+    def summed(self, sums: Callable[[NamedTuple], np.ndarray], shape: tuple) -> np.ndarray:
+        def part(own: Iterator[NamedTuple]) -> Iterator[np.ndarray]:
             yield reduce(np.add, map(sums, own), np.zeros(shape, np.int64))
 
-        parts = self.rows.mapPartitions(part)
+        parts = self.read.mapPartitions(part)
         if self.rows.getNumPartitions() * 8 * np.prod(shape) <= SUMMED_BYTES:
-            out = reduce(np.add, parts.collect(), np.zeros(shape, np.int64))
+            sent = parts.map(lambda x: zlib.compress(x.tobytes(), 1)).collect()
+            out = np.zeros(shape, np.int64)
+            for x in sent:
+                out += np.frombuffer(zlib.decompress(x), np.int64).reshape(shape)
         else:
             out = parts.treeReduce(np.add, depth=3)
+        self.forget()
+        return out
+
+    def chosen(self, sums: Callable[[Block], np.ndarray], shape: tuple, choose: Callable[[int, np.ndarray], tuple]) -> Iterable[tuple]:
+        """What ``choose`` makes of slices of the sums, each given with its first place: it runs where they are added up."""
+        n, slices = shape[0], min(shape[0], max(1, self.rows.ctx.defaultParallelism))
+        ends = [n * i // slices for i in range(slices + 1)]
+
+        def part(own: Iterator[Block]) -> Iterator[tuple[int, np.ndarray]]:
+            whole = reduce(np.add, map(sums, own), np.zeros(shape, np.int64))
+            for i in range(slices):
+                yield i, whole[ends[i] : ends[i + 1]]
+
+        added = self.read.mapPartitions(part).reduceByKey(np.add, slices)
+        out = added.map(lambda row: (row[0], choose(ends[row[0]], row[1]))).collect()
+        return [found for _, found in sorted(out, key=lambda row: row[0])]
+
+    def forget(self) -> None:
         for rows in self.older:  # the job has made the newer blocks from them
             rows.unpersist()
         self.older = []
-        return out
 
     def changed(self, change: Callable[[Block], Block], cut_lineage: bool) -> None:
         self.older.append(self.rows)
@@ -192,8 +246,14 @@ class _Spread:
         if cut_lineage:
             self.rows.checkpoint()
 
+    def drawn(self, draw: Callable[[Block], Drawn]) -> None:
+        """What passes read from now on."""
+        if self.read is not self.rows:
+            self.older.append(self.read)
+        self.read = self.rows.map(draw).persist(StorageLevel.MEMORY_AND_DISK)
+
     def release(self) -> None:
-        for rows in (*self.older, self.rows):
+        for rows in (*self.older, self.read, self.rows):
             rows.unpersist()
 
 
@@ -201,19 +261,27 @@ class _Here:
     """The blocks of one partition, in the task that has them."""
 
     def __init__(self, rows: list[Block]):
-        self.rows = rows
+        self.rows = self.read = rows
 
-    def summed(self, sums: Callable[[Block], np.ndarray], shape: tuple) -> np.ndarray:
-        return reduce(np.add, map(sums, self.rows), np.zeros(shape, np.int64))
+    def summed(self, sums: Callable[[NamedTuple], np.ndarray], shape: tuple) -> np.ndarray:
+        return reduce(np.add, map(sums, self.read), np.zeros(shape, np.int64))
+
+    def chosen(self, sums: Callable[[Block], np.ndarray], shape: tuple, choose: Callable[[int, np.ndarray], tuple]) -> Iterable[tuple]:
+        return [choose(0, self.summed(sums, shape))]
 
     def changed(self, change: Callable[[Block], Block], cut_lineage: bool) -> None:
         self.rows = [change(block) for block in self.rows]
 
+    def drawn(self, draw: Callable[[Block], Drawn]) -> None:
+        self.read = [draw(block) for block in self.rows]
+
 
 def _grown(rows: RDD, grow: Callable[[_Spread | _Here], Trees], most: int) -> Trees:
-    """The trees that ``grow`` makes of the blocks, in ``most`` partitions at most. In one partition there is nothing to add
-    up: it grows where the blocks are, in one job instead of one for each pass. The trees are the same."""
-    rows = rows.coalesce(min(max(1, most), rows.getNumPartitions()))
+    """The trees that ``grow`` makes of the blocks, in ``most`` partitions at most and no more than run at once. In one
+    partition there is nothing to add up: it grows where the blocks are, in one job instead of one for each pass. The trees
+    are the same."""
+    most = min(max(1, most), rows.getNumPartitions(), rows.ctx.defaultParallelism)
+    rows = rows.coalesce(most).mapPartitions(_merged)
     if rows.getNumPartitions() == 1:
         found = rows.mapPartitions(lambda own: [tuple(grow(_Here(list(own))))]).collect()
         return Trees(*found[0])
@@ -270,15 +338,50 @@ def _best(gain: np.ndarray) -> np.ndarray:
     return (gain >= top - 1e-9 * np.abs(top)).argmax(axis=1)
 
 
-def _walk(bins: np.ndarray, feature: np.ndarray, cut: np.ndarray, levels: int) -> np.ndarray:
-    """The node of each row after ``levels`` steps down a tree that grows, by bin numbers; -1 for one that ended in a leaf."""
-    node = np.zeros(len(bins), np.int64)
-    row = np.arange(len(bins))
-    for _ in range(levels):
-        own = feature[node]
-        right = bins[row, np.maximum(own, 0)] > cut[node]
-        node = np.where(node < 0, -1, np.where(own >= 0, 2 * node + 1 + right, -1))
-    return node
+def _stepped(bins: np.ndarray, rows: np.ndarray, node: np.ndarray, feature: np.ndarray, cut: np.ndarray) -> np.ndarray:
+    """The nodes of ``rows`` one step further down a tree that grows, by bin numbers; a row in a leaf stays there."""
+    split = feature >= 0
+    start = np.where(split, feature, 0).astype(np.int64) * len(bins)
+    highest = np.where(split, cut, np.iinfo(bins.dtype).max).astype(bins.dtype)
+    child = np.where(split, 2 * np.arange(len(split)) + 1, np.arange(len(split)))
+    at = start.take(node)
+    at += rows
+    out = child.take(node)
+    out += bins.T.ravel().take(at) > highest.take(node)
+    return out
+
+
+class Bundle(NamedTuple):
+    """Inputs summed as one: a row's code is the place of its bins among all combinations. ``marks`` (code, bin of an
+    input) adds the sums per code up to sums per bin, which lie at ``places`` of a row of sums."""
+
+    inputs: list[int]
+    steps: list[int]
+    marks: np.ndarray
+    places: np.ndarray
+
+
+def bundles(layout: Layout) -> list[Bundle]:
+    """All inputs, those with few bins together. A pass then counts each row once per bundle and not once per input."""
+    bins = [len(c) + 1 for c in layout.cuts]
+    groups: list[list[int]] = []
+    size = 0
+    for f in sorted(range(len(bins)), key=lambda f: bins[f]):
+        if groups and size * bins[f] <= BUNDLE_CELLS:
+            groups[-1].append(f)
+            size *= bins[f]
+        else:
+            groups.append([f])
+            size = bins[f]
+    out = []
+    for own in groups:
+        cells = int(np.prod([bins[f] for f in own]))
+        steps = [int(np.prod([bins[f] for f in own[:i]], dtype=np.int64)) for i in range(len(own))]
+        digit = [np.arange(cells) // step % bins[f] for f, step in zip(own, steps)]
+        marks = np.concatenate([d[:, None] == np.arange(bins[f]) for f, d in zip(own, digit)], axis=1)
+        places = np.concatenate([layout.first[f] + np.arange(bins[f]) for f in own])
+        out.append(Bundle(own, steps, marks, places))
+    return out
 
 
 # Boosted trees.
@@ -322,19 +425,27 @@ def boost(frame: DataFrame, inputs: Sequence[str], weight: str, cuts: list[np.nd
     wanted = max(1, int(s.columns * len(inputs)))
     n = len(inputs)
 
+    packs = bundles(layout)
+
     def grow(held: _Spread | _Here) -> Trees:
         out = no_trees(s.rounds, s.depth)
         cut = np.zeros(out.feature.shape, np.int64)
         for t in range(s.rounds):
-            if t:
-                held.changed(_with_tree(out.feature[t - 1], cut[t - 1], out.value[t - 1], s.depth), t % CHECKPOINT_ROUNDS == 0)
+            held.changed(
+                _with_tree(packs, out.feature[t - 1], cut[t - 1], out.value[t - 1], s.depth) if t else _with_codes(packs),
+                t > 0 and t % CHECKPOINT_ROUNDS == 0,
+            )
+            held.drawn(_draw(s, t, bits))
             columns = chosen_inputs(s.seed, 2 * t, n, wanted)
             out.feature[t, 0] = -1
+            sums = None
             for level in range(s.depth):
                 asked = np.arange(2**level - 1, 2 ** (level + 1) - 1)
                 if not (out.feature[t, asked] == -1).any():
                     break
-                sums = held.summed(_boost_sums(s, t, level, columns, layout, bits, out.feature[t], cut[t]), (2**level, layout.size, 3))
+                nodes = _fewer_rows(out, t, level)
+                found = held.summed(_boost_sums(level, nodes, columns, layout, packs, out.feature[t], cut[t]), (len(nodes), layout.size, 3))
+                sums = _with_siblings(found, nodes - asked[0], sums, len(asked))
                 _boost_splits(out, cut, t, level, sums, layout, columns, bits, s)
             np.multiply(out.value[t], s.step, out=out.value[t])
         return out
@@ -342,34 +453,100 @@ def boost(frame: DataFrame, inputs: Sequence[str], weight: str, cuts: list[np.nd
     return _grown(blocks(frame, inputs, weight, cuts), grow, -(-n_rows // BOOSTED_ROWS))
 
 
-def _with_tree(feature: np.ndarray, cut: np.ndarray, value: np.ndarray, depth: int) -> Callable[[Block], Block]:
+def _fewer_rows(out: Trees, t: int, level: int) -> np.ndarray:
+    """The nodes of a level that are summed: the root, then that child of each split node which has fewer rows."""
+    if level == 0:
+        return np.array([0])
+    above = np.arange(2 ** (level - 1) - 1, 2**level - 1)
+    left = 2 * above[out.feature[t, above] >= 0] + 1
+    return np.where(out.n_rows[t, left] <= out.n_rows[t, left + 1], left, left + 1)
+
+
+def _with_siblings(found: np.ndarray, places: np.ndarray, above: np.ndarray | None, n: int) -> np.ndarray:
+    """Sums of all ``n`` nodes of a level: those found, and what their siblings have of the sums of the level above."""
+    out = np.zeros((n, *found.shape[1:]), np.int64)
+    out[places] = found
+    if above is not None:
+        out[places ^ 1] = above[places >> 1] - found
+    return out
+
+
+def _walked(codes: np.ndarray, packs: list[Bundle], feature: np.ndarray, cut: np.ndarray, levels: int) -> np.ndarray:
+    """The node of each row after ``levels`` steps down a tree that grows, or the leaf where it ended before."""
+    where = {f: (i, step) for i, b in enumerate(packs) for f, step in zip(b.inputs, b.steps)}
+    n, cells = len(codes), max(len(b.marks) for b in packs)
+    child, start, right = np.arange(len(feature)), np.zeros(len(feature), np.int64), np.zeros((len(feature), cells), bool)
+    for node in np.flatnonzero(feature[: 2**levels - 1] >= 0):
+        i, step = where[int(feature[node])]
+        place = packs[i].inputs.index(int(feature[node]))
+        above = packs[i].steps[place + 1] if place + 1 < len(packs[i].steps) else len(packs[i].marks)
+        right[node] = np.arange(cells) % above // step > cut[node]
+        child[node], start[node] = 2 * node + 1, i * n
+    flat, right, rows, node = codes.T.ravel(), right.ravel(), np.arange(n), np.zeros(n, np.int64)
+    for _ in range(levels):
+        at = start.take(node)
+        at += rows
+        at = flat.take(at) + node * cells
+        node = child.take(node)
+        node += right.take(at)
+    return node
+
+
+def _with_tree(packs: list[Bundle], feature: np.ndarray, cut: np.ndarray, value: np.ndarray, depth: int) -> Callable[[Block], Block]:
+    return lambda block: block._replace(margin=block.margin + value.take(_walked(block.codes, packs, feature, cut, depth)))
+
+
+def _with_codes(packs: list[Bundle]) -> Callable[[Block], Block]:
     def run(block: Block) -> Block:
-        node = np.zeros(len(block.label), np.int64)
-        row = np.arange(len(node))
-        for _ in range(depth):
-            own = feature[node]
-            right = block.bins[row, np.maximum(own, 0)] > cut[node]
-            node = np.where(own >= 0, 2 * node + 1 + right, node)
-        return block._replace(margin=block.margin + value[node])
+        kind = np.min_scalar_type(max(len(b.marks) for b in packs) - 1)
+        codes = [sum((block.bins[:, f].astype(np.int64) * step for f, step in zip(b.inputs, b.steps)), np.int64(0)).astype(kind) for b in packs]
+        label = block.label.astype(np.int8)
+        return block._replace(
+            bins=block.bins[:, :0], codes=np.stack(codes).T, label=label if np.array_equal(label, block.label) else block.label
+        )
 
     return run
 
 
-def _boost_sums(s: BoostSettings, t: int, level: int, columns: np.ndarray, layout: Layout, bits: int, feature: np.ndarray, cut: np.ndarray):
-    """Sums of a block per (node of the level, bin): first and second derivatives, and rows."""
-    first, size, feature, cut = layout.first, layout.size, feature.copy(), cut.copy()
+def _draw(s: BoostSettings, t: int, bits: int) -> Callable[[Block], Drawn]:
+    def run(block: Block) -> Drawn:
+        if s.rows >= 1:
+            return Drawn(block.codes, *gradients(block.label, block.weight, block.margin, bits))
+        own = np.flatnonzero(draws(block.key, s.seed, 2 * t + 1) < s.rows)
+        codes = np.stack([c.take(own) for c in block.codes.T]).T
+        return Drawn(codes, *gradients(block.label.take(own), block.weight.take(own), block.margin.take(own), bits))
 
-    def run(block: Block) -> np.ndarray:
-        node = _walk(block.bins, feature, cut, level)
-        own = np.flatnonzero((node >= 0) & (draws(block.key, s.seed, 2 * t + 1) < s.rows if s.rows < 1 else node >= 0))
-        g, h = gradients(block.label[own], block.weight[own], block.margin[own], bits)
-        base = (node[own] - (2**level - 1)) * size
-        out = np.zeros((2**level * size, 3), np.int64)
-        for f in columns:
-            place = base + first[f] + block.bins[own, f]
+    return run
+
+
+def _boost_sums(level: int, nodes: np.ndarray, columns: np.ndarray, layout: Layout, packs: list[Bundle], feature: np.ndarray, cut: np.ndarray):
+    """Sums of a block per (node asked for, bin) of the drawn inputs: first and second derivatives, and rows."""
+    size, feature, cut, m = layout.size, feature.copy(), cut.copy(), len(nodes)
+    slot = np.full(2 ** (level + 1), -1)
+    slot[nodes] = np.arange(m)
+    wanted = np.zeros(size, bool)
+    for f in columns:
+        wanted[layout.first[f] : layout.first[f + 1]] = True
+
+    def run(block: Drawn) -> np.ndarray:
+        at, own, g, h = np.zeros(len(block.g), np.int64), None, block.g, block.h
+        if level:
+            at = slot.take(_walked(block.codes, packs, feature, cut, level))
+            own = np.flatnonzero(at >= 0)
+            at, g, h = at.take(own), g.take(own), h.take(own)
+        out = np.zeros((m, size, 3), np.int64)
+        for bundle, code in zip(packs, block.codes.T):
+            if not set(bundle.inputs) & set(columns.tolist()):
+                continue
+            marks, cells = bundle.marks.astype(np.float64), len(bundle.marks)
+            place = at * cells
+            place += code if own is None else code.take(own)
             for k, what in enumerate((g, h, None)):
-                out[:, k] += np.bincount(place, what, minlength=len(out)).astype(np.int64)
-        return out.reshape(2**level, size, 3)
+                # Whole numbers below 2**53 in any part, so the product is exact.
+                found = np.bincount(place, what, minlength=m * cells).reshape(m, cells).astype(np.float64) @ marks
+                out[:, bundle.places, k] = found.astype(np.int64)
+        out[:, ~wanted] = 0
+        return out
 
     return run
 
@@ -443,71 +620,108 @@ def forest(frame: DataFrame, inputs: Sequence[str], weight: str, cuts: list[np.n
             for start in range(0, len(growing), slots):
                 nodes = np.array(growing[start : start + slots])
                 asked = np.array([chosen_inputs(s.seed, t * 2 ** (s.depth + 1) + node + 1, n, wanted) for t, node in nodes.tolist()])
-                sums = held.summed(_forest_sums(s, level, nodes, asked, layout, out.feature, cut), (len(nodes), layout.size, 3))
-                _forest_splits(out, cut, level, nodes, sums, asked, layout, class_weight, s)
+                sums = _forest_sums(s, level, nodes, asked, layout, out.feature, cut)
+                best = held.chosen(sums, (len(nodes), layout.size, 3), _forest_choice(asked, layout, class_weight, s))
+                _forest_splits(out, cut, level, nodes, [np.concatenate(x) for x in zip(*best)], layout, s)
         return out
 
     return _grown(blocks(frame, inputs, weight, cuts), grow, -(-sum(r["n"] for r in found) // FOREST_ROWS))
 
 
+#: Parts of the range from 0 to 1, the least Poisson draw in each, and the first part where more than two draws meet.
+_PARTS = 4096
+_LEAST_DRAW = np.searchsorted(POISSON, np.arange(_PARTS) / _PARTS, side="right")
+_SEVERAL = int(np.flatnonzero(np.diff(np.append(_LEAST_DRAW, len(POISSON))) > 1)[0])
+
+
+def poisson(u: np.ndarray) -> np.ndarray:
+    """The Poisson number with mean one of each even number: how many of POISSON are not above it."""
+    part = (u * _PARTS).astype(np.int64)
+    out = _LEAST_DRAW.take(part)
+    out += u >= POISSON.take(np.minimum(out, len(POISSON) - 1))
+    late = np.flatnonzero(part >= _SEVERAL)
+    out[late] = np.searchsorted(POISSON, u[late], side="right")
+    return out
+
+
 def _forest_sums(s: ForestSettings, level: int, nodes: np.ndarray, asked: np.ndarray, layout: Layout, feature: np.ndarray, cut: np.ndarray):
     """Sums of a block per (node, bin) of the inputs that the node looks at: draws of class 0 and of class 1, and rows."""
     first, size = layout.first, layout.size
     trees = np.unique(nodes[:, 0])
     feature, cut = feature[trees], cut[trees]
-    looks = np.zeros((len(nodes), len(first) - 1), bool)
-    looks[np.arange(len(nodes))[:, None], asked] = True
 
     def run(block: Block) -> np.ndarray:
+        n, flat = len(block.label), block.bins.T.ravel()
+        class_one = block.label.astype(np.int64)
+        shift = n.bit_length()  # rows fill the lower bits of a sum, draws those above: one count for both
         out = np.zeros((len(nodes) * size, 3), np.int64)
         for i, t in enumerate(trees.tolist()):
             slots = np.flatnonzero(nodes[:, 0] == t)
             slot = np.full(2 ** (level + 1), -1)
-            slot[nodes[slots, 1]] = slots
-            node = _walk(block.bins, feature[i], cut[i], level)
-            times = np.searchsorted(POISSON, draws(block.key, s.seed, t), side="right") if s.bootstrap else np.ones(len(node), np.int64)
-            own = np.flatnonzero((node >= 0) & (times > 0))
-            at = slot[node[own]]
-            own, at = own[at >= 0], at[at >= 0]
-            drawn = times[own].astype(np.float64)
-            one = drawn * block.label[own]
+            slot[nodes[slots, 1]] = np.arange(len(slots))
+            times = poisson(draws(block.key, s.seed, t)) if s.bootstrap else np.ones(n, np.int64)
+            own = np.flatnonzero(times)
+            node = np.zeros(len(own), np.int64)
+            for _ in range(level):
+                node = _stepped(block.bins, own, node, feature[i], cut[i])
+            at = slot.take(node)
+            here = np.flatnonzero(at >= 0)
+            own, at = own.take(here), at.take(here)
+            packed = ((times.take(own) << shift) + 1).astype(np.float64)
+            of_class = class_one.take(own)
+            both = np.zeros(2 * len(slots) * size)
+            for f in asked[slots].T:
+                place = (np.arange(len(slots)) * size + first[f]).take(at)
+                place += flat.take((f * n).take(at) + own)
+                place *= 2
+                place += of_class
+                both += np.bincount(place, packed, minlength=len(both))
+            counts = both.astype(np.int64).reshape(-1, 2)
             low, high = int(slots[0]) * size, (int(slots[-1]) + 1) * size
-            for f in np.flatnonzero(looks[slots].any(axis=0)).tolist():
-                here = np.flatnonzero(looks[at, f])
-                place = at[here] * size + first[f] + block.bins[own[here], f] - low
-                for k, what in enumerate((drawn[here] - one[here], one[here], None)):
-                    out[low:high, k] += np.bincount(place, what, minlength=high - low).astype(np.int64)
+            out[low:high, :2] = counts >> shift
+            out[low:high, 2] = (counts & ((1 << shift) - 1)).sum(axis=1)
         return out.reshape(len(nodes), size, 3)
 
     return run
 
 
-def _forest_splits(out: Trees, cut: np.ndarray, level: int, nodes: np.ndarray, sums: np.ndarray, asked: np.ndarray, layout: Layout, class_weight: np.ndarray, s: ForestSettings) -> None:
+def _forest_choice(asked: np.ndarray, layout: Layout, class_weight: np.ndarray, s: ForestSettings):
+    """Per node of a slice of the sums: the best place, whether the impurity falls there, by how much, and the rows and the
+    weight per class of the node and of its left side."""
+
+    def run(start: int, sums: np.ndarray) -> tuple:
+        upto, whole = layout.prefix(sums)
+        left, both = upto[..., :2] * class_weight, whole[..., :2] * class_weight
+        right = both - left
+        purity = lambda w: (w * w).sum(axis=-1) / np.maximum(w.sum(axis=-1), 1e-300)
+        gain = purity(left) + purity(right) - purity(both)
+        rows, all_rows = upto[..., 2], whole[..., 2]
+        fit = layout.split_places() & (rows >= s.least_leaf) & (all_rows - rows >= s.least_leaf) & (gain > 1e-9 * both.sum(axis=-1))
+        best = _best(np.where(fit, gain, -1.0))
+        i = np.arange(len(sums))
+        seen = layout.first[asked[start : start + len(sums), 0]]
+        return best, fit[i, best], gain[i, best], all_rows[i, seen], both[i, seen], all_rows[i, best], both[i, best], rows[i, best], left[i, best]
+
+    return run
+
+
+def _forest_splits(out: Trees, cut: np.ndarray, level: int, nodes: np.ndarray, found: list[np.ndarray], layout: Layout, s: ForestSettings) -> None:
     """Split nodes of a level where the impurity falls, and give their children a leaf's value."""
-    upto, whole = layout.prefix(sums)
-    left, both = upto[..., :2] * class_weight, whole[..., :2] * class_weight
-    right = both - left
-    purity = lambda w: (w * w).sum(axis=-1) / np.maximum(w.sum(axis=-1), 1e-300)
-    gain = purity(left) + purity(right) - purity(both)
-    rows, all_rows = upto[..., 2], whole[..., 2]
-    fit = layout.split_places() & (rows >= s.least_leaf) & (all_rows - rows >= s.least_leaf) & (gain > 1e-9 * both.sum(axis=-1))
-    best = _best(np.where(fit, gain, -1.0))
+    best, fit, gain, own_rows, own, all_rows, both, rows, left = found
 
     def hold(t: int, node: int, n: int, weights: np.ndarray) -> None:
         out.n_rows[t, node], out.weight[t, node] = n, weights.sum()
         out.value[t, node] = weights[1] / weights.sum() if weights.sum() else 0.0
 
     for i, (t, node) in enumerate(nodes.tolist()):
-        seen = layout.first[asked[i, 0]]
-        hold(t, node, all_rows[i, seen], both[i, seen])
-        place = int(best[i])
-        if level >= s.depth or not fit[i, place]:
+        hold(t, node, own_rows[i], own[i])
+        if level >= s.depth or not fit[i]:
             continue
-        out.feature[t, node], cut[t, node], out.threshold[t, node] = layout.at(place)
-        out.gain[t, node] = gain[i, place]
+        out.feature[t, node], cut[t, node], out.threshold[t, node] = layout.at(int(best[i]))
+        out.gain[t, node] = gain[i]
         out.feature[t, 2 * node + 1] = out.feature[t, 2 * node + 2] = -1
-        hold(t, 2 * node + 1, rows[i, place], left[i, place])
-        hold(t, 2 * node + 2, all_rows[i, place] - rows[i, place], right[i, place])
+        hold(t, 2 * node + 1, rows[i], left[i])
+        hold(t, 2 * node + 2, all_rows[i] - rows[i], both[i] - left[i])
 
 
 # What is stored, and scoring.

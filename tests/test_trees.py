@@ -266,3 +266,44 @@ def test_poisson_draws_and_bundled_codes_are_the_plain_ones():
     left = bins[:, 4] <= 17
     want = np.where(left, 3 + (bins[:, 1] > 290), 5 + (bins[:, 7] > 2))
     assert np.array_equal(grown._walked(codes, packs, feature, cut, 2), want)
+
+
+def test_ways_down_deep_trees_are_those_of_the_bins():
+    """Trees of seven levels with leaves at all of them, from codes: more splits than one number has bits."""
+    rng = np.random.default_rng(8)
+    sizes = [2, 300, 3, 40, 2, 25, 7]
+    packs = grown.bundles(grown.Layout([np.arange(1.0, n) for n in sizes]))
+    bins = np.stack([rng.integers(0, n, 3000) for n in sizes], axis=1).astype(np.uint16)
+    zero = np.zeros(3000)
+    codes = grown._with_codes(packs)(grown.Block(np.asfortranarray(bins), zero, zero, zero, zero)).codes
+    for levels, leaves in ((0, 0.0), (3, 0.2), (5, 0.1), (7, 0.0), (7, 0.1)):
+        feature = np.where(rng.random(2**8 - 1) < leaves, -1, rng.integers(0, len(sizes), 2**8 - 1))
+        cut = (rng.random(len(feature)) * np.take(sizes, feature)).astype(int)
+        want = np.zeros(len(bins), int)
+        for _ in range(levels):
+            here = feature[want]
+            right = bins[np.arange(len(bins)), here] > cut[want]
+            want = np.where(here >= 0, 2 * want + 1 + right, want)
+        assert np.array_equal(grown._walked(codes, packs, feature, cut, levels), want)
+
+
+def test_a_round_reads_blocks_that_are_held_for_some_rounds(frame, cuts, monkeypatch):
+    """Margins are held anew every few rounds and not in each; the blocks lie uncompressed, and fill up."""
+    s = grown.BoostSettings(rounds=7, depth=3)
+    want = grown.boost(frame, INPUTS, "w", cuts, s)
+    changes = []
+    plain = grown._Spread.changed
+
+    def changed(self, change, cut_lineage):
+        plain(self, change, cut_lineage)
+        changes.append(self.rows.getStorageLevel().deserialized)
+
+    monkeypatch.setattr(grown._Spread, "changed", changed)
+    monkeypatch.setattr(grown, "BOOSTED_ROWS", 300)
+    monkeypatch.setattr(grown, "PASS_ROWS", 70)
+    monkeypatch.setattr(grown, "HELD_ROUNDS", 3)
+    got = grown.boost(frame.repartition(5), INPUTS, "w", cuts, s)
+    assert all(np.array_equal(x, y) for x, y in zip(want, got))
+    assert changes == [True] * 3
+    block = lambda n: grown.Block(np.zeros((n, 2), np.uint8), *(np.arange(n) * 1.0 for _ in range(4)))
+    assert [len(b.label) for b in grown._merged(map(block, (5, 0, 90, 70, 1)), 70)] == [70, 70, 26]

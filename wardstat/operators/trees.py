@@ -31,8 +31,10 @@ from wardstat.session import use_checkpoints
 # Code that runs in Python workers is shipped with the job: executors need no copy of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-#: Rows of a block.
-BLOCK_ROWS = 1 << 18
+#: Rows of a block at most, and rows of one that passes work on: its columns fit a core's cache.
+BLOCK_ROWS, PASS_ROWS = 1 << 18, 1 << 15
+#: Blocks are bytes already. Held as they are, a pass need not unpack and decode them first, as it would in Spark's usual level.
+HELD = StorageLevel.MEMORY_AND_DISK_DESER
 #: Rows for which a pass is worth a task: boosted trees make thousands of short passes, a forest some dozens of long ones.
 BOOSTED_ROWS, FOREST_ROWS = 125_000, 10_000
 #: Cells of inputs that are summed as one: the product of their bins.
@@ -41,8 +43,14 @@ BUNDLE_CELLS = 1024
 SUMMED_BYTES = 64 << 20
 #: Bytes of sums that a block makes at once; the nodes of a forest are summed in so many passes.
 SUM_BYTES = 8 << 20
-#: Rounds after which the margins are written to the shared folder and their lineage is cut.
+#: Rounds after which the margins are held anew; in between a round adds the trees since to those held, in the same order.
+HELD_ROUNDS = 5
+#: Rounds after which they are written to the shared folder and their lineage is cut.
 CHECKPOINT_ROUNDS = 25
+#: Levels of a tree whose ways down are looked up at once, by a bit per node.
+LOOKED_UP = 4
+#: Splits whose bits lie in one number.
+MASK_BITS = 62
 #: A split of boosted trees must gain more than this.
 LEAST_GAIN = 1e-6
 
@@ -106,8 +114,8 @@ class Drawn(NamedTuple):
     h: np.ndarray
 
 
-def _merged(blocks: Iterable[Block]) -> Iterator[Block]:
-    """The same rows in blocks as full as can be."""
+def _merged(blocks: Iterable[Block], size: int) -> Iterator[Block]:
+    """The same rows in blocks of ``size``, but for the last one."""
 
     def whole() -> Block:
         parts = [np.concatenate(x) for x in zip(*(b[:5] for b in held))]
@@ -115,10 +123,14 @@ def _merged(blocks: Iterable[Block]) -> Iterator[Block]:
 
     held: list[Block] = []
     for block in blocks:
-        if held and sum(len(b.label) for b in (*held, block)) > BLOCK_ROWS:
-            yield whole()
-            held = []
-        held.append(block)
+        start = 0
+        while start < len(block.label):
+            end = start + size - sum(len(b.label) for b in held)
+            held.append(Block(*(x[start:end] for x in block[:5])))
+            if end <= len(block.label):
+                yield whole()
+                held = []
+            start = end
     if held:
         yield whole()
 
@@ -203,14 +215,11 @@ class _Spread:
     """Blocks on the executors: a pass is a job, and what the blocks sum is added up."""
 
     def __init__(self, rows: RDD):
-        self.rows = self.read = rows.persist(StorageLevel.MEMORY_AND_DISK)
+        self.rows = self.read = rows.persist(HELD)
         self.older: list[RDD] = []
 
-    def summed(self, sums: Callable[[NamedTuple], np.ndarray], shape: tuple) -> np.ndarray:
-        def part(own: Iterator[NamedTuple]) -> Iterator[np.ndarray]:
-            yield reduce(np.add, map(sums, own), np.zeros(shape, np.int64))
-
-        parts = self.read.mapPartitions(part)
+    def summed(self, sums: Callable[[Iterable[Drawn]], np.ndarray], shape: tuple) -> np.ndarray:
+        parts = self.read.mapPartitions(lambda own: [sums(own)])
         if self.rows.getNumPartitions() * 8 * np.prod(shape) <= SUMMED_BYTES:
             sent = parts.map(lambda x: zlib.compress(x.tobytes(), 1)).collect()
             out = np.zeros(shape, np.int64)
@@ -242,7 +251,7 @@ class _Spread:
 
     def changed(self, change: Callable[[Block], Block], cut_lineage: bool) -> None:
         self.older.append(self.rows)
-        self.rows = self.rows.map(change).persist(StorageLevel.MEMORY_AND_DISK)
+        self.rows = self.rows.map(change).persist(HELD)
         if cut_lineage:
             self.rows.checkpoint()
 
@@ -250,7 +259,7 @@ class _Spread:
         """What passes read from now on."""
         if self.read is not self.rows:
             self.older.append(self.read)
-        self.read = self.rows.map(draw).persist(StorageLevel.MEMORY_AND_DISK)
+        self.read = self.rows.map(draw).persist(HELD)
 
     def release(self) -> None:
         for rows in (*self.older, self.read, self.rows):
@@ -263,11 +272,11 @@ class _Here:
     def __init__(self, rows: list[Block]):
         self.rows = self.read = rows
 
-    def summed(self, sums: Callable[[NamedTuple], np.ndarray], shape: tuple) -> np.ndarray:
-        return reduce(np.add, map(sums, self.read), np.zeros(shape, np.int64))
+    def summed(self, sums: Callable[[Iterable[Drawn]], np.ndarray], shape: tuple) -> np.ndarray:
+        return sums(self.read)
 
     def chosen(self, sums: Callable[[Block], np.ndarray], shape: tuple, choose: Callable[[int, np.ndarray], tuple]) -> Iterable[tuple]:
-        return [choose(0, self.summed(sums, shape))]
+        return [choose(0, reduce(np.add, map(sums, self.read), np.zeros(shape, np.int64)))]
 
     def changed(self, change: Callable[[Block], Block], cut_lineage: bool) -> None:
         self.rows = [change(block) for block in self.rows]
@@ -276,12 +285,12 @@ class _Here:
         self.read = [draw(block) for block in self.rows]
 
 
-def _grown(rows: RDD, grow: Callable[[_Spread | _Here], Trees], most: int) -> Trees:
-    """The trees that ``grow`` makes of the blocks, in ``most`` partitions at most and no more than run at once. In one
+def _grown(rows: RDD, grow: Callable[[_Spread | _Here], Trees], most: int, size: int) -> Trees:
+    """The trees that ``grow`` makes of blocks of ``size`` rows, in ``most`` partitions at most and no more than run at once. In one
     partition there is nothing to add up: it grows where the blocks are, in one job instead of one for each pass. The trees
     are the same."""
     most = min(max(1, most), rows.getNumPartitions(), rows.ctx.defaultParallelism)
-    rows = rows.coalesce(most).mapPartitions(_merged)
+    rows = rows.coalesce(most).mapPartitions(lambda own: _merged(own, size))
     if rows.getNumPartitions() == 1:
         found = rows.mapPartitions(lambda own: [tuple(grow(_Here(list(own))))]).collect()
         return Trees(*found[0])
@@ -430,12 +439,14 @@ def boost(frame: DataFrame, inputs: Sequence[str], weight: str, cuts: list[np.nd
     def grow(held: _Spread | _Here) -> Trees:
         out = no_trees(s.rounds, s.depth)
         cut = np.zeros(out.feature.shape, np.int64)
+        held.changed(_with_codes(packs), False)
+        since = 0
         for t in range(s.rounds):
-            held.changed(
-                _with_tree(packs, out.feature[t - 1], cut[t - 1], out.value[t - 1], s.depth) if t else _with_codes(packs),
-                t > 0 and t % CHECKPOINT_ROUNDS == 0,
-            )
-            held.drawn(_draw(s, t, bits))
+            newer = _with_trees(packs, out.feature[since:t].copy(), cut[since:t].copy(), out.value[since:t].copy(), s.depth)
+            if t - since == HELD_ROUNDS:
+                held.changed(newer, t // CHECKPOINT_ROUNDS > since // CHECKPOINT_ROUNDS)
+                since, newer = t, None
+            held.drawn(_draw(s, t, bits, newer))
             columns = chosen_inputs(s.seed, 2 * t, n, wanted)
             out.feature[t, 0] = -1
             sums = None
@@ -450,7 +461,7 @@ def boost(frame: DataFrame, inputs: Sequence[str], weight: str, cuts: list[np.nd
             np.multiply(out.value[t], s.step, out=out.value[t])
         return out
 
-    return _grown(blocks(frame, inputs, weight, cuts), grow, -(-n_rows // BOOSTED_ROWS))
+    return _grown(blocks(frame, inputs, weight, cuts), grow, -(-n_rows // BOOSTED_ROWS), PASS_ROWS)
 
 
 def _fewer_rows(out: Trees, t: int, level: int) -> np.ndarray:
@@ -471,29 +482,84 @@ def _with_siblings(found: np.ndarray, places: np.ndarray, above: np.ndarray | No
     return out
 
 
-def _walked(codes: np.ndarray, packs: list[Bundle], feature: np.ndarray, cut: np.ndarray, levels: int) -> np.ndarray:
-    """The node of each row after ``levels`` steps down a tree that grows, or the leaf where it ended before."""
+def _walker(packs: list[Bundle], feature: np.ndarray, cut: np.ndarray, levels: int) -> Callable[[np.ndarray], np.ndarray]:
+    """What finds, by its codes, the node of each row after ``levels`` steps down a tree that grows, or the leaf where it
+    ended before.
+
+    Each split has a bit, set for rows that go right; a bundle's code says which of its bits are set. The bits of the first
+    levels together are the place of a row's way down in a table. Splits further down are asked one level at a time.
+    """
     where = {f: (i, step) for i, b in enumerate(packs) for f, step in zip(b.inputs, b.steps)}
-    n, cells = len(codes), max(len(b.marks) for b in packs)
-    child, start, right = np.arange(len(feature)), np.zeros(len(feature), np.int64), np.zeros((len(feature), cells), bool)
-    for node in np.flatnonzero(feature[: 2**levels - 1] >= 0):
+    every = np.arange(len(feature))
+
+    def right(node: int) -> tuple[int, np.ndarray]:
+        """The bundle that decides at a node, and which of its codes go right."""
         i, step = where[int(feature[node])]
         place = packs[i].inputs.index(int(feature[node]))
         above = packs[i].steps[place + 1] if place + 1 < len(packs[i].steps) else len(packs[i].marks)
-        right[node] = np.arange(cells) % above // step > cut[node]
-        child[node], start[node] = 2 * node + 1, i * n
-    flat, right, rows, node = codes.T.ravel(), right.ravel(), np.arange(n), np.zeros(n, np.int64)
-    for _ in range(levels):
-        at = start.take(node)
-        at += rows
-        at = flat.take(at) + node * cells
-        node = child.take(node)
-        node += right.take(at)
-    return node
+        return i, np.arange(len(packs[i].marks)) % above // step > cut[node]
+
+    upper = min(levels, LOOKED_UP)
+    splits = np.flatnonzero(feature[: 2**levels - 1] >= 0)
+    first = int((splits < 2**upper - 1).sum())
+    steps = [splits[:first]]
+    for level in range(upper, levels):
+        own = splits[(splits >= 2**level - 1) & (splits < 2 ** (level + 1) - 1)]
+        steps += [own[k : k + MASK_BITS // 2] for k in range(0, len(own), MASK_BITS // 2)]
+    masks: list[dict[int, np.ndarray]] = [{}]
+    used, asked = 0, []
+    for own in steps:
+        if used + len(own) > MASK_BITS:
+            masks.append({})
+            used = 0
+        # The bit after the last one is never set: nodes that don't split keep their rows.
+        child, bit = every.copy(), np.full(len(feature), MASK_BITS)
+        for k, node in enumerate(own, used):
+            i, go = right(node)
+            masks[-1][i] = masks[-1].get(i, 0) | (go.astype(np.int64) << k)
+            child[node], bit[node] = 2 * node + 1, k
+        asked.append((len(masks) - 1, child, bit))
+        used += len(own)
+    ways = np.arange(1 << first)
+    end = np.zeros(len(ways), np.int64)
+    for _ in range(upper):
+        end = asked[0][1][end] + (ways >> asked[0][2][end] & 1)
+
+    def run(codes: np.ndarray) -> np.ndarray:
+        found = []
+        for tables in masks:
+            mask = np.zeros(len(codes), np.int64)
+            for i, table in tables.items():
+                mask |= table.take(codes[:, i])
+            found.append(mask)
+        node = end.take(found[0] & (len(end) - 1))
+        for at, child, bit in asked[1:]:
+            turn = found[at] >> bit.take(node)
+            turn &= 1
+            node = child.take(node)
+            node += turn
+        return node
+
+    return run
+
+
+def _walked(codes: np.ndarray, packs: list[Bundle], feature: np.ndarray, cut: np.ndarray, levels: int) -> np.ndarray:
+    return _walker(packs, feature, cut, levels)(codes)
 
 
-def _with_tree(packs: list[Bundle], feature: np.ndarray, cut: np.ndarray, value: np.ndarray, depth: int) -> Callable[[Block], Block]:
-    return lambda block: block._replace(margin=block.margin + value.take(_walked(block.codes, packs, feature, cut, depth)))
+def _with_trees(packs: list[Bundle], feature: np.ndarray, cut: np.ndarray, value: np.ndarray, depth: int) -> Callable[[Block], Block]:
+    """Blocks with the margins of some trees more, added one after the other."""
+    walkers: list[Callable[[np.ndarray], np.ndarray]] = []
+
+    def run(block: Block) -> Block:
+        if not walkers:  # in the task, once for all its blocks
+            walkers.extend(_walker(packs, f, c, depth) for f, c in zip(feature, cut))
+        margin = block.margin
+        for walk, v in zip(walkers, value):
+            margin = margin + v.take(walk(block.codes))
+        return block._replace(margin=margin)
+
+    return run
 
 
 def _with_codes(packs: list[Bundle]) -> Callable[[Block], Block]:
@@ -508,8 +574,10 @@ def _with_codes(packs: list[Bundle]) -> Callable[[Block], Block]:
     return run
 
 
-def _draw(s: BoostSettings, t: int, bits: int) -> Callable[[Block], Drawn]:
+def _draw(s: BoostSettings, t: int, bits: int, newer: Callable[[Block], Block] | None = None) -> Callable[[Block], Drawn]:
     def run(block: Block) -> Drawn:
+        if newer is not None:
+            block = newer(block)
         if s.rows >= 1:
             return Drawn(block.codes, *gradients(block.label, block.weight, block.margin, bits))
         own = np.flatnonzero(draws(block.key, s.seed, 2 * t + 1) < s.rows)
@@ -520,7 +588,7 @@ def _draw(s: BoostSettings, t: int, bits: int) -> Callable[[Block], Drawn]:
 
 
 def _boost_sums(level: int, nodes: np.ndarray, columns: np.ndarray, layout: Layout, packs: list[Bundle], feature: np.ndarray, cut: np.ndarray):
-    """Sums of a block per (node asked for, bin) of the drawn inputs: first and second derivatives, and rows."""
+    """Sums of blocks per (node asked for, bin) of the drawn inputs: first and second derivatives, and rows."""
     size, feature, cut, m = layout.size, feature.copy(), cut.copy(), len(nodes)
     slot = np.full(2 ** (level + 1), -1)
     slot[nodes] = np.arange(m)
@@ -528,23 +596,30 @@ def _boost_sums(level: int, nodes: np.ndarray, columns: np.ndarray, layout: Layo
     for f in columns:
         wanted[layout.first[f] : layout.first[f + 1]] = True
 
-    def run(block: Drawn) -> np.ndarray:
-        at, own, g, h = np.zeros(len(block.g), np.int64), None, block.g, block.h
-        if level:
-            at = slot.take(_walked(block.codes, packs, feature, cut, level))
-            own = np.flatnonzero(at >= 0)
-            at, g, h = at.take(own), g.take(own), h.take(own)
+    inputs = set(columns.tolist())
+
+    def run(blocks: Iterable[Drawn]) -> np.ndarray:
+        walk = _walker(packs, feature, cut, level) if level else None
+        asked = [i for i, bundle in enumerate(packs) if inputs & set(bundle.inputs)]
+        held = {i: np.zeros((3, m * len(packs[i].marks)), np.int64) for i in asked}
+        for block in blocks:
+            at, own, g, h = None, None, block.g, block.h
+            if level:
+                at = slot.take(walk(block.codes))
+                own = np.flatnonzero(at >= 0)
+                at, g, h = at.take(own), g.take(own), h.take(own)
+            for i in asked:
+                place = block.codes[:, i].astype(np.int64) if own is None else block.codes[:, i].take(own) + at * len(packs[i].marks)
+                for k, what in enumerate((g, h, None)):
+                    # Whole numbers below 2**53 in a block, so they are exact.
+                    held[i][k] += np.bincount(place, what, minlength=held[i].shape[1]).astype(np.int64, copy=False)
         out = np.zeros((m, size, 3), np.int64)
-        for bundle, code in zip(packs, block.codes.T):
-            if not set(bundle.inputs) & set(columns.tolist()):
-                continue
-            marks, cells = bundle.marks.astype(np.float64), len(bundle.marks)
-            place = at * cells
-            place += code if own is None else code.take(own)
-            for k, what in enumerate((g, h, None)):
-                # Whole numbers below 2**53 in any part, so the product is exact.
-                found = np.bincount(place, what, minlength=m * cells).reshape(m, cells).astype(np.float64) @ marks
-                out[:, bundle.places, k] = found.astype(np.int64)
+        for i in asked:
+            cells = held[i].reshape(3, m, -1)
+            marks = packs[i].marks.astype(np.float64)
+            # In two parts below 2**53 each, so that the products are exact.
+            high, low = ((part.astype(np.float64) @ marks).astype(np.int64) for part in (cells >> 26, cells & ((1 << 26) - 1)))
+            out[:, packs[i].places, :] = np.moveaxis((high << 26) + low, 0, 2)
         out[:, ~wanted] = 0
         return out
 
@@ -625,7 +700,7 @@ def forest(frame: DataFrame, inputs: Sequence[str], weight: str, cuts: list[np.n
                 _forest_splits(out, cut, level, nodes, [np.concatenate(x) for x in zip(*best)], layout, s)
         return out
 
-    return _grown(blocks(frame, inputs, weight, cuts), grow, -(-sum(r["n"] for r in found) // FOREST_ROWS))
+    return _grown(blocks(frame, inputs, weight, cuts), grow, -(-sum(r["n"] for r in found) // FOREST_ROWS), BLOCK_ROWS)
 
 
 #: Parts of the range from 0 to 1, the least Poisson draw in each, and the first part where more than two draws meet.

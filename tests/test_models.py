@@ -2,10 +2,12 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from wardstat.operators import classifiers
 from wardstat.operators.classifiers import (
     TrainingSettings,
     feature_importance,
     load_model,
+    newton,
     predict,
     save_model,
     train_models,
@@ -13,6 +15,7 @@ from wardstat.operators.classifiers import (
 )
 from wardstat.operators.metrics import model_metrics
 from wardstat.operators.scoring import score, with_score
+from wardstat.operators.scaling import apply_scaler, fit_scaler
 from wardstat.operators.split import stratified_split
 from wardstat.sources.schemas import MODEL_INPUTS
 
@@ -120,3 +123,24 @@ def test_shown_columns_replace_inputs(spark):
         "model_used": "GBT",
     }
     assert rows[1]["risk_tier"] == "HIGH" and rows[1]["predicted_readmission_<30d"] is True
+
+
+def test_passes_of_the_regression_read_packed_blocks_in_few_tasks(spark, signal, monkeypatch):
+    """However many partitions the rows have; scaled in the pass or before it, with fractions too, the point is the same."""
+    rows = signal.selectExpr("*", "double(readmitted_30) label", "1.5D weight", "age_mid * 100000 + 0.25D wide").repartition(40)
+    names = ["age_mid", "total_visits", "num_medications", "wide"]
+    scaler = fit_scaler(rows, names)
+    seen = []
+    plain = classifiers.loss_sums
+
+    def sums(blocks, *rest):
+        seen.append((blocks.rdd.getNumPartitions(), blocks.columns))
+        return plain(blocks, *rest)
+
+    monkeypatch.setattr(classifiers, "loss_sums", sums)
+    monkeypatch.setattr(classifiers, "LOSS_ROWS", 100)
+    got = newton(rows, names, "weight", 0.1, scaler=scaler)
+    want = newton(apply_scaler(rows, scaler, "_s"), [f"{name}_s" for name in names], "weight", 0.1)
+    assert np.allclose(got[0], want[0], atol=1e-9) and abs(got[1] - want[1]) < 1e-9 and got[2] == want[2]
+    most = spark.sparkContext.defaultParallelism
+    assert {tuple(columns) for _, columns in seen} == {("block",)} and max(n for n, _ in seen) <= most

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import pickle
 from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
@@ -98,9 +99,48 @@ def _linear(names: Sequence[str], coefficients: Sequence[float], intercept: floa
     return sum((F.col(name) * F.lit(float(b)) for name, b in zip(names, coefficients)), F.lit(float(intercept)))
 
 
-def newton(frame: DataFrame, names: Sequence[str], weight: str, c: float, most: int = 1000, flat: float = 1e-10) -> tuple[list[float], float, int]:
+#: Rows that a pass of the regression works on at once.
+LOSS_ROWS = 1 << 15
+
+
+def loss_blocks(frame: DataFrame, names: Sequence[str], weight: str) -> DataFrame:
+    """The rows as blocks of packed columns (names, weight, label): rows leave the JVM once, however many passes follow."""
+
+    def packed(x: np.ndarray) -> np.ndarray:
+        """The same numbers in the smallest kind of whole numbers that holds them, or as they are."""
+        for kind in (np.int8, np.int16, np.int32):
+            if np.iinfo(kind).min <= x.min() and x.max() <= np.iinfo(kind).max:
+                whole = x.astype(kind)
+                return whole if np.array_equal(whole, x) else x
+        return x
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+
+        def block() -> pa.RecordBatch:
+            rows = pa.Table.from_batches(held).combine_chunks()
+            columns = [packed(column.cast(pa.float64()).to_numpy()) for column in rows.columns]
+            return pa.RecordBatch.from_arrays([pa.array([pickle.dumps(columns)], pa.binary())], ["block"])
+
+        for batch in batches:
+            if batch.num_rows:
+                held.append(batch)
+            if sum(b.num_rows for b in held) + batch.num_rows > LOSS_ROWS:
+                yield block()
+                held = []
+        if held:
+            yield block()
+
+    # A pass is short, so it has no more tasks than run at once; the bytes of a task don't matter, it works block by block.
+    rows = frame.select(*names, weight, "label").coalesce(frame.sparkSession.sparkContext.defaultParallelism)
+    return rows.mapInArrow(run, "block binary")
+
+
+def newton(
+    frame: DataFrame, names: Sequence[str], weight: str, c: float, most: int = 1000, flat: float = 1e-10, scaler: DataFrame | None = None
+) -> tuple[list[float], float, int]:
     """Coefficients, intercept and passes of the logistic regression that minimises the summed weighted log loss plus
-    half the squared coefficients over ``c``.
+    half the squared coefficients over ``c``; of the scaled columns if a ``scaler`` is given.
 
     A pass over the rows sums the loss, its gradient and its second derivatives, which fit into one row, and solves for
     the next point. It ends where the gradient is ``flat`` relative to the sum of weights; a step that makes the
@@ -109,40 +149,50 @@ def newton(frame: DataFrame, names: Sequence[str], weight: str, c: float, most:
     k = len(names)
     point, step, best = np.zeros(k + 1), np.zeros(k + 1), np.inf
     ridge = np.append(np.full(k, 1.0 / c), 0.0)
-    for passes in range(1, most + 1):
-        loss, total, gradient, second = loss_sums(frame, names, weight, point)
-        objective = loss + 0.5 * float(ridge @ point**2)
-        if objective > best * (1 + 1e-12):
-            step = step / 2
-            point = point + step
-            continue
-        best = objective
-        gradient = gradient + ridge * point
-        if np.abs(gradient).max() <= flat * total:
-            break
-        step = np.linalg.lstsq(second + np.diag(ridge), gradient, rcond=None)[0]
-        point = point - step
+    scale = np.array([np.zeros(k), np.ones(k)])
+    if scaler is not None:
+        fitted = {row["feature"]: (row["mean"], row["scale"]) for row in scaler.collect()}
+        scale = np.array([fitted[name] for name in names]).T
+    blocks = loss_blocks(frame, names, weight).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        for passes in range(1, most + 1):
+            loss, total, gradient, second = loss_sums(blocks, k, point, scale)
+            objective = loss + 0.5 * float(ridge @ point**2)
+            if objective > best * (1 + 1e-12):
+                step = step / 2
+                point = point + step
+                continue
+            best = objective
+            gradient = gradient + ridge * point
+            if np.abs(gradient).max() <= flat * total:
+                break
+            step = np.linalg.lstsq(second + np.diag(ridge), gradient, rcond=None)[0]
+            point = point - step
+    finally:
+        blocks.unpersist()
     return point[:k].tolist(), float(point[k]), passes
 
 
-def loss_sums(frame: DataFrame, names: Sequence[str], weight: str, point: np.ndarray) -> tuple[float, float, np.ndarray, np.ndarray]:
-    """The weighted log loss at a point (coefficients, then the intercept), the sum of weights, and the loss's first and
-    second derivatives. Each partition makes one row of sums; Spark adds them up."""
-    k = len(names) + 1
+def loss_sums(blocks: DataFrame, n: int, point: np.ndarray, scale: np.ndarray) -> tuple[float, float, np.ndarray, np.ndarray]:
+    """The weighted log loss of ``n`` columns, less the means and over the deviations of ``scale``, at a point (coefficients,
+    then the intercept), the sum of weights, and the loss's first and second derivatives. Each partition makes one row of
+    sums; Spark adds them up."""
+    k = n + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros(2 + k + k * k)
         for batch in batches:
-            columns = [batch.column(name).cast(pa.float64()).to_numpy(zero_copy_only=False) for name in (*names, weight, "label")]
-            x, w, y = np.stack([*columns[:-2], np.ones(batch.num_rows)], axis=1), columns[-2], columns[-1]
-            z = x @ point
-            p = 1.0 / (1.0 + np.exp(-z))
-            loss = w * (np.maximum(z, 0.0) + np.log1p(np.exp(-np.abs(z))) - y * z)
-            second = x.T @ (x * (w * p * (1.0 - p))[:, None])
-            sums += np.concatenate([[loss.sum(), w.sum()], x.T @ (w * (p - y)), second.ravel()])
+            for held in batch.column("block"):
+                *columns, w, y = (x.astype(np.float64) for x in pickle.loads(held.as_py()))
+                x = np.stack([*((c - mean) / by for c, mean, by in zip(columns, *scale)), np.ones(len(w))], axis=1)
+                z = x @ point
+                p = 1.0 / (1.0 + np.exp(-z))
+                loss = w * (np.maximum(z, 0.0) + np.log1p(np.exp(-np.abs(z))) - y * z)
+                second = x.T @ (x * (w * p * (1.0 - p))[:, None])
+                sums += np.concatenate([[loss.sum(), w.sum()], x.T @ (w * (p - y)), second.ravel()])
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(sums))), pa.array(sums)], ["place", "value"])
 
-    rows = frame.select(*names, weight, "label").mapInArrow(run, "place long, value double")
+    rows = blocks.mapInArrow(run, "place long, value double")
     found = {r["place"]: r["value"] for r in rows.groupBy("place").agg(F.sum("value").alias("value")).collect()}
     sums = np.array([found[i] for i in range(2 + k + k * k)])
     return float(sums[0]), float(sums[1]), sums[2 : 2 + k], sums[2 + k :].reshape(k, k)
@@ -152,8 +202,7 @@ def train_lr(frame: DataFrame, settings: TrainingSettings = TrainingSettings())
     """Logistic regression on scaled inputs with balanced class weights."""
     params = fit_scaler(frame)
     scaler = frame.sparkSession.createDataFrame(params.collect(), params.schema)
-    inputs = [name + _SCALED for name in MODEL_INPUTS]
-    coefficients, intercept, passes = newton(apply_scaler(frame, scaler, _SCALED), inputs, "weight", settings.lr_c, settings.lr_iterations)
+    coefficients, intercept, passes = newton(frame, MODEL_INPUTS, "weight", settings.lr_c, settings.lr_iterations, scaler=scaler)
     log.info("logistic regression took %s passes", passes)
     return TrainedModel("lr", scaler, tuple(coefficients), intercept)
 

@@ -128,3 +128,58 @@ def test_buckets_give_a_star_and_the_query_its_columns(spark):
     found = QUERIES["op13_minhash_near_dedup"](spark, SF)
     assert found.columns == ["doc_id", "n_shingles", "component_id", "kept"]
     assert found.count() == table(spark, SF, "documents").count()
+
+
+def by_key(found):
+    return {r["doc_id"]: (r["n_shingles"], r["component"]) for r in found.collect()}
+
+
+def test_families_just_below_the_bound_make_no_row_per_pair(spark, monkeypatch):
+    """Texts of one wording, most of them not similar enough: what is stored on the way grows with the texts, not their pairs."""
+    rng = random.Random(12)
+    base = [f"w{i}" for i in range(600)]
+    rows = []
+    for i in range(240):
+        own = list(base)
+        for at in rng.sample(range(600), 6):
+            own[at] = f"x{i}y{at}"
+        rows.append((i, " ".join(own)))
+    sizes = {}
+    real = minhash.stored
+
+    def stored(df, name):
+        out = real(df, name)
+        sizes[name] = max(sizes.get(name, 0), out.count())
+        return out
+
+    monkeypatch.setattr(minhash, "stored", stored)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert by_key(minhash.components(docs)) == {k: v for (k, _), v in plain(rows).items()}
+    for name in ("minhash-candidates", "minhash-pairs", "minhash-links"):
+        assert sizes.get(name, 0) <= minhash.CENTRES * len(rows), name
+
+
+def test_links_of_a_cell_join_its_parts():
+    sets = pa.array([[1, 2, 3, 4], [2, 3, 4, 5], [1, 2, 3, 4, 5], [9], [2, 3, 4, 5]], pa.list_(pa.int64()))
+    i, j = np.triu_indices(5, 1)
+    joined = minhash._Joined()
+    found = minhash._joining(i, j, np.array([10, 11, 12, 13, 11]), sets, joined, 60)
+    # Rows 1 and 4 are one part already, and the third link of 0, 1 and 2 joins nothing new.
+    assert len(found) == 2 and len({joined.root(p) for p in (10, 11, 12)}) == 1 and joined.root(13) == 13
+    assert minhash._joining(i, j, np.array([10, 11, 12, 13, 11]), sets, joined, 60) == []
+
+
+@pytest.mark.parametrize("name, small", [("CELL", 40), ("CELL_SHINGLES", 2000)])
+def test_cells_of_many_parts_find_the_same(spark, monkeypatch, name, small):
+    monkeypatch.setattr(minhash, name, small)
+    monkeypatch.setattr(minhash, "STARS", 0)
+    rng = random.Random(13)
+    base = [f"w{i}" for i in range(60)]
+    rows = []
+    for i in range(150):
+        own = list(base)
+        for at in rng.sample(range(60), rng.randrange(3)):
+            own[at] = f"x{rng.randrange(40)}"
+        rows.append((i, " ".join(own)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert by_key(minhash.components(docs)) == {k: v for (k, _), v in plain(rows).items()}

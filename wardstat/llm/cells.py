@@ -12,27 +12,39 @@ from pyspark.sql import functions as F
 from wardstat.llm.common import stored
 
 
-def dealt(postings: DataFrame, cell: int, *order: str) -> DataFrame:
-    """``postings`` (a column ``key``, and what its members carry) without lists of one, dealt out by list.
+def cut(postings: DataFrame, cell: int, load: str | None = None, most: int = 0) -> DataFrame:
+    """``postings`` (a column ``key``, and what its members carry) without lists of one, each row once per cell it is in.
 
-    A list of more than ``cell`` members is cut by hash into parts, and each two parts meet in a cell of their own, each
-    part also in one alone. Rows have ``key``, ``low`` and ``high`` (the parts that meet), ``own`` (the row's part), then
-    the other columns. Cells lie together, sorted by ``order`` within.
+    A list of more than ``cell`` members, or with more than ``most`` of ``load`` in all, is cut by hash into parts, and each
+    two parts meet in a cell of their own, each part also in one alone. Rows have ``key``, ``low`` and ``high`` (the parts
+    that meet), ``own`` (the row's part), then the other columns.
     """
     others = [c for c in postings.columns if c != "key"]
-    sizes = stored(postings.groupBy("key").agg(F.count("*").alias("members")).where("members > 1"), "list-sizes")
-    rows = (
+    cells = F.ceil(F.count("*") / cell)
+    if load is not None:
+        cells = F.greatest(cells, F.ceil(F.sum(load) / most))
+    sizes = postings.groupBy("key").agg(F.count("*").alias("members"), cells.alias("parts")).where("members > 1")
+    sizes = stored(sizes.select("key", "parts"), "list-sizes")
+    return (
         postings.join(sizes, "key")
-        .withColumn("parts", F.ceil(F.col("members") / cell))
         .withColumn("own", F.pmod(F.xxhash64(*others), "parts"))
         .select("key", "own", *others, F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("met"))
         .select("key", F.least("own", "met").alias("low"), F.greatest("own", "met").alias("high"), "own", *others)
     )
+
+
+def together(rows: DataFrame, *order: str) -> DataFrame:
+    """The rows of ``cut`` such that cells lie together, sorted by ``order`` within."""
     return rows.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high", *order)
 
 
+def dealt(postings: DataFrame, cell: int, *order: str) -> DataFrame:
+    """``postings`` cut into cells of ``cell`` members of a part, and dealt out by cell."""
+    return together(cut(postings, cell), *order)
+
+
 def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
-    """The rows of ``dealt`` again, such that no cell is cut between two batches, and where its cells begin."""
+    """The rows of ``together`` again, such that no cell is cut between two batches, and where its cells begin."""
     held = None
     for batch in batches:
         if not batch.num_rows:

@@ -6,7 +6,8 @@ bins agree in the share that the sets have in common, however few shingles there
 documents that agree in a band share a bucket. A bucket gives no pairs but a star: its members are candidates with its
 centre, each document with the eight centres that it shares most buckets with. Candidates are confirmed on their full sets.
 Buckets whose members still hang in several groups give further stars about other centres; what is left then is gone
-through pairwise, by sketches within bounded cells.
+through pairwise within bounded cells, by sketches and then by full sets. A cell gives the links that join its members,
+fewer than it has members, and no row for each pair.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardstat.llm import bytescan
-from wardstat.llm.cells import dealt, pairs, whole
+from wardstat.llm.cells import cut, pairs, together, whole
 from wardstat.llm.common import aside, chunks, sql_type, stored, text_of
 from wardstat.llm.components import connected_components
 from wardstat.session import discard
@@ -33,8 +34,9 @@ ERRORS = 5
 #: Times that the buckets give stars, each time about other centres, and the centres that a document is compared with each
 #: time, those first that it shares most buckets with. What these leave is gone through whole.
 STARS, CENTRES = 2, 8
-#: Members of a bucket that are compared in one cell with as many others.
-CELL = 2048
+#: Members of a bucket that are compared in one cell with as many others, and the shingles that these have at most, but for
+#: a larger set.
+CELL, CELL_SHINGLES = 2048, 1 << 21
 #: Documents whose bins a worker holds at once.
 HELD = 2048
 #: Columns that ``keep_one`` works with.
@@ -233,23 +235,111 @@ def _stars(named: DataFrame, mixed: DataFrame) -> DataFrame:
     return best.select(F.least("centre", "node").alias("a"), F.greatest("centre", "node").alias("b")).distinct()
 
 
-def _left_over(named: DataFrame, mixed: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of different parts that share a bucket and fit by size and sketch."""
-    least = least_bins(percent)
+class _Joined:
+    """Which parts links join, found out as they come."""
+
+    def __init__(self) -> None:
+        self.above: dict[int, int] = {}
+
+    def root(self, part: int) -> int:
+        while (up := self.above.get(part, part)) != part:
+            self.above[part] = self.above.get(up, up)
+            part = up
+        return part
+
+    def join(self, a: int, b: int) -> bool:
+        """Whether that was new."""
+        a, b = self.root(a), self.root(b)
+        if a != b:
+            self.above[a] = b
+        return a != b
+
+
+def _joining(i: np.ndarray, j: np.ndarray, part: np.ndarray, sets: pa.ListArray, joined: _Joined, percent: int) -> list[tuple[int, int]]:
+    """Those pairs of rows that have the wanted similarity by full sets and join two parts. ``i`` rises."""
+    if not len(i):
+        return []
+    rows = np.unique(np.concatenate([i, j]))
+    own = sets.take(pa.array(rows))
+    ids = np.unique(own.flatten().to_numpy(), return_inverse=True)[1]
+    size = own.value_lengths().to_numpy().astype(np.int64)
+    first = np.cumsum(size) - size
+    held = np.zeros(int(ids.max()) + 1, bool)
+    out = []
+    starts = np.flatnonzero(np.diff(i, prepend=-1))
+    for start, stop in zip(starts.tolist(), [*starts[1:].tolist(), len(i)]):
+        x = int(np.searchsorted(rows, i[start]))
+        root = joined.root(int(part[i[start]]))
+        others = [y for y in j[start:stop].tolist() if joined.root(int(part[y])) != root]
+        if not others:
+            continue
+        at = np.searchsorted(rows, others)
+        mine = ids[first[x] : first[x] + size[x]]
+        held[mine] = True
+        ends = np.cumsum(size[at])
+        begins = ends - size[at]
+        asked = ids[np.repeat(first[at] - begins, size[at]) + np.arange(ends[-1])]
+        shared = np.add.reduceat(held[asked], begins, dtype=np.int64)
+        held[mine] = False
+        near = 100 * shared >= percent * (size[x] + size[at] - shared)
+        for y in np.array(others)[near].tolist():
+            if joined.join(int(part[i[start]]), int(part[y])):
+                out.append((int(i[start]), y))
+    return out
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, begins in whole(batches):
-            c = {name: rows.column(name).to_numpy() for name in ("low", "high", "own", "node", "part", "n")}
-            tags = _tags(rows.column("sketch"))
-            for i, j in pairs(begins, rows.num_rows, 1 << 16):
-                fit = (c["part"][i] != c["part"][j]) & ((c["low"][i] == c["high"][i]) | (c["own"][i] != c["own"][j]))
-                i, j = i[fit], j[fit]
-                fit = _fits(tags[i], tags[j], c["n"][i], c["n"][j], percent, least)
-                a, b = c["node"][i[fit]], c["node"][j[fit]]
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
 
-    members = named.join(mixed.select("key"), "key").join(nodes.select("node", "n", "sketch"), "node").select("key", "node", "part", "n", "sketch")
-    return dealt(members, CELL).mapInArrow(run, "a long, b long").distinct()
+def _left_over(
+    named: DataFrame, mixed: DataFrame, nodes: DataFrame, docs: DataFrame, text: str, shingle: int, percent: int
+) -> DataFrame:
+    """Links (a, b), by full sets, that join all parts which share a bucket and have a pair of the wanted similarity there.
+
+    Cells are gone through twice: by sketches, for the members that some other one may be similar to whose first shared
+    bucket is this one, then with the full sets of these. A task looks at all their pairs, but for those whose parts its
+    links join already.
+    """
+    least = least_bins(percent)
+    carried = ["key", "low", "high", "own", "node", "part", "n"]
+
+    def plausible(rows: pa.RecordBatch, begins: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        c = {name: rows.column(name).to_numpy() for name in carried}
+        tags = _tags(rows.column("sketch"))
+        for i, j in pairs(begins, rows.num_rows, 1 << 16):
+            fit = (c["part"][i] != c["part"][j]) & ((c["low"][i] == c["high"][i]) | (c["own"][i] != c["own"][j]))
+            i, j = i[fit], j[fit]
+            fit = _fits(tags[i], tags[j], c["n"][i], c["n"][j], percent, least)
+            yield i[fit], j[fit]
+
+    def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, begins in whole(batches):
+            hit = np.zeros(rows.num_rows, bool)
+            key, keys = rows.column("key").to_numpy(), rows.column("keys").flatten().to_numpy().reshape(-1, BANDS)
+            for i, j in plausible(rows, begins):
+                first = (keys[i] == keys[j]).argmax(axis=1)
+                own = keys[i, first] == key[i]
+                hit[i[own]] = hit[j[own]] = True
+            yield rows.select(carried).filter(pa.array(hit))
+
+    def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        joined = _Joined()
+        for rows, begins in whole(batches):
+            node, part = (rows.column(name).to_numpy() for name in ("node", "part"))
+            for i, j in plausible(rows, begins):
+                found = _joining(i, j, part, rows.column("set"), joined, percent)
+                if found:
+                    a, b = node[np.array(found).T]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+
+    # Rows are cut into cells before they get what is wide, so that this is shuffled once.
+    sizes = named.join(mixed.select("key"), "key").join(nodes.select("node", "n"), "node").select("key", "node", "part", "n")
+    met = stored(cut(sizes, CELL, "n", CELL_SHINGLES), "minhash-met")
+    rows = met.join(nodes.select("node", "sketch", "keys"), "node").select(*carried, "sketch", "keys")
+    left = stored(together(rows).mapInArrow(members, ", ".join(f"{c} long" for c in carried)), "minhash-left")
+    wanted = nodes.select("node", "th", "d1", "d2").join(left.select("node").distinct(), "node")
+    sets = stored(_sets(docs, text, shingle, wanted), "minhash-sets")
+    rows = left.join(nodes.select("node", "sketch"), "node").join(sets, "node").select(*carried, "sketch", "set")
+    found = stored(together(rows).mapInArrow(links, "a long, b long").distinct(), "minhash-links")
+    discard(met, left, sets)
+    return found
 
 
 def components(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 5, percent: int = 85) -> DataFrame:
@@ -275,13 +365,16 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle
         named, mixed = _mixed_buckets(postings, labels, turn)
         if mixed.isEmpty():
             break
-        found = _stars(named, mixed) if turn < STARS else _left_over(named, mixed, nodes, percent)
-        if tried is not None:
-            found = found.join(tried, ["a", "b"], "left_anti")
-        found = stored(found, "minhash-candidates")
+        if turn < STARS:
+            found = _stars(named, mixed)
+            if tried is not None:
+                found = found.join(tried, ["a", "b"], "left_anti")
+            found = stored(found, "minhash-candidates")
+            tried = found if tried is None else tried.union(found)
+            links = _confirmed(_plausible(found, nodes, percent), nodes, docs, text, shingle, percent)
+        else:
+            links = _left_over(named, mixed, nodes, docs, text, shingle, percent)
         discard(named, mixed)
-        tried = found if tried is None else tried.union(found)
-        links = _confirmed(_plausible(found, nodes, percent), nodes, docs, text, shingle, percent)
         # Parts that a link joins become one; the rest of the graph need not be gone through again.
         between = links.join(labels.select(F.col("node").alias("a"), F.col("part").alias("x")), "a")
         between = between.join(labels.select(F.col("node").alias("b"), F.col("part").alias("y")), "b").select("x", "y")

@@ -135,3 +135,13 @@ def test_checksums_and_counts():
     heads = np.array([zlib.crc32(b"7:"), 0], np.uint32)
     found = spelling.checksums(data, np.array([0, 6]), np.array([5, 5]), heads)
     assert found.tolist() == [zlib.crc32(b"7:hello"), zlib.crc32(b"world")]
+
+
+def test_no_side_with_rows_per_word_or_list_is_broadcast(spark, noisy):
+    """Files of words are small beside what their lists take in memory, so their size tells Spark nothing."""
+    words = spelling.stored(spelling.vocabulary(noisy, "doc_id", "text", 1), "test-words")
+    forms = spelling.stored(words.selectExpr("word", "substring(word, 2) as form"), "test-forms")
+    for df in (spelling.near_words(words), spelling.roots(forms), spelling.variants(noisy, least_count=1)):
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" not in plan and "BroadcastExchange" not in plan

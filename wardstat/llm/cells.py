@@ -18,6 +18,8 @@ def cut(postings: DataFrame, cell: int, load: str | None = None, most: int = 0)
     A list of more than ``cell`` members, or with more than ``most`` of ``load`` in all, is cut by hash into parts, and each
     two parts meet in a cell of their own, each part also in one alone. Rows have ``key``, ``low`` and ``high`` (the parts
     that meet), ``own`` (the row's part), then the other columns.
+
+    Spark sizes postings by the rows that they are made from, of which each may give dozens: the join is told to shuffle.
     """
     others = [c for c in postings.columns if c != "key"]
     cells = F.ceil(F.count("*") / cell)
@@ -26,7 +28,7 @@ def cut(postings: DataFrame, cell: int, load: str | None = None, most: int = 0)
     sizes = postings.groupBy("key").agg(F.count("*").alias("members"), cells.alias("parts")).where("members > 1")
     sizes = stored(sizes.select("key", "parts"), "list-sizes")
     return (
-        postings.join(sizes, "key")
+        postings.hint("merge").join(sizes, "key")
         .withColumn("own", F.pmod(F.xxhash64(*others), "parts"))
         .select("key", "own", *others, F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("met"))
         .select("key", F.least("own", "met").alias("low"), F.greatest("own", "met").alias("high"), "own", *others)

@@ -252,11 +252,14 @@ def near_words(words: DataFrame) -> DataFrame:
 
 
 def roots(forms: DataFrame) -> DataFrame:
-    """(word, root) of the words that have a form: the last one when forms are followed. Each step doubles its length."""
+    """(word, root) of the words that have a form: the last one when forms are followed. Each step doubles its length.
+
+    Packed files tell little of the memory that a row per word takes, so these joins are told to shuffle.
+    """
     held = stored(forms.select("word", F.col("form").alias("root")), "spelling-roots")
     while True:
         further = held.select(F.col("word").alias("root"), F.col("root").alias("next"))
-        held = stored(held.join(further, "root", "left").select("word", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("moved")), "spelling-roots")
+        held = stored(held.join(further.hint("merge"), "root", "left").select("word", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("moved")), "spelling-roots")
         if not held.where("moved").take(1):
             return held.select("word", "root")
         held = held.drop("moved")
@@ -276,7 +279,7 @@ def variants(docs: DataFrame, key: str = "doc_id", text: str = "text", least_cou
     best = F.min_by(F.struct("near", "near_n"), F.struct(-F.col("near_n"), F.col("near"))).alias("best")
     found = near.groupBy("word").agg(F.count("*").alias("n_near"), best)
     is_form = F.col("best.near_n") >= factor * F.col("n")
-    joined = words.join(found, "word", "left").select(
+    joined = words.join(found.hint("merge"), "word", "left").select(
         "word",
         F.when(is_form, F.col("best.near")).alias("form"),
         "n",
@@ -285,4 +288,4 @@ def variants(docs: DataFrame, key: str = "doc_id", text: str = "text", least_cou
     )
     joined = stored(joined, "spelling-forms")
     ends = roots(joined.where("form is not null"))
-    return joined.join(ends, "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
+    return joined.join(ends.hint("merge"), "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")

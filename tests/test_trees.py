@@ -307,3 +307,72 @@ def test_a_round_reads_blocks_that_are_held_for_some_rounds(frame, cuts, monkeyp
     assert changes == [True] * 3
     block = lambda n: grown.Block(np.zeros((n, 2), np.uint8), *(np.arange(n) * 1.0 for _ in range(4)))
     assert [len(b.label) for b in grown._merged(map(block, (5, 0, 90, 70, 1)), 70)] == [70, 70, 26]
+
+
+def test_exponential_is_near_numpys():
+    x = np.concatenate([np.linspace(-750, 750, 30_001), np.random.default_rng(3).normal(0, 2, 30_000), [0.0, -0.0, 1e-300]])
+    near = np.exp(np.clip(x, -700, 700))
+    assert (np.abs(grown.exp(x) - near) <= 4e-16 * near).all()
+
+
+def test_passes_of_the_jvm_give_the_numbers_of_numpy(spark, cuts, frame, monkeypatch):
+    """Inputs of few and of many values, weights and labels that are not whole, and no Python worker in a pass."""
+    frame = frame.withColumn("w", F.col("w") + F.col("a") / 7).withColumn("d", F.col("id").cast("double")).repartition(5)
+    wide = grown.bin_cuts(frame, INPUTS, {}, 2000)
+    assert len(wide[3]) > 256
+    odd = frame.withColumn("label", F.col("label") * 0.75 + 0.125)
+    boosted = [grown.BoostSettings(rounds=7, depth=4), grown.BoostSettings(rounds=3, depth=2, rows=1.0, columns=1.0, step=1.0)]
+    drawn = [grown.ForestSettings(trees=5, depth=5, least_leaf=1), grown.ForestSettings(trees=2, depth=3, inputs=4, bootstrap=False)]
+    runs = [(grown.boost, s, rows) for s in boosted for rows in (frame, odd)] + [(grown.forest, s, frame) for s in drawn]
+    for own in (wide, [c[:3] for c in wide]):
+        for grow, s, rows in runs:
+            here = grow(rows, INPUTS, "w", own, s)
+            with monkeypatch.context() as m:
+                m.setattr(grown, "BOOSTED_ROWS", 250)
+                m.setattr(grown, "FOREST_ROWS", 250)
+                m.setattr(grown, "_unpacked", None)
+                m.setattr(grown, "_Here", None)
+                there = grow(rows, INPUTS, "w", own, s)
+            assert all(np.array_equal(x, y) for x, y in zip(here, there))
+            assert (here.feature >= 0).any()
+
+
+def test_blocks_are_held_in_the_jvm(spark, frame, cuts, monkeypatch):
+    """A pass starts no Python worker: blocks lie on the executors as objects of the JVM, and so do the drawn rows."""
+    kinds = set()
+    plain = grown._Spread.summed
+
+    def summed(self, sums, shape):
+        found = plain(self, sums, shape)
+        kinds.update(rdd._jrdd.first().getClass().getName() for rdd in (self.rows, self.read))
+        return found
+
+    monkeypatch.setattr(grown._Spread, "summed", summed)
+    monkeypatch.setattr(grown, "BOOSTED_ROWS", 300)
+    grown.boost(frame.repartition(3), INPUTS, "w", cuts, grown.BoostSettings(rounds=2, depth=2))
+    assert kinds == {"wardstat.trees.Passes$Block", "wardstat.trees.Passes$Drawn"}
+
+
+def test_scores_are_those_of_the_splits():
+    """Leaves at all levels, values at thresholds, beyond them and no numbers; more thresholds than a byte counts."""
+    rng = np.random.default_rng(9)
+    for depth, values in ((0, 5), (1, 5), (4, 5), (6, 2000)):
+        trees = grown.no_trees(9, depth)
+        for t in range(9):
+            trees.feature[t, 0] = -1
+            for node in range(2**depth - 1):
+                if trees.feature[t, node] == -1 and rng.random() < 0.8:
+                    trees.feature[t, node], trees.threshold[t, node] = rng.integers(0, 3), rng.integers(0, values) / 4
+                    trees.feature[t, 2 * node + 1 : 2 * node + 3] = -1
+            trees.value[t] = rng.normal(size=trees.value.shape[1])
+        x = rng.integers(-1, values + 1, (9000, 3)) / 4
+        x[::50, 0], x[7::50, 1] = np.nan, np.inf
+        want = np.zeros(len(x))
+        for i in range(0, len(x), 3):
+            for t in range(9):
+                node = 0
+                while trees.feature[t, node] >= 0:
+                    node = 2 * node + (2 if x[i, trees.feature[t, node]] >= trees.threshold[t, node] else 1)
+                want[i] += trees.value[t, node]
+        assert np.array_equal(grown.probabilities(trees, x, False)[::3], want[::3] / 9)
+        assert np.allclose(grown.probabilities(trees, x, True)[::3], 1 / (1 + np.exp(-want[::3])), atol=0, rtol=1e-12)

@@ -7,13 +7,14 @@ sums, which the driver adds up: a pass reads only the rows that its round has dr
 and leaves out the larger child of each node, which has what its sibling lacks. Sums are of whole numbers, gradients
 included, and draws come from a hash of the row's key, so a model depends on its rows and settings alone: not on
 partitions, their order or retries.
+
+Rows of one partition are summed with numpy in its task. Of more, the passes run in the executors' JVM, where the blocks
+lie as they are, without a Python worker (``Passes.java``): each pass has both forms, and they give the same numbers.
 """
 
 from __future__ import annotations
 
-import pickle
 import sys
-import zlib
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -21,11 +22,14 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from py4j.java_gateway import JavaObject
 from pyspark import RDD, StorageLevel, cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from wardstat.operators.jvm import passes, sent, taken
 from wardstat.session import use_checkpoints
 
 # Code that runs in Python workers is shipped with the job: executors need no copy of the package.
@@ -83,18 +87,6 @@ def no_trees(n: int, depth: int) -> Trees:
     return Trees(np.full(shape, -2, np.int16), floats[0], floats[1], np.zeros(shape, np.int64), *floats[2:])
 
 
-def leaves(trees: Trees, x: np.ndarray) -> np.ndarray:
-    """(row, tree): the leaf that each row of ``x`` (row, input) reaches."""
-    place = np.arange(len(trees.feature))
-    node = np.zeros((len(x), len(trees.feature)), np.int64)
-    row = np.arange(len(x))[:, None]
-    for _ in range(trees.depth):
-        feature = trees.feature[place, node]
-        right = x[row, np.maximum(feature, 0)] >= trees.threshold[place, node]
-        node = np.where(feature >= 0, 2 * node + 1 + right, node)
-    return node
-
-
 class Block(NamedTuple):
     """Rows. For boosted trees their bins make way for ``codes`` (row, bundle), which say the same in less room."""
 
@@ -143,10 +135,13 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def _salt(seed: int, number: int) -> np.ndarray:
+    return _mixed(np.array([seed * 1_000_003 + number + 1], np.uint64))
+
+
 def draws(key: np.ndarray, seed: int, number: int) -> np.ndarray:
     """An even number from 0 to below 1 for each key, another one for each ``number``."""
-    salt = _mixed(np.array([seed * 1_000_003 + number + 1], np.uint64))
-    return (_mixed(key ^ salt) >> np.uint64(11)) * 2.0**-53
+    return (_mixed(key ^ _salt(seed, number)) >> np.uint64(11)) * 2.0**-53
 
 
 def chosen_inputs(seed: int, number: int, n: int, wanted: int) -> np.ndarray:
@@ -162,10 +157,19 @@ def bin_cuts(frame: DataFrame, inputs: Sequence[str], coarse: dict[str, int], ma
     fine = [name for name in inputs if name not in coarse]
     found: dict[str, np.ndarray] = {}
     if fine:
-        cells = F.explode(F.array(*[F.struct(F.lit(name).alias("name"), F.col(name).cast("double").alias("x")) for name in fine]))
-        rows = frame.select(cells.alias("c")).select("c.*").distinct().collect()
-        for name in fine:
-            found[name] = np.unique([r["x"] for r in rows if r["name"] == name])[1:]
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            """The values of a task's rows, each once: a row per value leaves it, and not one per row and input."""
+            seen = [pa.array([], pa.float64())] * len(fine)
+            for batch in batches:
+                seen = [pc.unique(pa.concat_arrays([own, pc.unique(x).drop_null()])) for own, x in zip(seen, batch.columns)]
+            places = np.repeat(np.arange(len(fine)), [len(own) for own in seen])
+            yield pa.RecordBatch.from_arrays([pa.array(places), pa.concat_arrays(seen)], ["place", "x"])
+
+        values = frame.select(*[F.col(name).cast("double").alias(name) for name in fine])
+        rows = values.mapInArrow(run, "place long, x double").distinct().collect()
+        for i, name in enumerate(fine):
+            found[name] = np.unique([r["x"] for r in rows if r["place"] == i])[1:]
     if coarse:
         shares = [i / max_bins for i in range(1, max_bins)]
         quantiles = [F.percentile_approx(F.col(name).cast("double"), shares, 100 * max_bins).alias(name) for name in coarse]
@@ -174,127 +178,162 @@ def bin_cuts(frame: DataFrame, inputs: Sequence[str], coarse: dict[str, int], ma
     return [found[name] for name in inputs]
 
 
-def _bins(x: np.ndarray, cuts: list[np.ndarray]) -> np.ndarray:
+def _bins(batch: pa.RecordBatch, inputs: Sequence[str], cuts: list[np.ndarray]) -> np.ndarray:
     kind = np.uint8 if max((len(c) for c in cuts), default=0) < 256 else np.uint16
-    return np.stack([np.searchsorted(c, x[:, i], side="right") for i, c in enumerate(cuts)], axis=1).astype(kind)
+    out = np.empty((batch.num_rows, len(inputs)), kind)
+    for i, (column, c) in enumerate(zip(_columns(batch, inputs), cuts)):
+        x = column.to_numpy(zero_copy_only=False)
+        if x.dtype.kind == "i" and len(x) and int(x.max()) - int(x.min()) < len(x):
+            # Fewer whole numbers than rows: each is looked for once.
+            low = x.min()
+            out[:, i] = np.searchsorted(c, np.arange(low, int(x.max()) + 1), side="right").take(x - low)
+        else:
+            out[:, i] = np.searchsorted(c, column.cast(pa.float64()).to_numpy(), side="right")
+    return out
 
 
-def _values(batch: pa.RecordBatch, inputs: Sequence[str]) -> np.ndarray:
+def _columns(batch: pa.RecordBatch, inputs: Sequence[str]) -> list[pa.Array]:
     for name in inputs:
         if batch.column(name).null_count:
             raise ValueError(f"{name} is null in a row for a tree model")
-    return np.stack([batch.column(name).cast(pa.float64()).to_numpy() for name in inputs], axis=1)
+    return [batch.column(name) for name in inputs]
+
+
+def _values(batch: pa.RecordBatch, inputs: Sequence[str]) -> np.ndarray:
+    return np.stack([column.cast(pa.float64()).to_numpy() for column in _columns(batch, inputs)], axis=1)
+
+
+class Pass(NamedTuple):
+    """What is done to blocks: in numpy, and the name and the numbers that the pass of the JVM gets."""
 
+    run: Callable
+    name: str
+    sent: Callable[[], bytes]
 
-def blocks(frame: DataFrame, inputs: Sequence[str], weight: str, cuts: list[np.ndarray]) -> RDD:
-    """Blocks of the frame's rows (inputs, label, ``weight``, _key), in memory."""
+    def __call__(self, *given):
+        return self.run(*given)
+
+
+def blocks(frame: DataFrame, inputs: Sequence[str], weight: str, cuts: list[np.ndarray]) -> DataFrame:
+    """Blocks of the frame's rows (inputs, label, ``weight``, _key): their bins, row by row, and the others as bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
 
         def block() -> pa.RecordBatch:
-            parts = [np.concatenate(x) for x in zip(*held)]
-            value = (np.asfortranarray(parts[0]), *parts[1:], np.zeros(len(parts[1])))
-            return pa.RecordBatch.from_arrays([pa.array([pickle.dumps(value)], pa.binary())], ["block"])
+            bins, label, own, key = (np.concatenate(x) for x in zip(*held))
+            whole = label.astype(np.int8)
+            label = whole if np.array_equal(whole, label) else label
+            columns = [pa.array([x.tobytes()], pa.binary()) for x in (bins, label, own, key)]
+            return pa.RecordBatch.from_arrays([pa.array([bins.dtype == np.uint8]), *columns], ["small", "bins", "label", "weight", "key"])
 
         for batch in batches:
             key = batch.column("_key").to_numpy().view(np.uint64)
             label, own = (batch.column(c).cast(pa.float64()).to_numpy() for c in ("label", weight))
-            held.append((_bins(_values(batch, inputs), cuts), label, own, key))
+            held.append((_bins(batch, inputs, cuts), label, own, key))
             if sum(len(x[1]) for x in held) >= BLOCK_ROWS - len(key):
                 yield block()
                 held = []
         if held:
             yield block()
 
-    rows = frame.select(*inputs, "label", weight, "_key").mapInArrow(run, "block binary")
-    return rows.rdd.map(lambda row: Block(*pickle.loads(row[0])))
+    packed = "small boolean, bins binary, label binary, weight binary, key binary"
+    return frame.select(*inputs, "label", weight, "_key").mapInArrow(run, packed)
+
+
+def _unpacked(small: bool, bins: bytes, label: bytes, weight: bytes, key: bytes) -> Block:
+    own = np.frombuffer(weight)
+    rows = np.frombuffer(bins, np.uint8 if small else np.uint16).reshape(len(own), -1)
+    of = np.frombuffer(label, np.int8 if len(label) == len(own) else np.float64).astype(np.float64)
+    return Block(np.asfortranarray(rows), of, own, np.frombuffer(key, np.uint64), np.zeros(len(own)))
 
 
 class _Spread:
-    """Blocks on the executors: a pass is a job, and what the blocks sum is added up."""
+    """Blocks in the executors' JVM: a pass is a job, and what the blocks sum is added up."""
 
     def __init__(self, rows: RDD):
         self.rows = self.read = rows.persist(HELD)
         self.older: list[RDD] = []
 
-    def summed(self, sums: Callable[[Iterable[Drawn]], np.ndarray], shape: tuple) -> np.ndarray:
-        parts = self.read.mapPartitions(lambda own: [sums(own)])
-        if self.rows.getNumPartitions() * 8 * np.prod(shape) <= SUMMED_BYTES:
-            sent = parts.map(lambda x: zlib.compress(x.tobytes(), 1)).collect()
-            out = np.zeros(shape, np.int64)
-            for x in sent:
-                out += np.frombuffer(zlib.decompress(x), np.int64).reshape(shape)
-        else:
-            out = parts.treeReduce(np.add, depth=3)
+    def made(self, done: Pass, *more) -> JavaObject:
+        return passes(self.rows.ctx).make(done.name, done.sent() + sent(*more))
+
+    def summed(self, sums: Pass, shape: tuple) -> np.ndarray:
+        parts, add = self.read._jrdd.mapPartitions(self.made(sums)), self.made(ADD)
+        few = self.rows.getNumPartitions() * 8 * np.prod(shape) <= SUMMED_BYTES
+        found = parts.reduce(add) if few else parts.treeReduce(add, 3)
         self.forget()
-        return out
+        return np.frombuffer(taken(self.rows.ctx, found), np.int64).reshape(shape)
 
-    def chosen(self, sums: Callable[[Block], np.ndarray], shape: tuple, choose: Callable[[int, np.ndarray], tuple]) -> Iterable[tuple]:
+    def chosen(self, sums: Pass, shape: tuple, choose: Pass) -> Iterable[tuple]:
         """What ``choose`` makes of slices of the sums, each given with its first place: it runs where they are added up."""
         n, slices = shape[0], min(shape[0], max(1, self.rows.ctx.defaultParallelism))
         ends = [n * i // slices for i in range(slices + 1)]
-
-        def part(own: Iterator[Block]) -> Iterator[tuple[int, np.ndarray]]:
-            whole = reduce(np.add, map(sums, own), np.zeros(shape, np.int64))
-            for i in range(slices):
-                yield i, whole[ends[i] : ends[i + 1]]
-
-        added = self.read.mapPartitions(part).reduceByKey(np.add, slices)
-        out = added.map(lambda row: (row[0], choose(ends[row[0]], row[1]))).collect()
-        return [found for _, found in sorted(out, key=lambda row: row[0])]
+        added = self.read._jrdd.mapPartitionsToPair(self.made(sums, ends)).reduceByKey(self.made(ADD), slices)
+        found = np.frombuffer(taken(self.rows.ctx, added.map(self.made(choose, ends)).collect()), np.int64).reshape(-1, 13)
+        x = found[np.argsort(found[:, 0])]
+        y = x.view(np.float64)
+        return [(x[:, 1], x[:, 2] > 0, y[:, 3], x[:, 4], y[:, 5:7], x[:, 7], y[:, 8:10], x[:, 10], y[:, 11:])]
 
     def forget(self) -> None:
         for rows in self.older:  # the job has made the newer blocks from them
             rows.unpersist()
         self.older = []
 
-    def changed(self, change: Callable[[Block], Block], cut_lineage: bool) -> None:
+    def changed(self, change: Pass, cut_lineage: bool) -> None:
         self.older.append(self.rows)
-        self.rows = self.rows.map(change).persist(HELD)
+        self.rows = self.mapped(change)
         if cut_lineage:
             self.rows.checkpoint()
 
-    def drawn(self, draw: Callable[[Block], Drawn]) -> None:
+    def drawn(self, draw: Pass) -> None:
         """What passes read from now on."""
         if self.read is not self.rows:
             self.older.append(self.read)
-        self.read = self.rows.map(draw).persist(HELD)
+        self.read = self.mapped(draw)
+
+    def mapped(self, done: Pass) -> RDD:
+        return RDD(self.rows._jrdd.mapPartitions(self.made(done)), self.rows.ctx).persist(HELD)
 
     def release(self) -> None:
         for rows in (*self.older, self.read, self.rows):
             rows.unpersist()
 
 
+#: Sums of two partitions as one.
+ADD = Pass(np.add, "add", sent)
+
+
 class _Here:
     """The blocks of one partition, in the task that has them."""
 
     def __init__(self, rows: list[Block]):
         self.rows = self.read = rows
 
-    def summed(self, sums: Callable[[Iterable[Drawn]], np.ndarray], shape: tuple) -> np.ndarray:
+    def summed(self, sums: Pass, shape: tuple) -> np.ndarray:
         return sums(self.read)
 
-    def chosen(self, sums: Callable[[Block], np.ndarray], shape: tuple, choose: Callable[[int, np.ndarray], tuple]) -> Iterable[tuple]:
+    def chosen(self, sums: Pass, shape: tuple, choose: Pass) -> Iterable[tuple]:
         return [choose(0, reduce(np.add, map(sums, self.read), np.zeros(shape, np.int64)))]
 
-    def changed(self, change: Callable[[Block], Block], cut_lineage: bool) -> None:
+    def changed(self, change: Pass, cut_lineage: bool) -> None:
         self.rows = [change(block) for block in self.rows]
 
-    def drawn(self, draw: Callable[[Block], Drawn]) -> None:
+    def drawn(self, draw: Pass) -> None:
         self.read = [draw(block) for block in self.rows]
 
 
-def _grown(rows: RDD, grow: Callable[[_Spread | _Here], Trees], most: int, size: int) -> Trees:
-    """The trees that ``grow`` makes of blocks of ``size`` rows, in ``most`` partitions at most and no more than run at once. In one
-    partition there is nothing to add up: it grows where the blocks are, in one job instead of one for each pass. The trees
-    are the same."""
-    most = min(max(1, most), rows.getNumPartitions(), rows.ctx.defaultParallelism)
-    rows = rows.coalesce(most).mapPartitions(lambda own: _merged(own, size))
-    if rows.getNumPartitions() == 1:
-        found = rows.mapPartitions(lambda own: [tuple(grow(_Here(list(own))))]).collect()
-        return Trees(*found[0])
-    held = _Spread(rows)
+def _grown(rows: DataFrame, grow: Callable[[_Spread | _Here], Trees], most: int, size: int) -> Trees:
+    """The trees that ``grow`` makes of blocks, in ``most`` partitions at most and no more than run at once. In one partition
+    there is nothing to add up: it grows where the blocks are, of ``size`` rows, in one job instead of one for each pass. The
+    trees are the same."""
+    context, packed = rows.sparkSession.sparkContext, rows.rdd
+    most = min(max(1, most), packed.getNumPartitions(), context.defaultParallelism)
+    if most == 1:
+        whole = packed.coalesce(1).mapPartitions(lambda own: [tuple(grow(_Here(list(_merged((_unpacked(*x) for x in own), size)))))])
+        return Trees(*whole.collect()[0])
+    read = passes(context).make("read", b"")
+    held = _Spread(RDD(rows._jdf.toJavaRDD().map(read).coalesce(most), context))
     try:
         return grow(held)
     finally:
@@ -393,6 +432,15 @@ def bundles(layout: Layout) -> list[Bundle]:
     return out
 
 
+def _numbers(packs: list[Bundle]) -> tuple[Sequence[int], ...]:
+    """Per input its bundle, its step in the bundle's codes, its bins and the first one's place; then the codes of each bundle."""
+    out = np.zeros((4, sum(len(b.inputs) for b in packs)), np.int64)
+    for i, b in enumerate(packs):
+        bins = np.array([*b.steps[1:], len(b.marks)]) // b.steps
+        out[:, b.inputs] = [np.full(len(bins), i), b.steps, bins, b.places[np.cumsum(bins) - bins]]
+    return *out, [len(b.marks) for b in packs]
+
+
 # Boosted trees.
 
 
@@ -408,9 +456,23 @@ class BoostSettings:
     seed: int = 42
 
 
+def exp(x: np.ndarray) -> np.ndarray:
+    """The exponential, by steps that every machine rounds alike: numpy's and the JVM's own differ in the last bit."""
+    x = np.clip(x, -700.0, 700.0)
+    k = np.floor(x * 1.44269504088896338700e00 + 0.5)
+    hi, lo = x - k * 6.93147180369123816490e-01, k * 1.90821492927058770002e-10
+    r = hi - lo
+    t = r * r
+    c = r - t * (
+        1.66666666666666019037e-01
+        + t * (-2.77777777770155933842e-03 + t * (6.61375632143793436117e-05 + t * (-1.65339022054652515390e-06 + t * 4.13813679705723846039e-08)))
+    )
+    return np.ldexp(1.0 - ((lo - (r * c) / (2.0 - c)) - hi), k.astype(np.int64))
+
+
 def gradients(label: np.ndarray, weight: np.ndarray, margin: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """First and second derivative of the weighted log loss by the margin, as whole multiples of 2**-bits."""
-    p = 1.0 / (1.0 + np.exp(-margin))
+    p = 1.0 / (1.0 + exp(-margin))
     return np.rint(weight * (p - label) * 2.0**bits), np.rint(np.maximum(weight * p * (1 - p), 1e-16) * 2.0**bits)
 
 
@@ -439,13 +501,13 @@ def boost(frame: DataFrame, inputs: Sequence[str], weight: str, cuts: list[np.nd
     def grow(held: _Spread | _Here) -> Trees:
         out = no_trees(s.rounds, s.depth)
         cut = np.zeros(out.feature.shape, np.int64)
-        held.changed(_with_codes(packs), False)
+        held.changed(_with_codes(packs), True)  # what made the blocks would be sent with each task
         since = 0
         for t in range(s.rounds):
             newer = _with_trees(packs, out.feature[since:t].copy(), cut[since:t].copy(), out.value[since:t].copy(), s.depth)
             if t - since == HELD_ROUNDS:
                 held.changed(newer, t // CHECKPOINT_ROUNDS > since // CHECKPOINT_ROUNDS)
-                since, newer = t, None
+                since, newer = t, _with_trees(packs, out.feature[t:t], cut[t:t], out.value[t:t], s.depth)
             held.drawn(_draw(s, t, bits, newer))
             columns = chosen_inputs(s.seed, 2 * t, n, wanted)
             out.feature[t, 0] = -1
@@ -547,7 +609,7 @@ def _walked(codes: np.ndarray, packs: list[Bundle], feature: np.ndarray, cut: np
     return _walker(packs, feature, cut, levels)(codes)
 
 
-def _with_trees(packs: list[Bundle], feature: np.ndarray, cut: np.ndarray, value: np.ndarray, depth: int) -> Callable[[Block], Block]:
+def _with_trees(packs: list[Bundle], feature: np.ndarray, cut: np.ndarray, value: np.ndarray, depth: int) -> Pass:
     """Blocks with the margins of some trees more, added one after the other."""
     walkers: list[Callable[[np.ndarray], np.ndarray]] = []
 
@@ -559,10 +621,10 @@ def _with_trees(packs: list[Bundle], feature: np.ndarray, cut: np.ndarray, value
             margin = margin + v.take(walk(block.codes))
         return block._replace(margin=margin)
 
-    return run
+    return Pass(run, "trees", lambda: sent(*_numbers(packs), [depth], feature, cut, value))
 
 
-def _with_codes(packs: list[Bundle]) -> Callable[[Block], Block]:
+def _with_codes(packs: list[Bundle]) -> Pass:
     def run(block: Block) -> Block:
         kind = np.min_scalar_type(max(len(b.marks) for b in packs) - 1)
         codes = [sum((block.bins[:, f].astype(np.int64) * step for f, step in zip(b.inputs, b.steps)), np.int64(0)).astype(kind) for b in packs]
@@ -571,20 +633,19 @@ def _with_codes(packs: list[Bundle]) -> Callable[[Block], Block]:
             bins=block.bins[:, :0], codes=np.stack(codes).T, label=label if np.array_equal(label, block.label) else block.label
         )
 
-    return run
+    return Pass(run, "codes", lambda: sent(*_numbers(packs)))
 
 
-def _draw(s: BoostSettings, t: int, bits: int, newer: Callable[[Block], Block] | None = None) -> Callable[[Block], Drawn]:
+def _draw(s: BoostSettings, t: int, bits: int, newer: Pass) -> Pass:
     def run(block: Block) -> Drawn:
-        if newer is not None:
-            block = newer(block)
+        block = newer(block)
         if s.rows >= 1:
             return Drawn(block.codes, *gradients(block.label, block.weight, block.margin, bits))
         own = np.flatnonzero(draws(block.key, s.seed, 2 * t + 1) < s.rows)
         codes = np.stack([c.take(own) for c in block.codes.T]).T
         return Drawn(codes, *gradients(block.label.take(own), block.weight.take(own), block.margin.take(own), bits))
 
-    return run
+    return Pass(run, "draw", lambda: newer.sent() + sent(_salt(s.seed, 2 * t + 1), [s.rows, 2.0**bits]))
 
 
 def _boost_sums(level: int, nodes: np.ndarray, columns: np.ndarray, layout: Layout, packs: list[Bundle], feature: np.ndarray, cut: np.ndarray):
@@ -623,7 +684,7 @@ def _boost_sums(level: int, nodes: np.ndarray, columns: np.ndarray, layout: Layo
         out[:, ~wanted] = 0
         return out
 
-    return run
+    return Pass(run, "boost", lambda: sent(*_numbers(packs), [level, m, size], slot, columns, feature, cut))
 
 
 def _boost_splits(out: Trees, cut: np.ndarray, t: int, level: int, sums: np.ndarray, layout: Layout, columns: np.ndarray, bits: int, s: BoostSettings) -> None:
@@ -757,7 +818,16 @@ def _forest_sums(s: ForestSettings, level: int, nodes: np.ndarray, asked: np.nda
             out[low:high, 2] = (counts & ((1 << shift) - 1)).sum(axis=1)
         return out.reshape(len(nodes), size, 3)
 
-    return run
+    def numbers() -> bytes:
+        slot = np.full((len(trees), 2 ** (level + 1)), -1)
+        slot[np.searchsorted(trees, nodes[:, 0]), nodes[:, 1]] = np.arange(len(nodes))
+        salts = np.concatenate([_salt(s.seed, t) for t in trees.tolist()]).view(np.int64)
+        above = slice(max(1, 2**level - 1))
+        return sent(
+            [level, len(nodes), size, asked.shape[1], s.bootstrap], first, POISSON, salts, slot, asked, feature[:, above], cut[:, above]
+        )
+
+    return Pass(run, "forest", numbers)
 
 
 def _forest_choice(asked: np.ndarray, layout: Layout, class_weight: np.ndarray, s: ForestSettings):
@@ -777,7 +847,7 @@ def _forest_choice(asked: np.ndarray, layout: Layout, class_weight: np.ndarray,
         seen = layout.first[asked[start : start + len(sums), 0]]
         return best, fit[i, best], gain[i, best], all_rows[i, seen], both[i, seen], all_rows[i, best], both[i, best], rows[i, best], left[i, best]
 
-    return run
+    return Pass(run, "choice", lambda: sent(layout.first, layout.first[asked[:, 0]], [s.least_leaf], class_weight))
 
 
 def _forest_splits(out: Trees, cut: np.ndarray, level: int, nodes: np.ndarray, found: list[np.ndarray], layout: Layout, s: ForestSettings) -> None:
@@ -826,19 +896,62 @@ def from_ledger(table: DataFrame, inputs: Sequence[str]) -> Trees:
     return out
 
 
-#: Rows and trees whose ways down are followed at once.
-SCORED_CELLS = 1 << 19
+#: Rows whose ways down a tree are followed at once: their ranks fit a core's cache.
+SCORED_ROWS = 1 << 13
+
+
+def scorer(trees: Trees, boosted: bool) -> Callable[[np.ndarray], np.ndarray]:
+    """What gives rows (row, input) the probability of class 1: from the sum of the leaves' margins, or the mean of the
+    leaves' shares, added tree by tree.
+
+    A value is as good as its rank among the thresholds of its input. Leaves go on to the last level, always to the left.
+    """
+    depth, inner = trees.depth, 2**trees.depth - 1
+    feature, value = trees.feature.astype(np.int64), trees.value.copy()
+    for node in range(inner):
+        leaf = feature[:, node] < 0
+        for child in (2 * node + 1, 2 * node + 2):
+            feature[leaf, child], value[leaf, child] = -1, value[leaf, node]
+    feature, bottom = feature[:, :inner], np.ascontiguousarray(value[:, inner:])
+    used = np.unique(feature[feature >= 0]).tolist()
+    edges = [np.unique(trees.threshold[:, :inner][feature == f]) for f in used]
+    kind = np.uint8 if max(map(len, edges), default=0) < 256 else np.uint16
+    highest = np.full(feature.shape, np.iinfo(kind).max, kind)
+    place = np.zeros(feature.shape, np.int64)
+    for i, (f, own) in enumerate(zip(used, edges)):
+        here = feature == f
+        highest[here] = np.searchsorted(own, trees.threshold[:, :inner][here])
+        place[here] = i
+
+    def run(x: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(x))
+        for start in range(0, len(x), SCORED_ROWS):
+            rows = x[start : start + SCORED_ROWS]
+            ranks = np.zeros((max(1, len(used)), len(rows)), kind)
+            for i, (f, own) in enumerate(zip(used, edges)):
+                # What is no number is not above any threshold.
+                ranks[i] = np.where(np.isnan(rows[:, f]), 0, np.searchsorted(own, rows[:, f], side="right"))
+            flat, row, first = ranks.ravel(), np.arange(len(rows)), place * len(rows)
+            total = out[start : start + SCORED_ROWS]
+            for begin, most, leaf in zip(first, highest, bottom):
+                node = np.zeros(len(rows), np.int64)
+                for _ in range(depth):
+                    at = begin.take(node)
+                    at += row
+                    right = flat.take(at) > most.take(node)
+                    node <<= 1
+                    node += 1
+                    node += right
+                node -= inner
+                total += leaf.take(node)
+        return 1.0 / (1.0 + np.exp(-out)) if boosted else out / len(feature)
+
+    return run
 
 
 def probabilities(trees: Trees, x: np.ndarray, boosted: bool) -> np.ndarray:
-    """The probability of class 1: from the sum of the leaves' margins, or the mean of the leaves' shares."""
-    out = np.zeros(len(x))
-    step = max(1, SCORED_CELLS // len(trees.feature))
-    place = np.arange(len(trees.feature))
-    for start in range(0, len(x), step):
-        own = x[start : start + step]
-        out[start : start + step] = trees.value[place, leaves(trees, own)].sum(axis=1)
-    return 1.0 / (1.0 + np.exp(-out)) if boosted else out / len(trees.feature)
+    """The probability of class 1 of each row of ``x`` (row, input)."""
+    return scorer(trees, boosted)(x)
 
 
 def with_tree_probability(df: DataFrame, trees: Trees, inputs: Sequence[str], name: str, boosted: bool) -> DataFrame:
@@ -846,9 +959,9 @@ def with_tree_probability(df: DataFrame, trees: Trees, inputs: Sequence[str], na
     held = df.sparkSession.sparkContext.broadcast(tuple(trees))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Trees(*held.value)
+        score = scorer(Trees(*held.value), boosted)
         for batch in batches:
-            p = probabilities(own, _values(batch, inputs), boosted)
+            p = score(_values(batch, inputs))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(p)], [*batch.schema.names, name])
 
     return df.mapInArrow(run, StructType([*df.schema.fields, StructField(name, DoubleType())]))

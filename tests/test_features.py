@@ -169,3 +169,18 @@ def test_rounding_is_exact_half_up(spark):
             exact = (Decimal(100 * r["s"]) / Decimal(r["n"])).quantize(Decimal("0.01"), ROUND_HALF_UP)
             assert r["r"] == float(exact)
     assert df.select(safe_ratio(F.lit(1), F.lit(0)).alias("x")).first()["x"] is None
+
+
+def test_rules_are_compiled_in_sessions_of_others(spark):
+    """A session without a limit gets one, so that the rules' stage is not interpreted; a limit that is set stays."""
+    name = "spark.sql.codegen.hugeMethodLimit"
+    own = spark.conf.get(name)
+    try:
+        spark.conf.unset(name)
+        engineer_features(encounters(spark, SF_DIR))
+        assert spark.conf.get(name) == "8000"
+        spark.conf.set(name, "9000")
+        engineer_features(encounters(spark, SF_DIR))
+        assert spark.conf.get(name) == "9000"
+    finally:
+        spark.conf.set(name, own)

@@ -22,6 +22,7 @@ from wardstat.functions.clinical import (
     in_ranges,
 )
 from wardstat.functions.numbers import required, whole_number
+from wardstat.session import compile_in_parts
 from wardstat.sources.schemas import COUNTS, FEATURES
 
 
@@ -40,8 +41,10 @@ def engineer_features(encounters: DataFrame, strict: bool = True) -> DataFrame:
     """The 24 feature columns of each encounter, without a shuffle.
 
     The parsed diagnosis code and age bounds feed several rules, so they are columns of a projection
-    below: as plain sub-expressions they would be parsed again for every rule.
+    below: as plain sub-expressions they would be parsed again for every rule. All rules in one method are more than the
+    JVM compiles, so the session gets a limit if it has none.
     """
+    compile_in_parts(encounters.sparkSession)
     parsed = encounters.withColumns({"_code": icd9_number(F.col("diag_1")), "_ages": age_bounds(F.col("age"))})
     ids = {name: _count(encounters, name, "bigint", strict) for name in ("encounter_id", "patient_nbr")}
     counts = {name: _count(encounters, name, "int", strict) for name in COUNTS}

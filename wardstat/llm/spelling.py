@@ -247,7 +247,8 @@ def near_words(words: DataFrame) -> DataFrame:
                 word, n = rows.column("word"), rows.column("n")
                 yield pa.RecordBatch.from_arrays([word.take(one), word.take(other), n.take(other)], ["word", "near", "near_n"])
 
-    lists = postings(words, words.sparkSession)
+    # Spark sizes the lists by the words' file, though each word gives dozens: their join is told to shuffle.
+    lists = postings(words, words.sparkSession).hint("merge")
     return dealt(lists, CELL, "longer").mapInArrow(run, "word string, near string, near_n long").distinct()
 
 
